@@ -8,7 +8,75 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import load
+from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.line_dedup import dedup_lines
+from tidemark.llm.mixing import mix
+from tidemark.llm.token_counts import count_tokens
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return count_tokens(load(spark, sf_dir, "documents"), "word_bpe_49k.json", limit=2048)
+
+
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+OP2_SQL = """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, array_to_string(w[i:i + least(len(w), 13) - 1], ' ') AS win, least(len(w), 13) AS n
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS i FROM item_words WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM windows),
+doc_windows AS (
+  SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM (SELECT doc_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM words, sizes WHERE len(w) >= n)),
+found AS (SELECT d.doc_id, d.i, d.n, w.item_id FROM doc_windows d JOIN windows w ON d.win = w.win AND d.n = w.n),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM found GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(w.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w.w) AS contaminated
+FROM words w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(load(spark, sf_dir, "documents"))
+
+
+OP6_SQL = """
+WITH rows AS (
+  SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+         md5('mix:' || CAST(doc_id AS VARCHAR)) AS key FROM documents),
+sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM rows GROUP BY source),
+weighed AS (
+  SELECT *, CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight,
+         CAST(2 * source_size AS DOUBLE) AS cap, sum(source_size) OVER () AS all_words FROM sizes),
+levels AS (
+  SELECT *, cap / weight AS ratio,
+         (CAST(1.5 AS DOUBLE) * all_words
+          - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+         / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighed),
+targets AS (
+  SELECT source, source_size, least(coalesce((SELECT min(level) FROM levels WHERE level <= ratio) * weight, cap), cap) AS target FROM levels),
+budgets AS (
+  SELECT *, CAST(floor(target) AS BIGINT) AS budget,
+         coalesce(CAST(floor(target) AS BIGINT) // nullif(source_size, 0), 0) AS epochs FROM targets),
+ordered AS (
+  SELECT r.doc_id, r.source, r.size, b.source_size, b.target, b.epochs, b.budget - b.epochs * b.source_size AS rest,
+         sum(r.size) OVER (PARTITION BY r.source ORDER BY r.key, r.doc_id, r.size ROWS UNBOUNDED PRECEDING) - r.size AS before
+  FROM rows r JOIN budgets b ON r.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, source, size, source_size, target,
+       CAST(epochs * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM ordered
+"""
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,8 +105,13 @@ FROM marked GROUP BY doc_id
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op10_line_dedup": op10_line_dedup}
+    return {
+        "op1_token_counts": op1_token_counts,
+        "op2_decontaminate": op2_decontaminate,
+        "op6_mix_sources": op6_mix_sources,
+        "op10_line_dedup": op10_line_dedup,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": OP10_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op6_mix_sources": OP6_SQL, "op10_line_dedup": OP10_SQL}
