@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import language_id, quality
 from tidemark.llm.common import load
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.line_dedup import dedup_lines
@@ -47,6 +48,24 @@ FROM words w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def remainder(mod: int) -> F.Column:
+    """crc32 of the doc_id as text, modulo mod."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(mod))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    model = language_id.fit(docs.filter(remainder(4) != 2))
+    return language_id.identify(docs, model).withColumn("held_out", F.coalesce(remainder(4) == 2, F.lit(False)))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
+    train = labels.select("doc_id", "quality").filter(remainder(5) != 0).join(docs.select("doc_id", "text"), "doc_id")
+    out = quality.score(docs, quality.fit(train))
+    return out.withColumns({"held_out": F.coalesce(remainder(5) == 0, F.lit(False)), "predicted": F.when(F.col("score") >= 0.3, 1).otherwise(0)})
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(load(spark, sf_dir, "documents"))
 
@@ -108,7 +127,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_decontaminate": op2_decontaminate,
+        "op4_language_id": op4_language_id,
         "op6_mix_sources": op6_mix_sources,
+        "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
     }
 
