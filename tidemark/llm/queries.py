@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import language_id, quality
+from tidemark.llm import language_id, quality, secret_scan
 from tidemark.llm.common import load
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.line_dedup import dedup_lines
@@ -59,6 +59,17 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).withColumn("held_out", F.coalesce(remainder(4) == 2, F.lit(False)))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(load(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id",
+        *(secret_scan.count_kind(F.col("spans"), k).alias(f"n_{k}") for k in ("assign", "access", "hex")),
+        F.sha2(secret_scan.digest(base), 256).alias("base_sha256"),
+        secret_scan.digest(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
     train = labels.select("doc_id", "quality").filter(remainder(5) != 0).join(docs.select("doc_id", "text"), "doc_id")
@@ -129,6 +140,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontaminate": op2_decontaminate,
         "op4_language_id": op4_language_id,
         "op6_mix_sources": op6_mix_sources,
+        "op8_secret_scan": op8_secret_scan,
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
     }
