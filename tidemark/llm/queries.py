@@ -12,6 +12,7 @@ from tidemark.llm.common import load
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
+from tidemark.llm.near_dedup import near_duplicates
 from tidemark.llm.token_counts import count_tokens
 
 
@@ -48,6 +49,33 @@ FROM words w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(load(spark, sf_dir, "documents"), shingle=4, similarity=80)
+
+
+OP3_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * k >= 80 * (x.n + y.n - k)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT doc_id AS id, doc_id AS root FROM documents
+  UNION
+  SELECT e.b, r.root FROM reach r JOIN both_ways e ON e.a = r.id)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, min(r.root) AS component_id, d.doc_id = min(r.root) AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) JOIN reach r ON r.id = d.doc_id GROUP BY d.doc_id, s.n
+"""
+
+
 def remainder(mod: int) -> F.Column:
     """crc32 of the doc_id as text, modulo mod."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(mod))
@@ -138,6 +166,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
         "op2_decontaminate": op2_decontaminate,
+        "op3_near_dedup": op3_near_dedup,
         "op4_language_id": op4_language_id,
         "op6_mix_sources": op6_mix_sources,
         "op8_secret_scan": op8_secret_scan,
@@ -147,4 +176,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op6_mix_sources": OP6_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op3_near_dedup": OP3_SQL, "op6_mix_sources": OP6_SQL, "op10_line_dedup": OP10_SQL}
