@@ -13,6 +13,7 @@ from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.token_counts import count_tokens
 
 
@@ -87,6 +88,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(docs, model).withColumn("held_out", F.coalesce(remainder(4) == 2, F.lit(False)))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = remove_repeats(load(spark, sf_dir, "documents"), length=200)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(load(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"] < 3)
@@ -169,6 +175,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_near_dedup": op3_near_dedup,
         "op4_language_id": op4_language_id,
         "op6_mix_sources": op6_mix_sources,
+        "op7_substring_dedup": op7_substring_dedup,
         "op8_secret_scan": op8_secret_scan,
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
