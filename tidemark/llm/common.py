@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bytes that `[^\x20\x09-\x0D]+` separates words at; bytes.split() and bytes.strip() use the same set.
 SPACE = b" \t\n\x0b\x0c\r"
@@ -50,9 +51,23 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4 << 2
             yield batch.slice(start)
 
 
-def id_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Only the id (as a long) and the text, under fixed names: other columns can't clash."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def id_text(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Only the id (as a long) and the text, under fixed names: other columns can't clash. keep: columns to carry in a struct `kept`."""
+    kept = [F.struct(*(F.col(c) for c in keep)).alias("kept")] if keep else []
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *kept)
+
+
+def with_kept(ddl: str, docs: DataFrame, keep: tuple[str, ...]) -> T.StructType:
+    """A schema, with the struct `kept` if columns are carried."""
+    schema = T.StructType.fromDDL(ddl)
+    return schema.add("kept", docs.select(*keep).schema) if keep else schema
+
+
+def record_batch(columns: dict[str, pa.Array], source: pa.RecordBatch) -> pa.RecordBatch:
+    """Columns by name, and `kept` of the batch that they were made from, if it has that."""
+    if (at := source.schema.get_field_index("kept")) >= 0:
+        columns = {**columns, "kept": source.column(at)}
+    return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

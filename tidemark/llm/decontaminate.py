@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import id_text, slices, utf8_columns
+from tidemark.llm.common import id_text, record_batch, slices, utf8_columns, with_kept
 
 #: Window of item words whose occurrence counts as a hit; an item of fewer words is one window.
 WINDOW = 13
@@ -177,17 +177,20 @@ def decontaminate(
     coverage: tuple[int, int] = COVERAGE,
     max_span: int | None = None,
     block_bytes: int = BLOCK_BYTES,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items, contaminated, clean_text for each row of docs; no shuffle.
 
     contaminated: n_hit > 0 and n_hit / n_words >= coverage. clean_text: the text without its hit spans if it is
     contaminated or a span is longer than max_span words; else the text. Null texts have no words; items without text,
     id or words have no windows; rows of one item id are one item; repeated documents are judged one by one.
+    keep: columns of docs to carry along in a struct `kept`.
     """
-    hits = id_text(docs, id_col, text_col).withColumns({"spans": F.lit(None).cast("array<struct<a:int,b:int>>"), "items": F.lit(None).cast("array<string>")})
+    nothing = [F.lit(None).cast("array<struct<a:int,b:int>>").alias("spans"), F.lit(None).cast("array<string>").alias("items")]
+    hits = id_text(docs, id_col, text_col, keep).select("doc_id", "text", *nothing, *["kept"][: len(keep)])
     sc = docs.sparkSession.sparkContext
     for block in _blocks(items, item_col, item_text_col, block_bytes):
-        hits = hits.mapInArrow(_search(sc.broadcast(block), window), HITS)
+        hits = hits.mapInArrow(_search(sc.broadcast(block), window), with_kept(HITS, docs, keep))
     num, den = coverage
 
     def judge(batches):
@@ -207,10 +210,11 @@ def decontaminate(
                 out["bad"].append(bad)
                 out["clean"].append(cut_spans(text, runs) if runs and (bad or max_span is not None and max(b - a for a, b in runs) > max_span) else text)
             ids = [sorted(set(x or ())) for x in batch.column(3).to_pylist()]
-            columns = [batch.column(0), pa.array(out["n_words"], pa.int64()), pa.array(out["n_hit"], pa.int64()), pa.array(map(len, ids), pa.int64()), pa.array(ids, pa.list_(pa.string())), pa.array(out["bad"], pa.bool_()), pa.array(out["clean"], pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_hit", "n_items", "items", "contaminated", "clean_text"])
+            counts = {k: pa.array(out[k], pa.int64()) for k in ("n_words", "n_hit")}
+            found = {"n_items": pa.array(map(len, ids), pa.int64()), "items": pa.array(ids, pa.list_(pa.string())), "contaminated": pa.array(out["bad"], pa.bool_())}
+            yield record_batch({"doc_id": batch.column(0), **counts, **found, "clean_text": pa.array(out["clean"], pa.binary()).cast(pa.string())}, batch)
 
-    return hits.mapInArrow(judge, "doc_id long, n_words long, n_hit long, n_items long, items array<string>, contaminated boolean, clean_text string")
+    return hits.mapInArrow(judge, with_kept("doc_id long, n_words long, n_hit long, n_items long, items array<string>, contaminated boolean, clean_text string", docs, keep))
 
 
 def _search(block, window: int):
@@ -224,6 +228,6 @@ def _search(block, window: int):
                 if mask is not None:
                     all_spans[k] = [*(all_spans[k] or ()), *({"a": a, "b": b} for a, b in _spans(mask))]
                     all_items[k] = [*(all_items[k] or ()), *items]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(all_spans, kind), pa.array(all_items, pa.list_(pa.string()))], names=["doc_id", "text", "spans", "items"])
+            yield record_batch({"doc_id": batch.column(0), "text": batch.column(1), "spans": pa.array(all_spans, kind), "items": pa.array(all_items, pa.list_(pa.string()))}, batch)
 
     return search

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpoint, id_text, slices, utf8_columns
+from tidemark.llm.common import checkpoint, id_text, record_batch, slices, utf8_columns, with_kept
 
 KEY = ["key_hi", "key_lo"]
 SLOTS = 4
@@ -230,11 +230,12 @@ def dropped_lines(index: LineIndex, refs: DataFrame | None = None) -> DataFrame:
     return lost.groupBy("doc_id").agg(F.collect_list(F.struct(*KEY)).alias("keys"))
 
 
-def apply_index(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
+def apply_index(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
     """Documents with the lines that they lose taken out: doc_id, text, n_lines, n_dropped; other lines stay, joined by newlines.
 
     Null and empty texts are one empty line and stay as they are (null as an empty text). Rows with a null id keep all
     lines and count as no document. Repeated rows of one id are one document: each keeps or loses the same lines.
+    keep: columns of docs to carry along in a struct `kept`.
     """
 
     def rebuild(batches):
@@ -250,13 +251,14 @@ def apply_index(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", te
                 texts.append(b"\n".join(kept))
                 n_lines.append(len(lines))
                 n_dropped.append(len(lines) - len(kept))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())], names=["doc_id", "text", "n_lines", "n_dropped"])
+            yield record_batch({"doc_id": batch.column(0), "text": pa.array(texts, pa.binary()).cast(pa.string()), "n_lines": pa.array(n_lines, pa.int64()), "n_dropped": pa.array(n_dropped, pa.int64())}, batch)
 
-    joined = id_text(docs, id_col, text_col).join(dropped_lines(index), "doc_id", "left").select("doc_id", "text", "keys")
-    return joined.mapInArrow(rebuild, "doc_id long, text string, n_lines long, n_dropped long")
+    rows = id_text(docs, id_col, text_col, keep)
+    joined = rows.join(dropped_lines(index), "doc_id", "left").select(*rows.columns, "keys")
+    return joined.mapInArrow(rebuild, with_kept("doc_id long, text string, n_lines long, n_dropped long", docs, keep))
 
 
-def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> DataFrame:
+def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
     """One-shot form: insert all documents into an empty index and apply it to them."""
     names = {"id_col": id_col, "text_col": text_col, "min_chars": min_chars}
-    return apply_index(insert(LineIndex(), docs, **names), docs, **names)
+    return apply_index(insert(LineIndex(), docs, **names), docs, **names, keep=keep)
