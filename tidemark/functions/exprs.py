@@ -23,9 +23,9 @@ def safe_ln(x: str | Column) -> Column:
 
 
 def rounded(x: str | Column, digits: int = 6) -> Column:
-    """Rounded half away from zero in double arithmetic, without a negative zero."""
-    scaled = col(x).cast("double") * F.lit(float(10**digits))
-    return F.signum(scaled) * F.floor(F.abs(scaled) + 0.5) / F.lit(float(10**digits)) + F.lit(0.0)
+    """Rounded half up in double arithmetic, without a negative zero; the argument is evaluated once."""
+    scale = float(10**digits)
+    return F.floor(col(x).cast("double") * scale + 0.5) / scale + F.lit(0.0)
 
 
 def is_halted(open_: str = "open", high: str = "high", low: str = "low") -> Column:

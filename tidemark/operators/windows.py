@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import complete, sdiv
 from tidemark.keys import P, PanelKeys
 
-AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp, "median": F.median, "count": F.count}
+AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp, "median": lambda x: F.percentile(x, F.lit(0.5)), "count": F.count}
 
 
 def rolling(agg: str, x: str, n: int, keys: PanelKeys = P) -> Column:
@@ -38,7 +38,7 @@ def rolling_regression(df: DataFrame, y: str, x: str, n: int, keys: PanelKeys =
 
 def rolling_median(x: str, n: int, last: int = 0, keys: PanelKeys = P) -> Column:
     """Exact median over a ROWS frame."""
-    return F.median(F.col(x)).over(keys.back(n - 1 + (last > 0), last))
+    return F.percentile(F.col(x), F.lit(0.5)).over(keys.back(n - 1 + (last > 0), last))
 
 
 def rolling_zscore(x: str, n: int, keys: PanelKeys = P) -> Column:

@@ -375,9 +375,9 @@ def _(f):
     return valid(f).select(*KEY, "v_idx", rounded("ret").alias("ret"), rounded("simple").alias("simple"), rounded("turnover", 2).alias("turnover"))
 
 
-@query("w03_rolling", f"SELECT date, entity, grp, round(sum(ret) OVER w, 6) AS s20, round(avg(turnover) OVER w, 2) AS m20, max(close) OVER w AS x20, min(close) OVER w AS n20 FROM valid WINDOW w AS ({PATH} ROWS 19 PRECEDING)", "valid")
+@query("w03_rolling", f"SELECT date, entity, grp, round(sum(ret) OVER w, 6) AS s20, round(avg(turnover) OVER w, 6) AS m20, max(close) OVER w AS x20, min(close) OVER w AS n20 FROM valid WINDOW w AS ({PATH} ROWS 19 PRECEDING)", "valid")
 def _(f):
-    return valid(f).select(*KEY, rounded(R.rolling("sum", "ret", 20)).alias("s20"), rounded(R.rolling("avg", "turnover", 20), 2).alias("m20"), R.rolling("max", "close", 20).alias("x20"), R.rolling("min", "close", 20).alias("n20"))
+    return valid(f).select(*KEY, rounded(R.rolling("sum", "ret", 20)).alias("s20"), rounded(R.rolling("avg", "turnover", 20), 6).alias("m20"), R.rolling("max", "close", 20).alias("x20"), R.rolling("min", "close", 20).alias("n20"))
 
 
 @query("w04_rolling_complete", f"SELECT date, entity, grp, round(CASE WHEN count(ret) OVER w = 20 THEN stddev_samp(ret) OVER w END, 6) AS vol20 FROM valid WINDOW w AS ({PATH} ROWS 19 PRECEDING)", "valid")
@@ -425,8 +425,8 @@ def _(f):
 @query(
     "w11_forward_max_drawdown",
     f"""WITH x AS (SELECT date, entity, grp, count(simple) OVER w AS n, list(simple) OVER w AS l FROM valid WINDOW w AS ({PATH} ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)),
-    c AS (SELECT date, entity, grp, n, list_transform(range(0, 6), i -> CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE list_reduce(list_transform(l[1:i], r -> 1 + r), (a, b) -> a * b) END) AS lv FROM x WHERE n = 5)
-    SELECT x.date, x.entity, x.grp, round(least(0.0, list_min(list_transform(range(1, 7), i -> lv[i] / list_max(lv[1:i]) - 1))), 6) + 0.0 AS mdd FROM x LEFT JOIN c USING (date, entity, grp)""",
+    c AS (SELECT date, entity, grp, n, list_transform(range(0, 6), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE list_reduce(list_transform(l[1:i], lambda r: 1 + r), lambda a, b: a * b) END) AS lv FROM x WHERE n = 5)
+    SELECT x.date, x.entity, x.grp, round(least(0.0, list_min(list_transform(range(1, 7), lambda i: lv[i] / list_max(lv[1:i]) - 1))), 6) + 0.0 AS mdd FROM x LEFT JOIN c USING (date, entity, grp)""",
     "valid",
 )
 def _(f):
