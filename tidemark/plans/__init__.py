@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that register queries.
-MODULES = ("core", "features")
+MODULES = ("core", "features", "models")
 
 
 def _registry():
