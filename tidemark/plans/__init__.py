@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that register queries.
-MODULES = ("core", "features", "models")
+MODULES = ("core", "features", "models", "checks")
 
 
 def _registry():
