@@ -21,6 +21,8 @@ from tidemark.llm.common import checkpoint, id_text, mix64, slices, utf8_columns
 LENGTH = 200
 #: Positions handled at once in a very long text.
 CHUNK = 1 << 20
+#: Owners of one gram whose texts meet in one task at most (each is under twice `length` bytes).
+MAX_OWNERS = 1000
 #: Ids that are broadcast at most; more of them are joined by shuffling.
 BROADCAST_IDS = 1_000_000
 
@@ -99,29 +101,79 @@ def _owners_of(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(found, "gram long, whole long, doc_id long, lo int, more int")
 
 
-def _window_rows(docs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
-    """(gram, window, doc_id, at, alone): each window that the representative of a class owns, by its hash."""
+def _contexts(docs: DataFrame, classes: DataFrame, length: int) -> DataFrame:
+    """(gram, doc_id, lo, alone, context): the text of all windows that the representative of a class owns."""
     by_doc = classes.groupBy("doc_id").agg(F.collect_list(F.struct("gram", "lo", "more", "alone")).alias("owned"))
     ids = checkpoint(by_doc.select("doc_id"))
     few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     texts = docs.join(F.broadcast(ids) if few else ids, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    names = ["gram", "doc_id", "lo", "alone", "context"]
 
-    def windows(batches):
+    def contexts(batches):
         for batch in slices(batches, "text"):
-            parts = []
-            for doc_id, text, owned in zip(batch.column(0).to_pylist(), utf8_columns(batch, "text"), batch.column(2).to_pylist(), strict=True):
-                data = np.frombuffer(text, np.uint8)
-                for o in owned:
-                    n = o["more"] + 1
-                    hashed = mix64(WindowHashes(data[o["lo"] : o["lo"] + n - 1 + length]).all(length))
-                    parts.append((np.full(n, o["gram"]), hashed.view(np.int64), np.full(n, doc_id), np.arange(o["lo"], o["lo"] + n, dtype=np.int32), np.full(n, o["alone"])))
-                if sum(len(p[0]) for p in parts) > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["gram", "window", "doc_id", "at", "alone"])
-                    parts = []
-            if parts:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], names=["gram", "window", "doc_id", "at", "alone"])
+            rows = [(o["gram"], doc_id, o["lo"], o["alone"], text[o["lo"] : o["lo"] + o["more"] + length]) for doc_id, text, owned in zip(batch.column(0).to_pylist(), utf8_columns(batch, "text"), batch.column(2).to_pylist(), strict=True) for o in owned]
+            for k in range(0, len(rows), 20_000):
+                columns = list(zip(*rows[k : k + 20_000], strict=True))
+                kinds = (pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=names)
+
+    return texts.select("doc_id", "text").join(by_doc, "doc_id").select("doc_id", "text", "owned").mapInArrow(contexts, "gram long, doc_id long, lo int, alone boolean, context binary")
+
+
+def _windows_of(batch: pa.RecordBatch, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all windows of a batch's contexts: its row, its place in the context, and a hash of gram and window."""
+    hashes = [WindowHashes(np.frombuffer(c, np.uint8)).all(length) for c in batch.column(4).to_pylist()]
+    sizes = np.array([len(h) for h in hashes])
+    row = np.repeat(np.arange(len(hashes)), sizes)
+    place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    gram = mix64(batch.column(0).to_numpy().view(np.uint64))
+    return row, place, mix64(np.concatenate(hashes)) ^ gram[row]
+
+
+def _common_in_groups(length: int):
+    """Spans of windows that occur in two contexts of one gram, for rows in the order of gram; a group that a batch cuts
+    waits for the next."""
+
+    def spans_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        row, place, code = _windows_of(batch, length)
+        _, first, count = np.unique(code, return_inverse=True, return_counts=True)
+        alone = batch.column(3).to_numpy(zero_copy_only=False)
+        again = np.flatnonzero((count[first] > 1) & alone[row])
+        row, place = row[again], place[again]
+        begins = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)]) if len(row) else np.zeros(0, np.int64)
+        ends = np.r_[begins[1:], len(row)][: len(begins)] - 1
+        lo = batch.column(2).to_numpy()[row[begins]]
+        return pa.RecordBatch.from_arrays([batch.column(1).take(pa.array(row[begins])), pa.array((lo + place[begins]).astype(np.int32)), pa.array((lo + place[ends] + length).astype(np.int32))], names=["doc_id", "start", "stop"])
+
+    def common(batches):
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch] if rest is None else [rest, batch]).combine_chunks()
+            if table.num_rows:
+                gram = table.column(0).to_numpy()
+                last = int(np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])[-1])
+                if last:
+                    yield spans_of(table.slice(0, last).combine_chunks().to_batches()[0])
+                rest = table.slice(last).combine_chunks().to_batches()[0]
+        if rest is not None:
+            yield spans_of(rest)
+
+    return common
+
+
+def _window_rows(contexts: DataFrame, length: int) -> DataFrame:
+    """(gram, window, doc_id, at, alone): each window of each context, by its hash."""
+
+    def windows(batches):
+        for batch in batches:
+            for k in range(0, batch.num_rows, 1000):
+                part = batch.slice(k, 1000)
+                row, place, code = _windows_of(part, length)
+                take = pa.array(row)
+                lo = part.column(2).to_numpy()[row]
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), pa.array(code.view(np.int64)), part.column(1).take(take), pa.array((lo + place).astype(np.int32)), part.column(3).take(take)], names=["gram", "window", "doc_id", "at", "alone"])
 
-    return texts.select("doc_id", "text").join(by_doc, "doc_id").select("doc_id", "text", "owned").mapInArrow(windows, "gram long, window long, doc_id long, at int, alone boolean")
+    return contexts.mapInArrow(windows, "gram long, window long, doc_id long, at int, alone boolean")
 
 
 def repeated_spans(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
@@ -137,10 +189,17 @@ def repeated_spans(docs: DataFrame, *, length: int = LENGTH) -> DataFrame:
     classes = checkpoint(mixed.groupBy("gram", "whole").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "lo", "more")).alias("one")))
     whole = mixed.join(classes.filter("n > 1").select("gram", "whole"), ["gram", "whole"])
     spans = spans.unionByName(whole.select("doc_id", F.col("lo").alias("start"), stop.alias("stop")))
-    # Owners whose text is found once share some windows with others of the gram, or none: compared window by window.
-    undecided = classes.filter("n = 1").select("gram").dropDuplicates()
-    sides = classes.join(undecided, "gram", "left_semi").select("gram", "one.*", (F.col("n") == 1).alias("alone")).filter("doc_id is not null")
-    windows = _window_rows(docs, sides, length)
+    # Owners whose text is found once share some windows with others of the gram, or none. The texts of few owners meet
+    # in one task; those of a gram with many owners are dealt window by window.
+    per_gram = classes.groupBy("gram").agg(F.count("*").alias("owners"), F.min("n").alias("fewest")).filter("fewest = 1")
+    sides = classes.join(per_gram, "gram").select("gram", "owners", "one.*", (F.col("n") == 1).alias("alone")).filter("doc_id is not null")
+    few = _contexts(docs, sides.filter(F.col("owners") <= MAX_OWNERS).drop("owners"), length)
+    found = few.repartition("gram").sortWithinPartitions("gram").mapInArrow(_common_in_groups(length), "doc_id long, start int, stop int")
+    spans = spans.unionByName(found)
+    many = checkpoint(sides.filter(F.col("owners") > MAX_OWNERS).drop("owners"))
+    if many.isEmpty():
+        return spans
+    windows = _window_rows(_contexts(docs, many, length), length)
     again = windows.groupBy("gram", "window").agg(F.count("*").alias("n")).filter("n > 1").select("gram", "window")
     single = windows.filter("alone").join(again, ["gram", "window"])
     return spans.unionByName(single.select("doc_id", F.col("at").alias("start"), (F.col("at") + length).alias("stop")))
