@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import language_id, quality, secret_scan
+from tidemark.llm.bm25 import top_k
 from tidemark.llm.common import load
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.line_dedup import dedup_lines
@@ -111,6 +112,27 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumns({"held_out": F.coalesce(remainder(5) == 0, F.lit(False)), "predicted": F.when(F.col("score") >= 0.3, 1).otherwise(0)})
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return top_k(docs, docs.filter("doc_id % 20 = 0"), k=10)
+
+
+OP5_SQL = """
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf, any_value(dl) AS dl FROM (SELECT doc_id, unnest(w) AS term, len(w) AS dl FROM words) GROUP BY 1, 2),
+stats AS (SELECT count(*) AS n, avg(len(w)) AS mean FROM words WHERE len(w) > 0),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY 1),
+scores AS (
+  SELECT q.doc_id AS query_id, d.doc_id,
+         round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * d.tf * 2.2 / (d.tf + 1.2 * (0.25 + 0.75 * d.dl / mean))), 6) AS score
+  FROM tf q JOIN tf d ON q.term = d.term JOIN df ON df.term = q.term, stats WHERE q.doc_id % 20 = 0 GROUP BY 1, 2)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM scores) WHERE rank <= 10
+"""
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(load(spark, sf_dir, "documents"))
 
@@ -174,6 +196,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_decontaminate": op2_decontaminate,
         "op3_near_dedup": op3_near_dedup,
         "op4_language_id": op4_language_id,
+        "op5_topk_search": op5_topk_search,
         "op6_mix_sources": op6_mix_sources,
         "op7_substring_dedup": op7_substring_dedup,
         "op8_secret_scan": op8_secret_scan,
@@ -183,4 +206,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op3_near_dedup": OP3_SQL, "op6_mix_sources": OP6_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op3_near_dedup": OP3_SQL, "op5_topk_search": OP5_SQL, "op6_mix_sources": OP6_SQL, "op10_line_dedup": OP10_SQL}
