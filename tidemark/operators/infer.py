@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.exprs import sdiv
 from tidemark.keys import P, PanelKeys
@@ -61,13 +62,13 @@ def newey_west(daily: DataFrame, lag: int, *, by: Sequence[str] = ("cell",), idx
     return out.select(*by, "dates", "mean", se.alias("nw_se"), sdiv("mean", se).alias("nw_t"), "pairs")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def normal_p(t: pd.Series) -> pd.Series:
     """Two-sided normal p-value."""
     return t.map(lambda x: math.erfc(abs(x) / math.sqrt(2)) if pd.notna(x) else np.nan).astype("float64").where(t.notna())
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def sign_test_p(hits: pd.Series, n: pd.Series) -> pd.Series:
     """Exact one-sided binomial P(X >= hits) at 1/2."""
 
