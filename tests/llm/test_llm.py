@@ -142,17 +142,18 @@ def test_near_duplicates(spark, corpus):
         assert (got[i].n_shingles, got[i].component_id, got[i].kept) == (n, c, c == i)
 
 
-def test_near_duplicates_in_hot_nodes(spark, monkeypatch):
-    """Small limits, so that nodes branch, and are dealt in blocks at the last level."""
-    for name, value in (("LEAF", 4), ("BLOCK", 3), ("STAR_ROUNDS", 1), ("MAX_DEPTH", 2)):
+@pytest.mark.parametrize(("leaf", "block", "length"), [(4, 3, 60), (4, 3, 150), (1024, 512, 150)])
+def test_near_duplicates_in_hot_nodes(spark, monkeypatch, leaf, block, length):
+    """Small limits, so that nodes branch and are dealt in blocks at the last level; long sets, compared in full."""
+    for name, value in (("LEAF", leaf), ("BLOCK", block), ("STAR_ROUNDS", 1), ("MAX_DEPTH", 2)):
         monkeypatch.setattr(near_dedup, name, value)
     rng = random.Random(1)
-    base = [f"b{i}" for i in range(60)]
+    base = [f"b{i}" for i in range(length)]
     texts = []
     for _ in range(40):
         ws = list(base)
-        for _ in range(rng.randint(0, 4)):
-            ws[rng.randrange(60)] = f"x{rng.randrange(1000)}"
+        for _ in range(rng.randint(0, length // 15)):
+            ws[rng.randrange(length)] = f"x{rng.randrange(1000)}"
         texts.append(" ".join(ws))
     got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(documents(spark, texts), shingle=4).collect()}
     assert [got[i] for i in range(40)] == [c for _, c in brute_components(texts, 4, 80)]
