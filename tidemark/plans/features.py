@@ -94,12 +94,23 @@ def distorted(f: Fixtures) -> DataFrame:
     return PR.mcap_distortion(D.stock_pit(f.bars, share_counts(f)), marks)
 
 
-@query("d06_mcap_distortion")
+STOCK = f"""s AS ({SHARES}), stock AS (SELECT * FROM (
+      SELECT b.date, b.entity, b.grp, s.shares, CASE WHEN s.shares > 0 THEN b.close * s.shares END AS market_cap, row_number() OVER (PARTITION BY b.date, b.entity, b.grp ORDER BY s.period_end DESC NULLS LAST, s.available_from DESC, s.shares DESC) AS n
+      FROM bars b LEFT JOIN s ON s.entity = b.entity AND s.available_from <= b.date) WHERE n = 1)"""
+DISTORTED = f"""{STOCK}, days AS (SELECT DISTINCT date FROM bars),
+    marks AS (SELECT DISTINCT entity, (SELECT min(date) FROM days WHERE date > receipt_date) AS date FROM filings WHERE kind = '1-URGENT' AND status = 'O'),
+    st AS (SELECT stock.*, last_value(CASE WHEN m.entity IS NOT NULL THEN {{'d': stock.date, 's': shares}} END IGNORE NULLS) OVER (PARTITION BY stock.entity, grp ORDER BY stock.date ROWS UNBOUNDED PRECEDING) AS st
+      FROM stock LEFT JOIN marks m ON m.entity = stock.entity AND m.date = stock.date),
+    dn AS (SELECT *, coalesce(max(CASE WHEN abs(shares / nullif(st.s, 0)::DOUBLE - 1) > 0.05 THEN 1 ELSE 0 END) OVER (PARTITION BY entity, grp, st.d ORDER BY date ROWS UNBOUNDED PRECEDING) = 1, false) AS done FROM st),
+    dist AS (SELECT *, st IS NOT NULL AND coalesce(datediff('day', st.d, date) <= 120, false) AND NOT done AS distorted FROM dn)"""
+
+
+@query("d06_mcap_distortion", f"WITH {DISTORTED} SELECT date, entity, grp, distorted FROM dist", "bars vintages filings")
 def _(f):
     return distorted(f).select(*KEY, "distorted")
 
 
-@query("d07_market_cap_log")
+@query("d07_market_cap_log", f"WITH {DISTORTED} SELECT date, entity, grp, round(CASE WHEN NOT distorted AND market_cap > 0 THEN ln(market_cap) END, 6) AS ln_cap FROM dist", "bars vintages filings")
 def _(f):
     return PR.market_cap_log(distorted(f)).select(*KEY, rounded("ln_cap").alias("ln_cap"))
 
@@ -273,12 +284,24 @@ def _(f):
     return payouts(f).select("entity", "year", rounded("dividends", 4).alias("dividends"), rounded("payout", 4).alias("payout"))
 
 
-@query("d16_event_scan_daily")
+@query(
+    "d16_event_scan_daily",
+    f"""WITH {STOCK}, n AS (SELECT entity, year(receipt_date) AS year, sum(CASE WHEN status = 'F' THEN -amount ELSE amount END) AS net, sum(CASE WHEN status = 'O' THEN amount ELSE 0 END) AS inc, sum(CASE WHEN status = 'F' THEN amount ELSE 0 END) AS dec FROM filings GROUP BY 1, 2),
+    p AS (SELECT *, 1000000000 + sum(net) OVER (PARTITION BY entity ORDER BY year) + CASE WHEN entity % 2 = 1 THEN year ELSE 0 END AS shares FROM n),
+    iss AS (SELECT a.entity, make_date(CAST(a.year AS INTEGER), 12, 31) + 90 AS known, CASE WHEN b.shares + a.net = a.shares AND b.shares > 0 THEN (a.inc - a.dec) / b.shares::DOUBLE END AS net_issuance FROM p a LEFT JOIN p b ON a.entity = b.entity AND b.year = a.year - 1),
+    y AS (SELECT entity, period_end, CAST(floor(value) AS BIGINT) AS issued, CAST(CASE WHEN entity % 4 = 0 THEN 0 ELSE floor(value / 10) END AS BIGINT) AS treasury FROM vintages WHERE q = 4 AND NOT is_revision),
+    d AS (SELECT entity, period_end, CASE WHEN entity % 6 = 0 THEN 0.0 WHEN entity % 3 = 0 THEN NULL ELSE issued::DOUBLE END AS direct, 0.5::DOUBLE * CASE WHEN entity % 5 = 0 THEN 1 ELSE treasury END AS implied, CASE WHEN entity % 2 = 0 THEN 10.0 END AS buyback FROM y),
+    pay AS (SELECT entity, period_end + 90 AS known, CASE WHEN direct IS NOT NULL AND direct >= 0 AND (implied <= 0 OR direct <= 100 * implied) THEN direct ELSE implied END + coalesce(buyback, 0) AS payout FROM d),
+    j AS (SELECT stock.*, iss.net_issuance FROM stock ASOF LEFT JOIN iss ON iss.entity = stock.entity AND stock.date >= iss.known), k AS (SELECT j.*, pay.payout FROM j ASOF LEFT JOIN pay ON pay.entity = j.entity AND j.date >= pay.known),
+    r AS (SELECT date, entity, grp, net_issuance, CASE WHEN market_cap > 0 AND payout / market_cap <= 10 THEN payout / market_cap END AS payout_yield FROM k)
+    SELECT date, entity, grp, round(net_issuance, 5) + 0.0 AS net_issuance, round(payout_yield, 9) AS payout_yield, round(lag(net_issuance) OVER w, 5) + 0.0 AS net_issuance_lag1, round(lag(payout_yield) OVER w, 9) AS payout_yield_lag1 FROM r WINDOW w AS ({PATH})""",
+    "bars vintages filings",
+)
 def _(f):
     iss = issuance(f).select("entity", F.date_add("settle", 90).alias("available_from"), "net_issuance")
     pay = payouts(f).select("entity", F.date_add("period_end", 90).alias("available_from"), "payout")
     out = D.event_scan_daily(D.stock_pit(f.bars, share_counts(f)), iss, pay)
-    return rounded_all(out.select(*KEY, "net_issuance", "payout_yield", "net_issuance_lag1", "payout_yield_lag1"))
+    return out.select(*KEY, *(rounded(c, 5).alias(c) for c in ("net_issuance", "net_issuance_lag1")), *(rounded(c, 9).alias(c) for c in ("payout_yield", "payout_yield_lag1")))
 
 
 def macro_history(f: Fixtures) -> DataFrame:
