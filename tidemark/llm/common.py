@@ -70,6 +70,11 @@ def record_batch(columns: dict[str, pa.Array], source: pa.RecordBatch) -> pa.Rec
     return pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
 
+def few_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """A narrow table (ids, labels) marked for broadcast if a count finds it small; else as it is, for a shuffled join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijective 64-bit finalizer, vectorised."""
     x = x.astype(np.uint64, copy=True)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import language_id, quality, secret_scan
 from tidemark.llm.bm25 import top_k
-from tidemark.llm.common import load
+from tidemark.llm.common import few_broadcast, load
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
@@ -107,7 +107,8 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")
-    train = labels.select("doc_id", "quality").filter(remainder(5) != 0).join(docs.select("doc_id", "text"), "doc_id")
+    rows = few_broadcast(labels.select("doc_id", "quality").filter(remainder(5) != 0))
+    train = docs.select("doc_id", "text").join(rows, "doc_id")
     out = quality.score(docs, quality.fit(train))
     return out.withColumns({"held_out": F.coalesce(remainder(5) == 0, F.lit(False)), "predicted": F.when(F.col("score") >= 0.3, 1).otherwise(0)})
 
