@@ -398,6 +398,41 @@ def test_line_index_is_incremental_and_reversible(spark):
     assert rows_of(line_dedup.apply_index(index, every)) == brute_lines(LINES, ids)
 
 
+def counts_of(index):
+    return sorted((r.n_docs, r.first_doc) for r in index.counts.collect())
+
+
+@pytest.mark.parametrize("per_shard", [200_000, 60])
+def test_line_index_counts_after_small_then_large_inserts(spark, monkeypatch, per_shard):
+    monkeypatch.setattr(line_dedup, "KEYS_PER_SHARD", per_shard)
+    line = "this is line number {}".format
+    batches = [range(0, 5), range(5, 105), range(105, 125), [*range(0, 125), *range(125, 150)]]
+    index = line_dedup.LineIndex()
+    for i, batch in enumerate(batches):
+        index = line_dedup.insert(index, documents(spark, ["\n".join(map(line, batch))], ids=[i]))
+    assert counts_of(index) == sorted([(2, 0)] * 5 + [(2, 1)] * 100 + [(2, 2)] * 20 + [(1, 3)] * 25)
+    assert index.n_shards >= 150 / per_shard and index.filters.filter("length(filter) = 0").isEmpty()
+
+
+def test_line_index_with_colliding_fingerprints(spark):
+    seen, pair = {}, None
+    for i in range(200_000):
+        digest = line_dedup.xxhash.xxh3_128_digest(b"colliding line %d" % i)
+        place = digest[6:8], digest[14] & 7, digest[15]  # fingerprint and bucket of small filters
+        if place in seen:
+            pair = seen[place], i
+            break
+        seen[place] = i
+    a, b = map("colliding line {}".format, pair)
+    index = line_dedup.insert(line_dedup.LineIndex(), documents(spark, [a], ids=[1]))
+    index = line_dedup.insert(index, documents(spark, [b], ids=[2]))
+    index = line_dedup.delete(index, spark.createDataFrame([(2,)], "doc_id long"))
+    index = line_dedup.insert(index, documents(spark, [a], ids=[3]))
+    assert counts_of(index) == [(2, 1)]
+    index = line_dedup.insert(line_dedup.delete(index, spark.createDataFrame([(1,)], "doc_id long")), documents(spark, [b, b], ids=[4, 5]))
+    assert counts_of(index) == [(1, 3), (2, 4)]
+
+
 def test_cuckoo_filter():
     rng = np.random.default_rng(1)
     hi, lo = rng.integers(-(2**62), 2**62, 20_000), rng.integers(-(2**62), 2**62, 20_000)

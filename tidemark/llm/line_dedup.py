@@ -8,13 +8,14 @@ State (`LineIndex`) is three tables keyed by a 128-bit hash of the normalised li
 
 An inserted batch is first reduced to one row for each key (map-side combined, so a line that a third of all documents
 hold never meets in one task), then meets its shard's filter: a key that the filter doesn't know is new and goes
-straight to counts; only the rest is joined with the exact table. Deleting documents removes their references, recounts
+straight to counts; only the rest is joined with the exact table. Every key that turns out new is added to the filters,
+and the key space is dealt to more shards as keys grow. Deleting documents removes their references, recounts
 the keys they touched and takes keys without references out of the filters, so that deletions restore earlier lines.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -34,8 +35,8 @@ KEYS_PER_SHARD = 200_000
 class CuckooFilter:
     """Partial-key cuckoo filter with 16-bit fingerprints and four slots a bucket; it supports deletion.
 
-    add() answers which keys may have been held before. A filter that can't place a fingerprint grows (its keys come
-    again from the exact table), so that it never forgets one.
+    contains() answers which keys may be held. A filter that can't place a fingerprint is built again, larger, from the
+    keys of the exact table, so that it never forgets one.
     """
 
     def __init__(self, n_keys: int) -> None:
@@ -155,27 +156,61 @@ def _shard(n_shards: int) -> F.Column:
     return F.pmod(F.shiftright("key_lo", 32), F.lit(n_shards)).cast("int")
 
 
-SIFTED = "shard int, key_hi long, key_lo long, n_docs long, first_doc long, maybe boolean, filter binary"
+SIFTED = "key_hi long, key_lo long, n_docs long, first_doc long, maybe boolean"
+FILTERS = "shard int, filter binary"
 
 
-def _sift(keys: DataFrame, index: LineIndex) -> DataFrame:
-    """Pass one row for each key through its shard's filter: rows with `maybe`, and a row with the grown filter."""
+def _filter_of(hi: np.ndarray, lo: np.ndarray) -> bytes:
+    """A filter of all these keys with room for as many again; b'' (every key is `maybe`) if they collide at any size."""
+    for more in range(1, 8):
+        held = CuckooFilter(len(hi) << more)
+        if held.add(hi, lo):
+            return held.dump()
+    return b""
+
+
+def _build(keys: DataFrame, n_shards: int) -> DataFrame:
+    """(shard, filter) over all keys."""
+
+    def build(own: pd.DataFrame) -> pd.DataFrame:
+        data = _filter_of(own["key_hi"].to_numpy(np.int64), own["key_lo"].to_numpy(np.int64))
+        return pd.DataFrame({"shard": own["shard"].iloc[:1], "filter": [data]})
+
+    return keys.select(*KEY, _shard(n_shards).alias("shard")).groupBy("shard").applyInPandas(build, FILTERS)
+
+
+def _sift(keys: DataFrame, filters: DataFrame, n_shards: int) -> DataFrame:
+    """One row for each key, with `maybe`: whether the index may hold it. A shard without a filter answers for all of its
+    keys if it has a row with b'', and holds no key if it has no row."""
 
     def sift(new: pd.DataFrame, old: pd.DataFrame) -> pd.DataFrame:
-        shard = int((new if len(new) else old)["shard"].iloc[0])
-        held = CuckooFilter.load(old["filter"].iloc[0]) if len(old) else CuckooFilter(2 * len(new))
         hi, lo = new["key_hi"].to_numpy(np.int64), new["key_lo"].to_numpy(np.int64)
-        maybe = held.contains(hi, lo) if len(old) else np.zeros(len(new), bool)
-        full = not held.add(hi[~maybe], lo[~maybe])
-        out = new.assign(maybe=maybe, filter=None)[["shard", "key_hi", "key_lo", "n_docs", "first_doc", "maybe", "filter"]]
-        # A full filter is dropped: an absent filter answers `maybe` for all keys next time, which is exact, only slower.
-        grown = pd.DataFrame([[shard, None, None, None, None, None, b"" if full else held.dump()]], columns=out.columns)
-        return pd.concat([out.astype(object), grown.astype(object)], ignore_index=True)
+        data = old["filter"].iloc[0] if len(old) else None
+        maybe = np.full(len(new), data is not None) if not data else CuckooFilter.load(data).contains(hi, lo)
+        return new.assign(maybe=maybe)[["key_hi", "key_lo", "n_docs", "first_doc", "maybe"]]
+
+    return keys.withColumn("shard", _shard(n_shards)).groupBy("shard").cogroup(filters.groupBy("shard")).applyInPandas(sift, SIFTED)
+
+
+def _grow(filters: DataFrame, new: DataFrame, counts: DataFrame, n_shards: int) -> DataFrame:
+    """The filters with new keys (none of them held) added; those that overflow are built again from counts."""
+
+    def grow(old: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
+        shard = int((old if len(old) else keys)["shard"].iloc[0])
+        hi, lo = keys["key_hi"].to_numpy(np.int64), keys["key_lo"].to_numpy(np.int64)
+        data = old["filter"].iloc[0] if len(old) else _filter_of(hi, lo)
+        if len(old) and data and len(keys):
+            held = CuckooFilter.load(data)
+            data = held.dump() if held.add(hi, lo) else b""
+        return pd.DataFrame({"shard": [shard], "filter": [data]})
 
-    sharded = keys.withColumn("shard", _shard(index.n_shards))
-    if index.filters is None:  # nothing is held yet: the filters are only built
-        return sharded.groupBy("shard").applyInPandas(lambda new: sift(new, pd.DataFrame()), SIFTED)
-    return sharded.groupBy("shard").cogroup(index.filters.filter(F.length("filter") > 0).groupBy("shard")).applyInPandas(sift, SIFTED)
+    dealt = new.select(*KEY, _shard(n_shards).alias("shard"))
+    grown = checkpoint(filters.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInPandas(grow, FILTERS))
+    full = grown.filter(F.length("filter") == 0).select("shard")
+    if full.isEmpty():
+        return grown
+    again = counts.withColumn("shard", _shard(n_shards)).join(full, "shard", "left_semi")
+    return checkpoint(grown.filter(F.length("filter") > 0).unionByName(_build(again, n_shards)))
 
 
 def insert(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> LineIndex:
@@ -184,23 +219,24 @@ def insert(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", text_co
     if index.refs is not None:
         refs = refs.join(index.refs, [*KEY, "doc_id"], "left_anti")
     refs = checkpoint(refs)
-    keys = _count(refs)
-    if not index.n_shards:
-        index = replace(index, n_shards=max(1, -(-keys.count() // KEYS_PER_SHARD)))
-    sifted = checkpoint(_sift(keys, index))
-    rows = sifted.filter("filter is null").select(*KEY, "n_docs", "first_doc", "maybe")
-    counts = rows.drop("maybe")
-    if index.counts is not None:
-        # An empty or dropped filter knows nothing: then all rows of its shard take the exact way.
-        known = index.filters.filter(F.length("filter") > 0).select("shard", F.lit(True).alias("known"))
-        rows = rows.withColumn("shard", _shard(index.n_shards)).join(known, "shard", "left").withColumn("maybe", F.col("maybe") | F.col("known").isNull())
-        merged = index.counts.unionByName(rows.filter("maybe").select(*KEY, "n_docs", "first_doc"))
-        merged = merged.groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.min("first_doc").alias("first_doc"))
-        counts = checkpoint(merged.unionByName(rows.filter("not maybe").select(*KEY, "n_docs", "first_doc")))
-        kept = index.filters.join(sifted.select("shard").distinct(), "shard", "left_anti")
-        filters = checkpoint(kept.unionByName(sifted.filter("filter is not null").select("shard", "filter")))
-        return LineIndex(index.refs.unionByName(refs), counts, filters, index.n_shards)
-    return LineIndex(refs, counts, sifted.filter("filter is not null").select("shard", "filter"), index.n_shards)
+    if index.counts is None:  # nothing is held yet: all keys are new
+        counts = checkpoint(_count(refs))
+        n_shards = max(1, -(-counts.count() // KEYS_PER_SHARD))
+        return LineIndex(refs, counts, checkpoint(_build(counts, n_shards)), n_shards)
+    rows = checkpoint(_sift(_count(refs), index.filters, index.n_shards))
+    maybe, unknown = rows.filter("maybe").drop("maybe"), rows.filter("not maybe").drop("maybe")
+    merged = index.counts.unionByName(maybe).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.min("first_doc").alias("first_doc"))
+    counts = checkpoint(merged.unionByName(unknown))
+    n_keys = counts.count()
+    if n_keys > index.n_shards * KEYS_PER_SHARD:  # with room for as many again, so that keys are seldom dealt anew
+        n_shards = -(-2 * n_keys // KEYS_PER_SHARD)
+        filters = checkpoint(_build(counts, n_shards))
+    else:
+        n_shards = index.n_shards
+        # A key that the filter took for a held one, but the exact table lacks, is new as well.
+        new = unknown.select(*KEY).unionByName(maybe.join(index.counts, KEY, "left_anti").select(*KEY))
+        filters = _grow(index.filters, new, counts, n_shards)
+    return LineIndex(index.refs.unionByName(refs), counts, filters, n_shards)
 
 
 def delete(index: LineIndex, doc_ids: DataFrame, *, id_col: str = "doc_id") -> LineIndex:
