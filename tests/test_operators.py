@@ -16,6 +16,7 @@ from tidemark.operators import pit
 from tidemark.operators import quality as Q
 from tidemark.operators import sessions as S
 from tidemark.operators import windows as R
+from tidemark.plans import all_queries
 from tidemark.sources import lake, parsers
 
 
@@ -164,3 +165,30 @@ def test_empty_series_is_stale(spark):
     limits = spark.createDataFrame([("a", 5), ("b", 5)], "code string, max_lag int")
     got = {r.code: r.stale for r in Q.freshness_gate(facts, limits, code="code", date="date", today=F.lit(day(3))).collect()}
     assert got == {"a": False, "b": True}
+
+
+def test_walk_forward_trains_all_folds_and_scores_the_holdout_once(spark):
+    rows = all_queries()["m13_train_walk_forward"](spark, "/root/testdata/sf0.01").collect()
+    valid, held = [r for r in rows if r.role == "valid"], [r for r in rows if r.role == "holdout"]
+    assert sorted((r.params, r.fold) for r in valid) == [(p, k) for p in range(3) for k in range(4)]
+    means = {p: [r.mean_ic for r in valid if r.params == p and r.mean_ic is not None] for p in range(3)}
+    best = max((p for p in means if means[p]), key=lambda p: sum(means[p]) / len(means[p]))
+    assert [(r.params, r.fold, r.best) for r in held] == [(best, None, True)] and held[0].cross_sections > 0
+    assert {r.params for r in valid if r.best} == {best}
+
+
+def test_holdout_lies_behind_an_embargo(spark):
+    df = spark.createDataFrame([(day(i),) for i in range(20)], "date date")
+    got = {r.date: r.role for r in M.tag_holdout(df, embargo=3, holdout=5).collect()}
+    assert got == {day(i): "train" for i in range(12)} | {day(i): "holdout" for i in range(15, 20)}
+
+
+def test_permutation_reports_all_cells_with_q_values(spark):
+    rows = all_queries()["h10_permute_cross_section"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.cell for r in rows} == {f"{x}:{h}" for x in ("rev", "lnv") for h in (1, 5, 10)}
+    for p, q in (("normal_p", "q"), ("p", "empirical_q")):
+        ranked = sorted(rows, key=lambda r: (r[p], r.cell))
+        want = [min([1.0, *(ranked[j][p] * 6 / (j + 1) for j in range(i, 6))]) for i in range(6)]
+        assert [r[q] for r in ranked] == pytest.approx(want)
+    assert {r.replicates for r in rows} == {4} and all(r.discoveries == sum(x.q <= 0.1 for x in rows) for r in rows)
+    assert len({r.count_p for r in rows}) == 1 and 0.2 <= rows[0].count_p <= 1

@@ -159,6 +159,22 @@ def empirical_p(observed: DataFrame, null: DataFrame, *, by: Sequence[str] = ("c
     return out.withColumn("p", (F.col("extreme") + 1) / (F.col("replicates") + 1))
 
 
+def permutation_report(observed: DataFrame, null: DataFrame, *, limit: float = 0.10, stat: str = "nw_t") -> DataFrame:
+    """For each cell its empirical p, the q-values over all cells (of the normal p of the observed statistic, and of the
+    empirical p), and the scan's discoveries (q at most `limit`) beside those of the replicates, each with its own BH step:
+    count_p = (1 + replicates with at least as many discoveries) / (1 + replicates).
+
+    observed: cell, stat; null: rep, cell, stat.
+    """
+    seen = benjamini_hochberg(observed.select("cell", F.col(stat).alias("t"), normal_p(stat).alias("normal_p")), "normal_p")
+    found = seen.agg(F.count_if(F.col("q") <= limit).alias("discoveries"))
+    scans = benjamini_hochberg(null.select("rep", "cell", normal_p(stat).alias("normal_p")), "normal_p", by=["rep"])
+    scans = scans.groupBy("rep").agg(F.count_if(F.col("q") <= limit).alias("_k"))
+    counts = found.join(scans, F.lit(True), "left").groupBy("discoveries").agg(((F.count_if(F.col("_k") >= F.col("discoveries")) + 1) / (F.count("_k") + 1)).alias("count_p"))
+    each = benjamini_hochberg(empirical_p(seen.select("cell", "t"), null.select("cell", F.col(stat).alias("t"))), out="empirical_q")
+    return each.join(seen.select("cell", "normal_p", "q"), "cell").crossJoin(F.broadcast(counts))
+
+
 def lookahead_canary(panel: DataFrame, label: str, *, keys: PanelKeys = P, min_names: int = 5) -> DataFrame:
     """The label against its own rank must have a mean IC of 1."""
     rows = panel.withColumn("_own", average_rank(label, keys.cross))

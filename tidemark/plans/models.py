@@ -141,9 +141,10 @@ def _(f):
 
 @query("m13_train_walk_forward")
 def _(f):
-    tagged = M.tag_folds(scored(f).select(*KEY, "rev", "lnv", "excess"), folds(f)).filter("fold < 2")
+    rows = scored(f).select(*KEY, "rev", "lnv", "excess")
     grid = [{"kind": "linear", "regParam": 0.1, "elasticNetParam": 0.0}, {"kind": "linear", "regParam": 0.1, "elasticNetParam": 0.5}, {"kind": "boosted", "maxIter": 3, "maxDepth": 3}]
-    return M.train_walk_forward(tagged, ["rev", "lnv"], "excess", grid=grid)
+    held = M.tag_holdout(rows, embargo=20, holdout=200, calendar=f.bars)
+    return M.train_walk_forward(M.tag_folds(rows, folds(f)), ["rev", "lnv"], "excess", grid=grid, held=held)
 
 
 @query("m14_realized_summary", f"WITH {SCORED}, k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY turnover DESC, entity) AS r FROM s) WHERE r <= 3) SELECT date, count(DISTINCT entity) AS names, count(fwd) AS known, round(avg(fwd), 5) + 0.0 AS mean, round(avg(CASE WHEN fwd > 0 THEN 1.0 WHEN fwd IS NOT NULL THEN 0 END), 5) AS hit_ratio FROM k GROUP BY date", "valid")
@@ -273,9 +274,10 @@ def _(f):
 
 @query("h10_permute_cross_section")
 def _(f):
-    long = H.long_cells(scan_panel(f), CELLS[:2])
-    null = H.newey_west(H.daily_ic(H.permute_cross_section(long, 4, seed="h10"), by=["rep", "cell"]).join(f.bars.select("date").distinct().withColumn("d_idx", F.row_number().over(W.orderBy("date"))), "date"), 4, by=["rep", "cell"])
-    return H.empirical_p(tests(f).filter(F.col("cell").isin([c for c, _, _ in CELLS[:2]])).select("cell", F.col("nw_t").alias("t")), null.select("cell", F.col("nw_t").alias("t")))
+    permuted = H.permute_cross_section(H.long_cells(scan_panel(f), CELLS), 4, seed="h10")
+    days = f.bars.select("date").distinct().withColumn("d_idx", F.row_number().over(W.orderBy("date")))
+    null = H.newey_west(H.daily_ic(permuted, by=["rep", "cell"]).join(days, "date"), 4, by=["rep", "cell"])
+    return H.permutation_report(tests(f), null)
 
 
 @query("h10_permutation_conserves", f"WITH {SCAN} SELECT r AS rep, round(sum(x), 3) + 0.0 AS total, count(*) AS n FROM lng, (SELECT unnest([0, 1, 2]) AS r) WHERE cell = 'lnv:5' AND x IS NOT NULL AND y IS NOT NULL GROUP BY r", "valid bars")
