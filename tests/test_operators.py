@@ -17,6 +17,7 @@ from tidemark.operators import quality as Q
 from tidemark.operators import sessions as S
 from tidemark.operators import windows as R
 from tidemark.plans import all_queries
+from tidemark.plans.fixtures import Fixtures
 from tidemark.sources import lake, parsers
 
 
@@ -192,3 +193,15 @@ def test_permutation_reports_all_cells_with_q_values(spark):
         assert [r[q] for r in ranked] == pytest.approx(want)
     assert {r.replicates for r in rows} == {4} and all(r.discoveries == sum(x.q <= 0.1 for x in rows) for r in rows)
     assert len({r.count_p for r in rows}) == 1 and 0.2 <= rows[0].count_p <= 1
+
+
+def test_missing_sessions_and_registry_take_the_whole_tables(spark):
+    sf = "/root/testdata/sf0.01"
+    queries = all_queries()
+    bars = Fixtures(spark, sf).bars
+    first = bars.groupBy("entity", "grp").agg(F.min("date").alias("first"))
+    want = first.join(bars.select("grp", "date").distinct(), "grp").filter("date >= first").count() - bars.select("entity", "grp", "date").distinct().count()
+    got = queries["q19_missing_sessions_all"](spark, sf)
+    assert got.count() == want and got.filter("entity >= 10").count() > 0
+    registered = queries["h22_assemble_results_all"](spark, sf).filter("result <> 'error_unregistered'").count()
+    assert registered == spark.read.parquet(f"{sf}/customer.parquet").filter("c_custkey % 4 <> 0").count() > 1000

@@ -323,6 +323,13 @@ def _(f):
     return missing_sessions(f.bars.filter("entity < 10"), f.bars)
 
 
+@query("q19_missing_sessions_all", "SELECT e.entity, e.grp, c.date FROM (SELECT entity, grp, min(date) AS f FROM bars GROUP BY 1, 2) e JOIN calendar c ON c.grp = e.grp AND c.date >= e.f ANTI JOIN bars b ON b.entity = e.entity AND b.grp = e.grp AND b.date = c.date", "bars calendar")
+def _(f):
+    from tidemark.operators.sessions import missing_sessions
+
+    return missing_sessions(f.bars, f.bars)
+
+
 @query("q20_business_days", "SELECT d AS date FROM (SELECT CAST(unnest(generate_series(DATE '1999-01-01', DATE '1999-12-31', INTERVAL 1 DAY)) AS DATE) AS d) WHERE dayofweek(d) BETWEEN 1 AND 5 AND d NOT IN (SELECT receipt_date FROM filings WHERE kind = '1-URGENT')", "filings")
 def _(f):
     from tidemark.operators.sessions import business_days
