@@ -317,6 +317,31 @@ def test_secret_scan(spark):
     assert found == [keys[0][::-1]] and got[len(texts) + len(odd) - 1].spans == []
 
 
+def test_secret_scan_of_long_tokens(spark):
+    rng = random.Random(7)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789") for _ in range(n))
+    syllables = ["ter", "ing", "man", "con", "ver", "sta", "tion", "ent", "for", "ation"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(4))
+    texts = [f"the {' '.join(word() for _ in range(20))} of password={draw(32)} and more" for _ in range(200)]
+    plain = "_".join(word() for _ in range(60))
+    long = [draw(344), draw(201), draw(5000), plain[:330] + "/" + draw(344), draw(344) + "/" + plain[:330], plain + "2"]
+    got = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.spans] for r in secret_scan.scan(documents(spark, [*texts, *(f"see {x} there" for x in long)])).collect()}
+    assert [got[len(texts) + i] for i in range(6)] == [[(3, 4, 4 + len(x))] for x in long[:5]] + [[]]
+
+
+def test_pieces_of_long_tokens_cover_them(spark):
+    tokens = ["".join(chr(97 + i % 26) + str(i % 10) for i in range(n))[:n] for n in (20, 200, 201, 299, 300, 301, 344, 1000)]
+    for t, pieces in spark.createDataFrame([(t,) for t in tokens], "t string").select("t", secret_scan._scored_pieces(F.col("t"))).collect():
+        assert pieces == ([t] if len(t) <= 200 else [t[i : i + 200] for i in range(0, len(t), 100) if len(t) - i >= 100])
+
+
+def test_secret_samples_draw_from_all_words(spark):
+    words = ["word" + "".join(chr(97 + int(c)) for c in f"{i:06d}") for i in range(400)]
+    rows = documents(spark, [" ".join(words)]).withColumn("base", F.array().cast("array<struct<kind:int,start:int,stop:int,found:string>>"))
+    drawn = secret_scan.labelled_samples(rows).filter("not random")
+    assert {r.found for r in drawn.collect()} == set(words)
+
+
 def test_secret_scan_of_an_empty_table(spark):
     assert secret_scan.scan(documents(spark, ["a"]).limit(0)).collect() == []
 

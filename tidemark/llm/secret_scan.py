@@ -1,8 +1,9 @@
 """Secret scan with DataFrame functions only: fixed patterns, and character Markov models compared by log-likelihood ratio.
 
-Fixed patterns give the base spans. Besides, every token of 20 to 200 key characters that holds a letter and a digit is
+Fixed patterns give the base spans. Besides, every token of 20 or more key characters that holds a letter and a digit is
 scored by two first-order character Markov models, one of random strings and one of ordinary identifiers and words, and
-becomes a span if its mean log-likelihood ratio is high. Both models are trained from labelled samples of the corpus:
+becomes a span if its mean log-likelihood ratio is high. A token of over 200 characters is scored in overlapping pieces,
+each as a token of its length would be, and becomes a span if one of them is high. Both models are trained from labelled samples of the corpus:
 values of base spans are labelled random, long words and identifiers outside them ordinary.
 """
 
@@ -20,7 +21,8 @@ KINDS = ("assign", "access", "hex", "markov")
 
 #: Tokens that the Markov models judge.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-MAX_CANDIDATE = 200
+#: Longer tokens are scored in pieces of at most so many characters, one from each half of that many on.
+PIECE = 200
 #: Characters of the models; any other is the last state.
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 STATES = len(ALPHABET) + 1
@@ -76,6 +78,13 @@ def _transitions(s: Column) -> Column:
     return F.zip_with(F.slice(states, F.lit(1), F.size(states) - 1), F.slice(states, F.lit(2), F.size(states) - 1), lambda a, b: a * STATES + b)
 
 
+def _scored_pieces(token: Column) -> Column:
+    """The token itself, or overlapping pieces that cover it: every stretch of half a piece lies whole in one of them."""
+    half = PIECE // 2
+    pieces = F.regexp_extract_all(token, F.lit(f"(?=(.{{{half},{PIECE}}})).{{1,{half}}}"), F.lit(1))
+    return F.when(F.length(token) > PIECE, pieces).otherwise(F.array(token))
+
+
 def train(samples: DataFrame) -> DataFrame:
     """One row with `ratio`: an array of log(p_random / p_ordinary) by transition, from rows of (found, random boolean).
 
@@ -99,7 +108,7 @@ def labelled_samples(rows: DataFrame, sample_strings: int = SAMPLE_STRINGS) -> D
     value = F.coalesce(F.nullif(F.regexp_extract("s.found", ASSIGN, 2), F.lit("")), F.col("s.found"))
     random = rows.select(F.explode("base").alias("s")).select(value.alias("found")).filter(F.regexp_like("found", F.lit("[0-9]"))).distinct()
     words = rows.select(F.explode(F.regexp_extract_all("text", F.lit(r"(?<![A-Za-z0-9+/_=-])[A-Za-z_]{8,40}(?![A-Za-z0-9+/_=-])"), F.lit(0))).alias("found"))
-    words = words.filter(F.pmod(F.xxhash64("found"), F.lit(8)) == 0).distinct()
+    words = words.distinct()
     made = rows.select(F.base64(F.unhex(F.sha2(F.concat(F.lit("random:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256))).alias("found"))
 
     def drawn(df: DataFrame, label: bool) -> DataFrame:
@@ -121,17 +130,17 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min
     ratios = train(labelled_samples(based, sample_strings))
 
     def worth(m: Column) -> Column:
-        return (F.length(m) <= MAX_CANDIDATE) & F.regexp_like(m, F.lit("[0-9]")) & F.regexp_like(m, F.lit("[A-Za-z]"))
+        return F.regexp_like(m, F.lit("[0-9]")) & F.regexp_like(m, F.lit("[A-Za-z]"))
 
     def apart(c: Column) -> Column:
         return ~F.exists("base", lambda b: (b["start"] < c["stop"]) & (c["start"] < b["stop"]))
 
-    def ratio(c: Column) -> Column:
-        moves = _transitions(c["found"])
+    def ratio(piece: Column) -> Column:
+        moves = _transitions(piece)
         return F.aggregate(moves, F.lit(0.0), lambda acc, t: acc + F.element_at("ratio", t + 1)) / F.greatest(F.size(moves), F.lit(1))
 
     found = based.withColumn("tokens", F.filter(_matches(F.col("text"), CANDIDATE, 3, worth), apart))
-    found = found.crossJoin(F.broadcast(ratios)).withColumn("tokens", F.filter("tokens", lambda c: ratio(c) >= min_ratio))
+    found = found.crossJoin(F.broadcast(ratios)).withColumn("tokens", F.filter("tokens", lambda c: F.exists(_scored_pieces(c["found"]), lambda piece: ratio(piece) >= min_ratio)))
     return found.select("doc_id", "text", F.array_sort(F.concat("base", "tokens"), _by_place).alias("spans"))
 
 
