@@ -186,6 +186,13 @@ def test_language_id(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def test_language_of_a_long_word_comes_from_all_of_it():
+    model = language_id.LanguageModel(["a", "b"], {"\tx": 0, "\ty": 1}, np.log(np.array([[0.8, 0.2], [0.2, 0.8]], np.float32)))
+    assert model.predict("x" * 200 + "y" * 100_000)[0] == "b" and model.predict("x" * 150 + "y" * 40)[0] == "a"
+    want = (300 * np.log([0.8, 0.2]) + 100 * np.log([0.2, 0.8])) / 400
+    assert np.allclose(model.backoff("x" * 300 + "y" * 100), want, atol=1e-5) and not [w for w in model.unseen if len(w) > 200]
+
+
 def test_language_id_without_training_rows(spark):
     model = language_id.fit(spark.createDataFrame([], "doc_id long, text string, lang string"))
     assert language_id.identify(documents(spark, ["abc"]), model).first().lang_pred == "und"

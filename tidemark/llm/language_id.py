@@ -24,8 +24,11 @@ SAMPLE_DOCS = 1000
 MAX_GRAM = 4
 #: Words and n-grams seen less often in the sample are not known.
 MIN_COUNT = 2
-#: Unseen words that a worker remembers.
+#: Unseen words that a worker remembers, and their greatest length; longer ones are scored anew each time.
 CACHE_WORDS = 50_000
+CACHE_CHARS = 200
+#: n-grams of a long word that are summed at once.
+BLOCK_GRAMS = 1 << 16
 UNDETERMINED = "und"
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -55,12 +58,15 @@ class LanguageModel:
         """Mean, over the characters, of the log frequencies of the longest known n-gram that ends there."""
         if (found := self.unseen.get(word)) is not None:
             return found
-        padded, get, rows = f" {word[:200]} ", self.row_of.get, []
+        padded, get, rows = f" {word} ", self.row_of.get, []
         for end in range(1, len(padded) + 1):
             for start in range(max(0, end - MAX_GRAM), end):
                 if (row := get("\t" + padded[start:end])) is not None:
                     rows.append(row)
                     break
+        if len(word) > CACHE_CHARS:
+            blocks = (self.logs[rows[i : i + BLOCK_GRAMS]].sum(axis=0, dtype=np.float64) for i in range(0, len(rows), BLOCK_GRAMS))
+            return sum(blocks, np.zeros(len(self.langs))) / max(1, len(rows))
         total = self.logs[rows].mean(axis=0) if rows else np.zeros(len(self.langs), np.float32)
         if len(self.unseen) >= CACHE_WORDS:
             self.unseen.clear()
