@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,15 +22,57 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that the session names in spark.checkpoint.dir; a temporary one only in a local session without one."""
+    if folder := spark.conf.get("spark.checkpoint.dir", None):
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[.*)?", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="checkpoint-")
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the session names, so that a lost executor costs no recomputation.
+    """Cut the lineage with a reliable checkpoint in the shared folder, so that a lost executor costs no recomputation."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
+    return df.checkpoint()
+
 
-    A temporary folder is used only where spark.checkpoint.dir is unset, as in local tests.
+class Tables:
+    """Tables that one run writes into a folder of its own in the shared folder, and takes away when it is done with them.
+
+    Unlike a checkpoint they are compressed, and small files are read together.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
-    return df.checkpoint()
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.n = spark, 0
+        self.folder = f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
+        self.places: dict[int, tuple[DataFrame, str]] = {}
+
+    def keep(self, df: DataFrame, *, instead_of: tuple[DataFrame | None, ...] = ()) -> DataFrame:
+        """df, written and read again; tables that it has superseded are deleted."""
+        place, self.n = f"{self.folder}/{self.n}", self.n + 1
+        df.write.parquet(place)
+        out = self.spark.read.schema(df.schema).parquet(place)
+        self.places[id(out)] = out, place
+        for old in instead_of:
+            self.drop(old)
+        return out
+
+    def drop(self, df: DataFrame | None) -> None:
+        if held := self.places.pop(id(df), None):
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(held[1])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: Bytes of a partition that small frames are packed into.
+PART_BYTES = 8 << 20
+
+
+def packed(df: DataFrame, rows: int, row_bytes: int) -> DataFrame:
+    """df in no more partitions than so many rows need; a small frame then costs few tasks and no exchange."""
+    return df.coalesce(max(1, -(-rows * row_bytes // PART_BYTES)))
 
 
 def utf8_columns(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
