@@ -24,12 +24,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpoint, id_text, record_batch, slices, utf8_columns, with_kept
+from tidemark.llm.common import Tables, id_text, record_batch, slices, utf8_columns, with_kept
 
 KEY = ["key_hi", "key_lo"]
 SLOTS = 4
 #: Keys of one shard; the number of shards follows the number of keys, so that a shard fits a task at any corpus size.
 KEYS_PER_SHARD = 200_000
+#: Batches in which the one-shot form inserts documents: from the second on, filters decide which keys are new.
+BATCHES = 2
 
 
 class CuckooFilter:
@@ -122,6 +124,11 @@ class LineIndex:
     n_shards: int = 0
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """df as a table of its own in the shared folder; an index keeps its tables, as an earlier one may be gone back to."""
+    return Tables(df.sparkSession).keep(df)
+
+
 def line_key(line: bytes) -> bytes:
     """White space at both ends stripped, A-Z lower-cased; other characters stay."""
     return line.strip().lower()
@@ -205,32 +212,35 @@ def _grow(filters: DataFrame, new: DataFrame, counts: DataFrame, n_shards: int)
         return pd.DataFrame({"shard": [shard], "filter": [data]})
 
     dealt = new.select(*KEY, _shard(n_shards).alias("shard"))
-    grown = checkpoint(filters.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInPandas(grow, FILTERS))
+    grown = _written(filters.groupBy("shard").cogroup(dealt.groupBy("shard")).applyInPandas(grow, FILTERS))
     full = grown.filter(F.length("filter") == 0).select("shard")
     if full.isEmpty():
         return grown
     again = counts.withColumn("shard", _shard(n_shards)).join(full, "shard", "left_semi")
-    return checkpoint(grown.filter(F.length("filter") > 0).unionByName(_build(again, n_shards)))
+    return _written(grown.filter(F.length("filter") > 0).unionByName(_build(again, n_shards)))
 
 
-def insert(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10) -> LineIndex:
-    """The index after documents have been added; a document that it holds already changes nothing."""
+def insert(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, fresh: bool = False) -> LineIndex:
+    """The index after documents have been added; a document that it holds already changes nothing.
+
+    fresh: the index is known to hold none of these documents, which needn't be looked up then.
+    """
     refs = line_refs(docs, id_col=id_col, text_col=text_col, min_chars=min_chars)
-    if index.refs is not None:
+    if index.refs is not None and not fresh:
         refs = refs.join(index.refs, [*KEY, "doc_id"], "left_anti")
-    refs = checkpoint(refs)
+    refs = _written(refs)
     if index.counts is None:  # nothing is held yet: all keys are new
-        counts = checkpoint(_count(refs))
+        counts = _written(_count(refs))
         n_shards = max(1, -(-counts.count() // KEYS_PER_SHARD))
-        return LineIndex(refs, counts, checkpoint(_build(counts, n_shards)), n_shards)
-    rows = checkpoint(_sift(_count(refs), index.filters, index.n_shards))
+        return LineIndex(refs, counts, _written(_build(counts, n_shards)), n_shards)
+    rows = _written(_sift(_count(refs), index.filters, index.n_shards))
     maybe, unknown = rows.filter("maybe").drop("maybe"), rows.filter("not maybe").drop("maybe")
     merged = index.counts.unionByName(maybe).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.min("first_doc").alias("first_doc"))
-    counts = checkpoint(merged.unionByName(unknown))
+    counts = _written(merged.unionByName(unknown))
     n_keys = counts.count()
     if n_keys > index.n_shards * KEYS_PER_SHARD:  # with room for as many again, so that keys are seldom dealt anew
         n_shards = -(-2 * n_keys // KEYS_PER_SHARD)
-        filters = checkpoint(_build(counts, n_shards))
+        filters = _written(_build(counts, n_shards))
     else:
         n_shards = index.n_shards
         # A key that the filter took for a held one, but the exact table lacks, is new as well.
@@ -242,10 +252,10 @@ def insert(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", text_co
 def delete(index: LineIndex, doc_ids: DataFrame, *, id_col: str = "doc_id") -> LineIndex:
     """The index after documents have been taken out; lines that they alone held become unknown again."""
     gone = doc_ids.select(F.col(id_col).cast("long").alias("doc_id")).dropDuplicates()
-    refs = checkpoint(index.refs.join(gone, "doc_id", "left_anti").select(*KEY, "doc_id"))
-    touched = checkpoint(index.refs.join(gone, "doc_id", "left_semi").select(*KEY).dropDuplicates())
+    refs = _written(index.refs.join(gone, "doc_id", "left_anti").select(*KEY, "doc_id"))
+    touched = _written(index.refs.join(gone, "doc_id", "left_semi").select(*KEY).dropDuplicates())
     again = _count(refs.join(touched, KEY, "left_semi"))
-    counts = checkpoint(index.counts.join(touched, KEY, "left_anti").unionByName(again))
+    counts = _written(index.counts.join(touched, KEY, "left_anti").unionByName(again))
     freed = touched.join(again, KEY, "left_anti").withColumn("shard", _shard(index.n_shards))
 
     def take_out(old: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
@@ -255,7 +265,7 @@ def delete(index: LineIndex, doc_ids: DataFrame, *, id_col: str = "doc_id") -> L
             return pd.DataFrame({"shard": old["shard"], "filter": [held.dump()]})
         return old[["shard", "filter"]] if len(old) else pd.DataFrame({"shard": pd.Series(dtype="int32"), "filter": pd.Series(dtype=object)})
 
-    filters = checkpoint(index.filters.groupBy("shard").cogroup(freed.groupBy("shard")).applyInPandas(take_out, "shard int, filter binary"))
+    filters = _written(index.filters.groupBy("shard").cogroup(freed.groupBy("shard")).applyInPandas(take_out, "shard int, filter binary"))
     return LineIndex(refs, counts, filters, index.n_shards)
 
 
@@ -295,6 +305,9 @@ def apply_index(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", te
 
 
 def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, keep: tuple[str, ...] = ()) -> DataFrame:
-    """One-shot form: insert all documents into an empty index and apply it to them."""
+    """One-shot form: insert the documents into an empty index, in BATCHES dealt by id, and apply it to them."""
     names = {"id_col": id_col, "text_col": text_col, "min_chars": min_chars}
-    return apply_index(insert(LineIndex(), docs, **names), docs, **names, keep=keep)
+    turn, index = F.pmod(F.xxhash64(F.col(id_col).cast("long")), F.lit(BATCHES)), LineIndex()
+    for k in range(BATCHES):
+        index = insert(index, docs.filter(turn == k), **names, fresh=True)
+    return apply_index(index, docs, **names, keep=keep)
