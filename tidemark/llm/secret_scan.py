@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import Tables
+
 #: Fixed patterns, in listed order: kind, pattern, least length of what counts.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -111,9 +113,14 @@ def labelled_samples(rows: DataFrame, sample_strings: int = SAMPLE_STRINGS) -> D
     words = words.distinct()
     made = rows.select(F.base64(F.unhex(F.sha2(F.concat(F.lit("random:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256))).alias("found"))
 
+    tables = Tables(rows.sparkSession)
+
     def drawn(df: DataFrame, label: bool) -> DataFrame:
+        """Strings whose hash lies under the share that the sample is of all of them; no row travels for it."""
+        df = tables.keep(df)
+        share = min(1.0, sample_strings / max(df.count(), 1))
         h = F.pmod(F.xxhash64("found", F.lit("sample")), F.lit(1 << 30))
-        return df.orderBy(h, "found").limit(sample_strings).withColumn("random", F.lit(label))
+        return df.filter(h < share * (1 << 30)).withColumn("random", F.lit(label))
 
     return drawn(random, True).unionByName(drawn(made, True)).unionByName(drawn(words, False))
 
