@@ -31,9 +31,9 @@ _RUN = re.compile(r"(.)\1+")
 
 
 def shape_of(token: str) -> str:
-    """Letters as A or a, digits as 0, other characters as they are; runs as one, 6 at most."""
-    kinds = "".join("0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in token[:64])
-    return _RUN.sub(r"\1", kinds)[:6]
+    """Letters as A or a, digits as 0, other characters as they are; runs as one."""
+    kinds = "".join("0" if c.isdigit() else "A" if c.isupper() else "a" if c.isalpha() else c for c in token)
+    return _RUN.sub(r"\1", kinds)
 
 
 class Indicators:
