@@ -31,14 +31,29 @@ def stock_pit(panel: DataFrame, shares: DataFrame, *, close: str = "close", keys
     })
 
 
-def fin_pit_features(panel: DataFrame, facts: DataFrame, *, codes: Sequence[str], keys: PanelKeys = P) -> DataFrame:
-    """Metrics known at t, wide, with ratios: code[0] / code[1] where that is positive, and NULL equity clip.
+#: Metric codes of fin_pit_features.
+FIN_CODES = ("total_assets", "total_equity", "total_liabilities", "net_income", "controlling_net_income", "operating_cash_flow", "cash", "revenue", "operating_income")
 
-    facts: entity, code, period_end, available_from, is_revision, value.
+
+def fin_pit_features(panel: DataFrame, facts: DataFrame, *, keys: PanelKeys = P) -> DataFrame:
+    """Metrics known at t, wide, and their ratios; debt to equity only where equity is positive, and the return on
+    equity of the controlling share where that is known.
+
+    facts: entity, code (of FIN_CODES), period_end, available_from, is_revision, value.
     """
-    rows = pit.pit_interval_join(panel, facts, by=[keys.entity], code="code", codes=codes, date=keys.date, order=["period_end", "is_revision"])
-    out = {f"{a}_to_{b}": F.when(F.col(b) > 0, sdiv(a, b)) for a, b in zip(codes, codes[1:], strict=False)}
-    return rows.withColumns(out)
+    rows = pit.pit_interval_join(panel, facts, by=[keys.entity], code="code", codes=FIN_CODES, date=keys.date, order=["period_end", "is_revision"])
+    return rows.withColumns({
+        "is_negative_equity": F.coalesce(F.col("total_equity") <= 0, F.lit(False)),
+        "has_fs": F.col("total_assets").isNotNull(),
+        "roa": sdiv("net_income", "total_assets"),
+        "debt_to_equity": F.when(F.col("total_equity") > 0, sdiv("total_liabilities", "total_equity")),
+        "equity_ratio": sdiv("total_equity", "total_assets"),
+        "cfo_to_assets": sdiv("operating_cash_flow", "total_assets"),
+        "cash_ratio": sdiv("cash", "total_assets"),
+        "roe": sdiv(F.coalesce("controlling_net_income", "net_income"), "total_equity"),
+        "asset_turnover": sdiv("revenue", "total_assets"),
+        "operating_margin": sdiv("operating_income", "revenue"),
+    })
 
 
 def fin_scan_features(panel: DataFrame, facts: DataFrame, *, numerators: Sequence[str], size: str, min_parts: int = 2, by: Sequence[str] | None = None, clip: tuple[float, float] = (0.01, 0.99), keys: PanelKeys = P) -> DataFrame:

@@ -79,11 +79,14 @@ def market_cap_log(panel: DataFrame, distorted: str = "distorted", cap: str = "m
     return panel.withColumn("ln_cap", F.when(~F.coalesce(F.col(distorted), F.lit(False)), safe_ln(cap)))
 
 
-def _masked(value: Column, events: int | None, keys: PanelKeys) -> Column:
-    """NULL if an event fell into the last `events` rows."""
-    if events is None:
+def _masked(value: Column, rows: tuple[int, int] | None, keys: PanelKeys) -> Column:
+    """NULL if an event fell into the rows first..last before the current one (0: the current row), by the running count `_events`."""
+    if rows is None:
         return value
-    return F.when(F.coalesce(F.max(F.col("event").cast("int")).over(keys.back(events - 1)), F.lit(0)) == 0, value)
+    first, last = rows
+    upto = F.lag("_events", last).over(keys.path()) if last else F.col("_events")
+    before = F.lag("_events", first + 1).over(keys.path())
+    return F.when(F.coalesce(upto, F.lit(0)) == F.coalesce(before, F.lit(0)), value)
 
 
 def price_features(valid: DataFrame, *, mask: bool = True, keys: PanelKeys = P) -> DataFrame:
@@ -94,50 +97,101 @@ def price_features(valid: DataFrame, *, mask: bool = True, keys: PanelKeys = P)
     """
     rows = valid.withColumn("mkt", F.avg("ret").over(W.partitionBy(*keys.cross)))
     rows = R.rolling_regression(rows, "ret", "mkt", 252, keys).drop("slope", "intercept", "n_pairs")
+    if mask:
+        rows = rows.withColumn("_events", R.cumulative_events("event", keys))
     path = keys.path()
     lag = lambda n: F.lag("close", n).over(path)
     resid = keys.back(252, 21)
     quiet = ((F.col("ret") == 0) | (F.col("volume") == 0)).cast("double")
     features = {
-        "reversal_5d": (complete("ret", -F.sum("ret").over(keys.back(4)), keys.back(4), 5), 5),
-        "mom_6_1": (F.ln(sdiv(lag(21), lag(126))), 252),
-        "mom_12_1": (F.ln(sdiv(lag(21), lag(252))), 252),
-        "resid_mom_12_1": (complete("residual", F.sum("residual").over(resid), resid, 232), 252),
-        "near_52w_high": (sdiv("close", F.max("close").over(keys.back(251))) - 1, 252),
-        "max_ret_20d": (F.max("simple").over(keys.back(19)), 20),
-        "idio_vol_60d": (F.when(F.count("residual").over(keys.back(125)) == 126, F.stddev_samp("residual").over(keys.back(59))), 60),
-        "turnover_shock": (safe_ln(sdiv("turnover", F.percentile("turnover", F.lit(0.5)).over(keys.back(60, 1)))), 60),
-        "zero_return_ratio": (F.avg(F.coalesce(quiet, F.lit(0.0))).over(keys.back(19)), 20),
+        "reversal_5d": (complete("ret", -F.sum("ret").over(keys.back(4)), keys.back(4), 5), (4, 0)),
+        "mom_6_1": (F.ln(sdiv(lag(21), lag(126))), (252, 21)),
+        "mom_12_1": (F.ln(sdiv(lag(21), lag(252))), (252, 21)),
+        "resid_mom_12_1": (complete("residual", F.sum("residual").over(resid), resid, 232), (252, 21)),
+        "near_52w_high": (sdiv("close", F.max("close").over(keys.back(251))) - 1, (251, 0)),
+        "max_ret_20d": (F.max("simple").over(keys.back(19)), (19, 0)),
+        "idio_vol_60d": (F.when(F.count("residual").over(keys.back(125)) == 126, F.stddev_samp("residual").over(keys.back(59))), (59, 0)),
+        "turnover_shock": (safe_ln(sdiv("turnover", F.percentile("turnover", F.lit(0.5)).over(keys.back(60, 1)))), (60, 1)),
+        "zero_return_ratio": (F.avg(F.coalesce(quiet, F.lit(0.0))).over(keys.back(19)), (19, 0)),
         "amihud_20d": (F.avg(sdiv(F.abs("ret"), "turnover")).over(keys.back(19)), None),
-        "ret_20d": (F.ln(sdiv("close", lag(20))), None),
-        "vol_20d": (F.stddev_samp("ret").over(keys.back(19)), None),
-        "ma20_gap": (sdiv("close", F.avg("close").over(keys.back(19))) - 1, None),
-        "hl_range_20": (F.avg(sdiv(F.col("high") - F.col("low"), "close")).over(keys.back(19)), None),
     }
     rows = rows.withColumns({k: _masked(v, n if mask else None, keys) for k, (v, n) in features.items()})
     rows = rows.withColumns({f"{k}_lag1": F.lag(k).over(path) for k in features})
     return rows.select(*keys.all, *features, *(f"{k}_lag1" for k in features))
 
 
-def flow_features(wide: DataFrame, panel: DataFrame, *, net: str, holding: str, volume: str = "volume", windows: tuple[int, ...] = (5, 20, 60), keys: PanelKeys = P) -> DataFrame:
-    """Of flows pivoted wide on valid sessions: sums, z-score, net / volume ratios of complete windows, holding
-    changes, and the difference of cross-sectional percent ranks over rows that have both."""
-    rows = panel.join(wide, [keys.date, keys.entity], "left")
-    path = keys.path()
-    out = {}
-    for n in windows:
-        w = keys.back(n - 1)
-        both = F.count(F.when(F.col(net).isNotNull() & F.col(volume).isNotNull(), 1)).over(w) == n
-        out[f"net_sum_{n}"] = F.sum(net).over(w)
-        out[f"net_ratio_{n}"] = F.when(both, sdiv(F.sum(net).over(w), F.sum(volume).over(w)))
-        out[f"holding_change_{n}"] = F.col(holding) - F.lag(holding, n).over(path)
-    out["net_z_20"] = R.rolling_zscore(net, 20, keys)
+def plain_price_features(bars: DataFrame, valid: DataFrame, *, keys: PanelKeys = P) -> DataFrame:
+    """Returns, momentum, volatility, range, turnover, distance from the yearly high and halts over all rows; halted
+    rows have no return and no turnover of their own, and count in every frame."""
+    own = valid.select(*keys.all, F.col("ret").alias("ret_1d"), "turnover")
+    rows = bars.join(own, keys.all, "left").withColumn("halted", is_halted())
+    month = keys.back(19)
+    since = lambda n: F.ln(sdiv("close", F.lag("close", n).over(keys.path())))
+    return rows.select(
+        *keys.all, "ret_1d", since(5).alias("ret_5d"), since(20).alias("ret_20d"), since(60).alias("ret_60d"), (since(20) - since(60)).alias("mom_20_60"),
+        F.stddev_samp("ret_1d").over(month).alias("vol_20d"), F.stddev_samp("ret_1d").over(keys.back(59)).alias("vol_60d"),
+        sdiv(F.max("high").over(month) - F.min("low").over(month), "close").alias("high_low_range_20d"),
+        "turnover", F.avg("turnover").over(month).alias("turnover_ma20"),
+        (sdiv("close", F.avg("close").over(month)) - 1).alias("gap_vs_ma20"), (sdiv("close", F.max("close").over(keys.back(251))) - 1).alias("dist_52w_high"),
+        "halted", F.avg(F.col("halted").cast("double")).over(month).alias("halt_ratio_20d"),
+    )
+
+
+def flow_features(
+    wide: DataFrame,
+    panel: DataFrame,
+    *,
+    nets: dict[str, str],
+    holding: str,
+    floats: str,
+    short_volume: str,
+    short_balance: str,
+    allowed: Column,
+    available: Column,
+    volume: str = "volume",
+    windows: tuple[int, ...] = (5, 20, 60),
+    month: int = 20,
+    keys: PanelKeys = P,
+) -> DataFrame:
+    """Flows pivoted wide on valid sessions, with _lag1 of every feature.
+
+    For each net flow sums, z-score and shares of the volume over complete windows; the ratio of the holding to the
+    float and its changes; where short selling is allowed, its share of the volume over a complete month and, where its
+    balance is available too, its ratio to the float, the change of that and the days to cover it; the proxy, over rows that
+    have both: percent rank of the holding's monthly change less that of the short ratio.
+    """
+    path, w = keys.path(), keys.back(month - 1)
+    rows = panel.join(wide, [keys.date, keys.entity], "left").withColumns({"_allowed": allowed, "_available": available})
+    rows = rows.withColumns({"_held": sdiv(holding, floats), "_short": sdiv(short_balance, floats)})
+    change = lambda c, n: F.col(c) - F.lag(c, n).over(path)
+
+    def share(x: str, n: int) -> Column:
+        frame = keys.back(n - 1)
+        full = (F.count(x).over(frame) == n) & (F.count(volume).over(frame) == n)
+        return F.when(full, sdiv(F.sum(x).over(frame), F.sum(volume).over(frame)))
+
+    out: dict[str, Column] = {}
+    for name, net in nets.items():
+        for n in windows:
+            out[f"{name}_sum_{n}"] = F.sum(net).over(keys.back(n - 1))
+            out[f"{name}_to_volume_{n}"] = share(net, n)
+        out[f"{name}_z_{month}"] = R.rolling_zscore(net, month, keys)
+    known = F.col("_allowed") & F.col("_available")
+    out |= {"holding_ratio": F.col("_held"), **{f"holding_ratio_chg_{n}": change("_held", n) for n in windows}}
+    out |= {
+        f"short_turnover_{month}": F.when(F.col("_allowed"), share(short_volume, month)),
+        "short_interest_ratio": F.when(known, F.col("_short")),
+        f"short_interest_ratio_chg_{month}": F.when(known, change("_short", month)),
+        "days_to_cover": F.when(known, sdiv(short_balance, F.avg(volume).over(w))),
+        "_moved": F.when(known & F.lag("_available", month).over(path), change("_held", month)),
+    }
     rows = rows.withColumns(out)
-    pair = F.col(net).isNotNull() & F.col(holding).isNotNull()
+    pair = F.col("_moved").isNotNull() & F.col("short_interest_ratio").isNotNull()
     by = W.partitionBy(*keys.cross, pair)
-    proxy = F.when(pair, F.percent_rank().over(by.orderBy(holding)) - F.percent_rank().over(by.orderBy(net)))
-    rows = rows.withColumn("proxy", proxy)
-    return rows.withColumns({f"{c}_lag1": F.lag(c).over(path) for c in ("net_z_20", "proxy")})
+    rows = rows.withColumn("proxy", F.when(pair, F.percent_rank().over(by.orderBy("_moved")) - F.percent_rank().over(by.orderBy("short_interest_ratio"))))
+    names = [c for c in (*out, "proxy") if c != "_moved"]
+    rows = rows.withColumns({f"{c}_lag1": F.lag(c).over(path) for c in names})
+    return rows.select(*keys.all, *names, *(f"{c}_lag1" for c in names))
 
 
 def filing_activity(universe: DataFrame, filings: DataFrame, calendar: DataFrame, *, classes: dict[str, Column], session: str = "session", keys: PanelKeys = P) -> DataFrame:

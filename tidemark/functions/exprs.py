@@ -81,6 +81,24 @@ def finite_rows(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df
 
 
+def formation_filter(
+    panel: DataFrame, *, feature: str, targets: Sequence[str], label_ok: str, universe: str, start: str, event: str = "event", sample: str = "available", common: Sequence[str] = (), where: str | Column | None = None, keys: Sequence[str] = ("date", "entity", "grp")
+) -> DataFrame:
+    """rows that may enter a scan cell: from `start` on, in the universe, without event, feature finite, label valid.
+
+    sample: `available` asks for this label only, `common_survivor` for all flags in `common` as well. where: a further
+    condition (a group, a size segment, a period). Returns keys, feature_value and targets.
+    """
+    if sample not in ("available", "common_survivor"):
+        raise ValueError(f"unknown sample {sample!r}")
+    flags = [universe, label_ok, *(common if sample == "common_survivor" else ())]
+    rows = finite_rows(panel.filter(F.col(keys[0]) >= F.to_date(F.lit(start))), [feature]).filter(~F.coalesce(F.col(event), F.lit(False)))
+    for flag in flags:
+        rows = rows.filter(flag)
+    rows = rows if where is None else rows.filter(where)
+    return rows.select(*keys, F.col(feature).alias("feature_value"), *targets)
+
+
 def select_features(df: DataFrame, drop: Iterable[str], prefixes: Sequence[str] = (), pinned: Sequence[str] | None = None) -> list[str]:
     """numeric and boolean columns without keys, labels and helpers; a pinned list overrides."""
     if pinned is not None:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from tidemark.features import facts as D
 from tidemark.features import macro as M
 from tidemark.features import price as PR
-from tidemark.functions.exprs import rounded
+from tidemark.functions.exprs import complete, formation_filter, rounded
+from tidemark.keys import P
 from tidemark.operators import labels as L
 from tidemark.operators import pit
 from tidemark.operators import sessions as S
@@ -115,21 +116,72 @@ def _(f):
     return PR.market_cap_log(distorted(f)).select(*KEY, rounded("ln_cap").alias("ln_cap"))
 
 
+#: Features of D08 with the digits that they are compared to.
+PRICE_DIGITS = {"reversal_5d": 5, "mom_6_1": 4, "mom_12_1": 4, "resid_mom_12_1": 4, "near_52w_high": 5, "max_ret_20d": 5, "idio_vol_60d": 4, "turnover_shock": 4, "zero_return_ratio": 5, "amihud_20d": 4}
+
+
 @query(
     "d08_price_features",
-    f"""WITH {QUALITY}, m AS (SELECT *, CASE WHEN event THEN 1 ELSE 0 END AS ev FROM q2)
-    SELECT date, entity, grp,
+    f"""WITH {QUALITY}, m0 AS (SELECT *, CASE WHEN event THEN 1 ELSE 0 END AS ev, avg(ret) OVER (PARTITION BY date, grp) AS mkt FROM q2),
+    m AS (SELECT *, CASE WHEN regr_count(ret, mkt) OVER w = 252 THEN ret - (regr_intercept(ret, mkt) OVER w + regr_slope(ret, mkt) OVER w * mkt) END AS residual FROM m0 WINDOW w AS ({PATH} ROWS BETWEEN 252 PRECEDING AND 1 PRECEDING)),
+    x AS (SELECT date, entity, grp,
       round(CASE WHEN max(ev) OVER w5 = 0 AND count(ret) OVER w5 = 5 THEN -sum(ret) OVER w5 END, 5) + 0.0 AS reversal_5d,
+      round(CASE WHEN coalesce(max(ev) OVER s21, 0) = 0 THEN ln(lag(close, 21) OVER p / lag(close, 126) OVER p) END, 4) + 0.0 AS mom_6_1,
+      round(CASE WHEN coalesce(max(ev) OVER s21, 0) = 0 THEN ln(lag(close, 21) OVER p / lag(close, 252) OVER p) END, 4) + 0.0 AS mom_12_1,
+      round(CASE WHEN coalesce(max(ev) OVER s21, 0) = 0 AND count(residual) OVER s21 = 232 THEN sum(residual) OVER s21 END, 4) + 0.0 AS resid_mom_12_1,
+      round(CASE WHEN max(ev) OVER w252 = 0 THEN close / max(close) OVER w252 - 1 END, 5) + 0.0 AS near_52w_high,
       round(CASE WHEN max(ev) OVER w20 = 0 THEN max(simple) OVER w20 END, 5) + 0.0 AS max_ret_20d,
-      round(avg(abs(ret) / nullif(turnover, 0)) OVER w20 * 1e6, 4) AS amihud,
-      round(CASE WHEN max(ev) OVER w20 = 0 THEN avg(CASE WHEN ret = 0 OR volume = 0 THEN 1.0 ELSE 0.0 END) OVER w20 END, 5) AS zero_return_ratio,
-      round(close / avg(close) OVER w20 - 1, 5) + 0.0 AS ma20_gap, round(stddev_samp(ret) OVER w20, 5) AS vol_20d, round(ln(close / lag(close, 20) OVER ({PATH})), 5) + 0.0 AS ret_20d
-    FROM m WINDOW w5 AS ({PATH} ROWS 4 PRECEDING), w20 AS ({PATH} ROWS 19 PRECEDING)""",
+      round(CASE WHEN max(ev) OVER w60 = 0 AND count(residual) OVER ({PATH} ROWS 125 PRECEDING) = 126 THEN stddev_samp(residual) OVER w60 END, 4) + 0.0 AS idio_vol_60d,
+      round(CASE WHEN coalesce(max(ev) OVER b60, 0) = 0 THEN ln(nullif(turnover, 0) / nullif(median(turnover) OVER b60, 0)) END, 4) + 0.0 AS turnover_shock,
+      round(CASE WHEN max(ev) OVER w20 = 0 THEN avg(CASE WHEN ret = 0 OR volume = 0 THEN 1.0 ELSE 0.0 END) OVER w20 END, 5) + 0.0 AS zero_return_ratio,
+      round(avg(abs(ret) / nullif(turnover, 0)) OVER w20 * 1e6, 4) + 0.0 AS amihud_20d
+      FROM m WINDOW p AS ({PATH}), w5 AS ({PATH} ROWS 4 PRECEDING), w20 AS ({PATH} ROWS 19 PRECEDING), w60 AS ({PATH} ROWS 59 PRECEDING), w252 AS ({PATH} ROWS 251 PRECEDING),
+        s21 AS ({PATH} ROWS BETWEEN 252 PRECEDING AND 21 PRECEDING), b60 AS ({PATH} ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING))
+    SELECT *, {", ".join(f"lag({c}) OVER ({PATH}) AS {c}_lag1" for c in PRICE_DIGITS)} FROM x""",
     "valid",
 )
 def _(f):
-    out = PR.price_features(quality(f)).withColumn("amihud", rounded(F.col("amihud_20d") * 1e6, 4))
-    return out.select(*KEY, "amihud", *(rounded(c, 5).alias(c) for c in ("reversal_5d", "max_ret_20d", "zero_return_ratio", "ma20_gap", "vol_20d", "ret_20d")))
+    out = PR.price_features(quality(f))
+    scaled = lambda c: F.col(c) * 1e6 if c.startswith("amihud") else F.col(c)
+    return out.select(*KEY, *(rounded(scaled(c + lag), d).alias(c + lag) for c, d in PRICE_DIGITS.items() for lag in ("", "_lag1")))
+
+
+@query(
+    "d08_plain_price_features",
+    f"""SELECT date, entity, grp, round(ret, 5) + 0.0 AS ret_1d, round(ln(close / lag(close, 5) OVER p), 5) + 0.0 AS ret_5d, round(ln(close / lag(close, 20) OVER p), 5) + 0.0 AS ret_20d,
+      round(ln(close / lag(close, 60) OVER p), 5) + 0.0 AS ret_60d, round(ln(close / lag(close, 20) OVER p) - ln(close / lag(close, 60) OVER p), 5) + 0.0 AS mom_20_60,
+      round(stddev_samp(ret) OVER w20, 5) AS vol_20d, round(stddev_samp(ret) OVER ({PATH} ROWS 59 PRECEDING), 5) AS vol_60d,
+      round((max(high) OVER w20 - min(low) OVER w20) / nullif(close, 0), 5) AS high_low_range_20d, round(turnover, 5) AS turnover, round(ln(avg(turnover) OVER w20), 5) AS ln_turnover_ma20,
+      round(close / avg(close) OVER w20 - 1, 5) + 0.0 AS gap_vs_ma20, round(close / max(close) OVER ({PATH} ROWS 251 PRECEDING) - 1, 5) + 0.0 AS dist_52w_high,
+      halted, round(avg(CASE WHEN halted THEN 1.0 ELSE 0.0 END) OVER w20, 5) AS halt_ratio_20d
+    FROM (SELECT b.*, v.ret, v.turnover, b.open = 0 AND b.high = 0 AND b.low = 0 AS halted FROM bars b LEFT JOIN valid v ON v.date = b.date AND v.entity = b.entity AND v.grp = b.grp)
+    WINDOW p AS ({PATH}), w20 AS ({PATH} ROWS 19 PRECEDING)""",
+    "bars valid",
+)
+def _(f):
+    out = PR.plain_price_features(f.bars, valid(f))
+    return rounded_all(out.withColumn("ln_turnover_ma20", F.ln("turnover_ma20")).drop("turnover_ma20"))
+
+
+@query(
+    "f09_formation_filter",
+    f"""WITH x AS (SELECT *, CASE WHEN count(ret) OVER w = 5 THEN -sum(ret) OVER w END AS rev, lead(close, 5) OVER p / close - 1 AS fwd, lead(close, 20) OVER p AS far, coalesce(abs(simple) > 0.9, true) AS event
+      FROM valid WINDOW p AS ({PATH}), w AS ({PATH} ROWS 4 PRECEDING)),
+    y AS (SELECT * FROM x WHERE date >= DATE '1995-06-01' AND volume >= 20 AND rev IS NOT NULL AND NOT event AND fwd IS NOT NULL)
+    SELECT 'available' AS sample, date, entity, grp, round(rev, 5) + 0.0 AS feature_value, round(fwd, 5) + 0.0 AS fwd FROM y
+    UNION ALL SELECT 'common_survivor', date, entity, grp, round(rev, 5) + 0.0, round(fwd, 5) + 0.0 FROM y WHERE far IS NOT NULL AND grp = 'A'""",
+    "valid",
+)
+def _(f):
+    w, path = P.back(4), P.path()
+    rows = valid(f).withColumns({
+        "rev": complete("ret", -F.sum("ret").over(w), w, 5), "fwd": F.lead("close", 5).over(path) / F.col("close") - 1,
+        "lives": F.lead("close", 20).over(path).isNotNull(), "event": F.coalesce(F.abs("simple") > 0.9, F.lit(True)), "traded": F.col("volume") >= 20,
+    }).withColumn("fwd_ok", F.col("fwd").isNotNull())
+    cell = {"feature": "rev", "targets": ["fwd"], "label_ok": "fwd_ok", "universe": "traded", "start": "1995-06-01"}
+    a = formation_filter(rows, **cell).withColumn("sample", F.lit("available"))
+    b = formation_filter(rows, **cell, sample="common_survivor", common=["lives"], where="grp = 'A'").withColumn("sample", F.lit("common_survivor"))
+    return rounded_all(a.unionByName(b).select("sample", *KEY, "feature_value", "fwd"))
 
 
 @query(
@@ -153,24 +205,48 @@ def user_panel(f: Fixtures) -> DataFrame:
     return days.withColumns({"grp": F.when(F.pmod("entity", F.lit(2)) == 0, "A").otherwise("B"), "volume": 10 + F.pmod(F.col("entity") + F.day("date"), F.lit(50))})
 
 
-WIDE = "wide AS (SELECT date, entity, max(CASE WHEN metric = 'click' THEN value END) AS net, max(CASE WHEN metric = 'view' THEN value END) AS holding FROM (SELECT *, row_number() OVER (PARTITION BY date, entity, metric ORDER BY source, event_id DESC) AS n FROM flows) WHERE n = 1 GROUP BY 1, 2)"
+FLOWS = {"click": "net", "signup": "inst", "view": "holding", "purchase": "short_volume", "error": "short_balance"}
+WIDE = f"""wide AS (SELECT date, entity, {", ".join(f"max(CASE WHEN metric = '{m}' THEN value END) AS {c}" for m, c in FLOWS.items())}
+      FROM (SELECT *, row_number() OVER (PARTITION BY date, entity, metric ORDER BY source, event_id DESC) AS n FROM flows) WHERE n = 1 GROUP BY 1, 2)"""
+
+
+def flow_sql(net: str) -> str:
+    both = f"count({net}) OVER w{{0}} = {{0}} AND count(volume) OVER w{{0}} = {{0}}"
+    each = [f"sum({net}) OVER w{n} AS {net}_sum_{n}, CASE WHEN {both.format(n)} THEN sum({net}) OVER w{n} / nullif(sum(volume) OVER w{n}, 0) END AS {net}_to_volume_{n}" for n in (2, 5)]
+    return ", ".join([*each, f"({net} - avg({net}) OVER w3) / nullif(stddev_samp({net}) OVER w3, 0) AS {net}_z_3"])
+
+
+FLOW_NAMES = [
+    *(f"{net}_{x}" for net in ("net", "inst") for x in ("sum_2", "to_volume_2", "sum_5", "to_volume_5", "z_3")),
+    "holding_ratio", "holding_ratio_chg_2", "holding_ratio_chg_5", "short_turnover_3", "short_interest_ratio", "short_interest_ratio_chg_3", "days_to_cover", "proxy",
+]
 
 
 @query(
     "d09_flow_features",
-    f"""WITH {WIDE}, p AS (SELECT DISTINCT date, entity, CASE WHEN entity % 2 = 0 THEN 'A' ELSE 'B' END AS grp, 10 + (entity + day(date)) % 50 AS volume FROM flows),
-    r AS (SELECT p.*, net, holding, net IS NOT NULL AND holding IS NOT NULL AS pair FROM p LEFT JOIN wide USING (date, entity))
-    SELECT date, entity, grp, round(sum(net) OVER w, 5) AS net_sum_5, round(CASE WHEN count(CASE WHEN net IS NOT NULL THEN 1 END) OVER w = 5 THEN sum(net) OVER w / nullif(sum(volume) OVER w, 0) END, 5) AS net_ratio_5,
-      round(holding - lag(holding, 5) OVER ({PATH}), 5) + 0.0 AS holding_change_5,
-      round(CASE WHEN pair THEN percent_rank() OVER (PARTITION BY date, grp, pair ORDER BY holding) - percent_rank() OVER (PARTITION BY date, grp, pair ORDER BY net) END, 5) + 0.0 AS proxy
-    FROM r WINDOW w AS ({PATH} ROWS 4 PRECEDING)""",
+    f"""WITH {WIDE}, p0 AS (SELECT DISTINCT date, entity, CASE WHEN entity % 2 = 0 THEN 'A' ELSE 'B' END AS grp, 10 + (entity + day(date)) % 50 AS volume, CAST(1009 + 90 * (entity % 7) AS DOUBLE) AS floats FROM flows),
+    r AS (SELECT p0.*, net, inst, short_volume, short_balance, holding / floats AS held, short_balance / floats AS short, day(date) % 5 <> 0 AS allowed, (day(date) + entity) % 7 <> 0 AS available FROM p0 LEFT JOIN wide USING (date, entity)),
+    x AS (SELECT date, entity, grp, {flow_sql("net")}, {flow_sql("inst")}, held AS holding_ratio, held - lag(held, 2) OVER p AS holding_ratio_chg_2, held - lag(held, 5) OVER p AS holding_ratio_chg_5,
+      CASE WHEN allowed AND count(short_volume) OVER w3 = 3 AND count(volume) OVER w3 = 3 THEN sum(short_volume) OVER w3 / nullif(sum(volume) OVER w3, 0) END AS short_turnover_3,
+      CASE WHEN allowed AND available THEN short END AS short_interest_ratio, CASE WHEN allowed AND available THEN short - lag(short, 3) OVER p END AS short_interest_ratio_chg_3,
+      CASE WHEN allowed AND available THEN short_balance / nullif(avg(volume) OVER w3, 0) END AS days_to_cover,
+      CASE WHEN allowed AND available AND lag(available, 3) OVER p THEN held - lag(held, 3) OVER p END AS moved
+      FROM r WINDOW p AS ({PATH}), w2 AS ({PATH} ROWS 1 PRECEDING), w3 AS ({PATH} ROWS 2 PRECEDING), w5 AS ({PATH} ROWS 4 PRECEDING)),
+    k AS (SELECT date, entity, grp, percent_rank() OVER (PARTITION BY date, grp ORDER BY moved) - percent_rank() OVER (PARTITION BY date, grp ORDER BY short_interest_ratio) AS proxy
+      FROM x WHERE moved IS NOT NULL AND short_interest_ratio IS NOT NULL),
+    y AS (SELECT x.*, k.proxy FROM x LEFT JOIN k USING (date, entity, grp))
+    SELECT date, entity, grp, {", ".join(f"round({c}, 5) + 0.0 AS {c}, round(lag({c}) OVER ({PATH}), 5) + 0.0 AS {c}_lag1" for c in FLOW_NAMES)} FROM y""",
     "flows",
 )
 def _(f):
     one = dedup_prefer(f.flows, ["date", "entity", "metric"], "source", ["P", "S"], [F.desc("event_id")])
-    wide = pivot_codes(one, ["date", "entity"], "metric", "value", ["click", "view"]).withColumnsRenamed({"click": "net", "view": "holding"})
-    out = PR.flow_features(wide, user_panel(f), net="net", holding="holding", windows=(5,))
-    return rounded_all(out.select(*KEY, "net_sum_5", "net_ratio_5", "holding_change_5", "proxy"))
+    wide = pivot_codes(one, ["date", "entity"], "metric", "value", list(FLOWS)).withColumnsRenamed(FLOWS)
+    panel = user_panel(f).withColumn("floats", (1009 + 90 * F.pmod("entity", F.lit(7))).cast("double"))
+    out = PR.flow_features(
+        wide, panel, nets={"net": "net", "inst": "inst"}, holding="holding", floats="floats", short_volume="short_volume", short_balance="short_balance",
+        allowed=F.day("date") % 5 != 0, available=(F.day("date") + F.col("entity")) % 7 != 0, windows=(2, 5), month=3,
+    )
+    return rounded_all(out)
 
 
 @query(
@@ -200,14 +276,19 @@ def pit_sql(code: str, alias: str) -> str:
 
 @query(
     "d11_fin_pit_features",
-    f"""WITH coded AS (SELECT *, 'q' || q AS code FROM vintages)
-    SELECT b.date, b.entity, b.grp, x.value AS q4, y.value AS q1, round(CASE WHEN y.value > 0 THEN x.value / y.value END, 5) AS q4_to_q1 FROM bars b {pit_sql('q4', 'x')} {pit_sql('q1', 'y')}""",
+    f"""WITH coded AS (SELECT *, {list(D.FIN_CODES)}[(4 * year + q) % {len(D.FIN_CODES)} + 1] AS code FROM vintages),
+    w AS (SELECT b.date, b.entity, b.grp, {", ".join(f"t{i}.value AS {c}" for i, c in enumerate(D.FIN_CODES))} FROM bars b {" ".join(pit_sql(c, f"t{i}") for i, c in enumerate(D.FIN_CODES))})
+    SELECT date, entity, grp, {", ".join(D.FIN_CODES)}, coalesce(total_equity <= 0, false) AS is_negative_equity, total_assets IS NOT NULL AS has_fs, round(net_income / nullif(total_assets, 0), 5) AS roa,
+      round(CASE WHEN total_equity > 0 THEN total_liabilities / total_equity END, 5) AS debt_to_equity, round(total_equity / nullif(total_assets, 0), 5) AS equity_ratio,
+      round(operating_cash_flow / nullif(total_assets, 0), 5) AS cfo_to_assets, round(cash / nullif(total_assets, 0), 5) AS cash_ratio,
+      round(coalesce(controlling_net_income, net_income) / nullif(total_equity, 0), 5) AS roe, round(revenue / nullif(total_assets, 0), 5) AS asset_turnover, round(operating_income / nullif(revenue, 0), 5) AS operating_margin FROM w""",
     "bars vintages",
 )
 def _(f):
-    facts = f.vintages.withColumn("code", F.concat(F.lit("q"), "q"))
-    out = D.fin_pit_features(f.bars, facts, codes=["q4", "q1"])
-    return out.select(*KEY, "q4", "q1", rounded("q4_to_q1", 5).alias("q4_to_q1"))
+    code = F.element_at(F.array(*map(F.lit, D.FIN_CODES)), (F.pmod(4 * F.col("year") + F.col("q"), F.lit(len(D.FIN_CODES))) + 1).cast("int"))
+    out = D.fin_pit_features(f.bars, f.vintages.withColumn("code", code))
+    names = ["is_negative_equity", "has_fs", "roa", "debt_to_equity", "equity_ratio", "cfo_to_assets", "cash_ratio", "roe", "asset_turnover", "operating_margin"]
+    return rounded_all(out.select(*KEY, *D.FIN_CODES, *names))
 
 
 @query(
