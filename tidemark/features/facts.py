@@ -56,29 +56,48 @@ def fin_pit_features(panel: DataFrame, facts: DataFrame, *, keys: PanelKeys = P)
     })
 
 
-def fin_scan_features(panel: DataFrame, facts: DataFrame, *, numerators: Sequence[str], size: str, min_parts: int = 2, by: Sequence[str] | None = None, clip: tuple[float, float] = (0.01, 0.99), keys: PanelKeys = P) -> DataFrame:
-    """Value score: each numerator / size, winsorized and z-scored in its cross-section, mean of at least min_parts.
+#: Metric codes of fin_scan_features; the last is the value of four quarters before.
+SCAN_CODES = ("net_income", "controlling_net_income", "total_equity", "operating_cash_flow", "revenue", "cogs", "gross_profit", "operating_income", "total_assets", "total_assets_lag4q")
+#: Parts of the value score: what is divided by the market cap.
+VALUE_PARTS = {"book_to_market": "total_equity", "earnings_yield": "controlling_net_income", "cfo_yield": "operating_cash_flow", "sales_to_price": "revenue"}
 
-    The basis (consolidated if the first numerator has that on the day, else separate) is chosen once for an entity and
-    day; facts carry a `basis` of 'C' or 'S' and are known from available_from.
+
+def fin_scan_features(panel: DataFrame, facts: DataFrame, *, ok: Column, cap: str = "market_cap", min_parts: int = 2, by: Sequence[str] | None = None, clip: tuple[float, float] = (0.01, 0.99), keys: PanelKeys = P) -> DataFrame:
+    """Value, profitability, growth and accruals of one basis, and the value score.
+
+    The basis (consolidated if net income has that on the day, else separate) is chosen once for an entity and day and
+    holds for all metrics; facts carry a `basis` of 'C' or 'S' and are known from available_from. Yields need `ok` (a
+    priced, tradable row); assets are the mean of now and four quarters before. The score is the mean of at least
+    min_parts yields, each winsorized and z-scored in its cross-section.
     """
-    cross = list(by or keys.cross)
-    codes = [f"{b}_{n}" for n in numerators for b in "CS"]
-    coded = facts.withColumn("code", F.concat_ws("_", "basis", "code"))
-    rows = pit.pit_interval_join(panel, coded, by=[keys.entity], code="code", codes=codes, date=keys.date, order=["period_end", "is_revision"])
-    rows = rows.withColumn("basis", F.when(F.col(f"C_{numerators[0]}").isNotNull(), "C").otherwise("S"))
-    w = W.partitionBy(*cross)
+    w = W.partitionBy(*(by or keys.cross))
+    codes = [f"{b}_{c}" for c in SCAN_CODES for b in "CS"]
+    rows = pit.pit_interval_join(panel, facts.withColumn("code", F.concat_ws("_", "basis", "code")), by=[keys.entity], code="code", codes=codes, date=keys.date, order=["period_end", "is_revision"])
+    whole = F.col("C_net_income").isNotNull()
+    rows = rows.withColumns({c: F.when(whole, F.col(f"C_{c}")).otherwise(F.col(f"S_{c}")) for c in SCAN_CODES} | {"basis": F.when(whole, "C").when(F.col("S_net_income").isNotNull(), "S")})
+    priced = F.coalesce(ok & (F.col(cap) > 0), F.lit(False))
+    both = (F.col("total_assets") > 0) & (F.col("total_assets_lag4q") > 0)
+    rows = rows.withColumns({"_assets": F.when(both, (F.col("total_assets") + F.col("total_assets_lag4q")) / 2), "_gross": F.coalesce("gross_profit", F.col("revenue") - F.col("cogs"))})
+    per_asset = lambda x: F.when(F.col("_assets") > 0, x / F.col("_assets"))
+    rows = rows.withColumns({
+        "negative_equity": F.coalesce(F.col("total_equity") <= 0, F.lit(False)),
+        "gross_profit_source": F.when(F.col("gross_profit").isNotNull(), "direct").when(F.col("_gross").isNotNull(), "revenue_minus_cogs_fallback"),
+        "log_mcap": F.when(priced, F.ln(cap)),
+        **{k: F.when(priced & (F.col("total_equity") > 0 if x == "total_equity" else F.lit(True)), F.col(x) / F.col(cap)) for k, x in VALUE_PARTS.items()},
+        "gross_profitability": per_asset(F.col("_gross")),
+        "operating_profitability": per_asset(F.col("operating_income")),
+        "asset_growth": F.when(F.col("total_assets_lag4q") > 0, F.col("total_assets") / F.col("total_assets_lag4q") - 1),
+        "accruals": per_asset(F.col("net_income") - F.col("operating_cash_flow")),
+    })
     parts = []
-    for n in numerators:
-        x = f"{n}_p"
-        rows = rows.withColumn(x, F.when(F.col(size) > 0, sdiv(F.when(F.col("basis") == "C", F.col(f"C_{n}")).otherwise(F.col(f"S_{n}")), size)))
+    for x in VALUE_PARTS:
         lo, hi = (F.percentile(x, F.lit(q)).over(w) for q in clip)
         rows = rows.withColumn(f"_{x}", F.when(F.col(x).isNotNull(), F.least(F.greatest(x, lo), hi)))
-        rows = rows.withColumn(f"{n}_z", sdiv(F.col(f"_{x}") - F.avg(f"_{x}").over(w), F.stddev_samp(f"_{x}").over(w))).drop(f"_{x}")
-        parts.append(F.col(f"{n}_z"))
+        rows = rows.withColumn(f"{x}_z", sdiv(F.col(f"_{x}") - F.avg(f"_{x}").over(w), F.stddev_samp(f"_{x}").over(w))).drop(f"_{x}")
+        parts.append(F.col(f"{x}_z"))
     known = sum((p.isNotNull().cast("int") for p in parts[1:]), parts[0].isNotNull().cast("int"))
     total = sum((F.coalesce(p, F.lit(0.0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0.0)))
-    return rows.withColumn("value_score", F.when(known >= min_parts, total / known)).drop(*codes)
+    return rows.withColumn("value_score", F.when(known >= min_parts, total / known)).drop(*codes, "_assets", "_gross")
 
 
 def share_event_flags(facts: DataFrame, *, by: Sequence[str] = ("entity",), lag_days: int = 90) -> DataFrame:

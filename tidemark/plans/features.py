@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.features import facts as D
 from tidemark.features import macro as M
 from tidemark.features import price as PR
-from tidemark.functions.exprs import complete, formation_filter, rounded
+from tidemark.functions.exprs import complete, formation_filter, is_halted, rounded
 from tidemark.keys import P
 from tidemark.operators import labels as L
 from tidemark.operators import pit
@@ -291,22 +291,33 @@ def _(f):
     return rounded_all(out.select(*KEY, *D.FIN_CODES, *names))
 
 
+SCAN_NAMES = ["log_mcap", *D.VALUE_PARTS, "gross_profitability", "operating_profitability", "asset_growth", "accruals"]
+SCAN_JOINS = " ".join(pit_sql(f"{b}_{c}", f"{b}{i}") for i, c in enumerate(D.SCAN_CODES) for b in "CS")
+
+
 @query(
     "d12_fin_scan_features",
-    f"""WITH coded AS (SELECT entity, period_end, available_from, is_revision, value, CASE WHEN entity % 3 = 0 THEN 'S' ELSE 'C' END || '_' || CASE WHEN q IN (1, 3) THEN 'ni' ELSE 'rev' END AS code FROM vintages),
-    r AS (SELECT b.date, b.entity, b.grp, b.volume, CASE WHEN cn.value IS NOT NULL THEN 'C' ELSE 'S' END AS basis, cn.value AS cn, sn.value AS sn, cr.value AS cr, sr.value AS sr
-      FROM bars b {pit_sql('C_ni', 'cn')} {pit_sql('S_ni', 'sn')} {pit_sql('C_rev', 'cr')} {pit_sql('S_rev', 'sr')}),
-    p AS (SELECT *, CASE WHEN volume > 0 THEN CASE WHEN basis = 'C' THEN cn ELSE sn END / volume END AS a, CASE WHEN volume > 0 THEN CASE WHEN basis = 'C' THEN cr ELSE sr END / volume END AS b FROM r),
-    k AS (SELECT *, CASE WHEN a IS NOT NULL THEN least(greatest(a, quantile_cont(a, 0.01) OVER w), quantile_cont(a, 0.99) OVER w) END AS ac, CASE WHEN b IS NOT NULL THEN least(greatest(b, quantile_cont(b, 0.01) OVER w), quantile_cont(b, 0.99) OVER w) END AS bc FROM p WINDOW w AS (PARTITION BY date, grp)),
-    z AS (SELECT *, (ac - avg(ac) OVER w) / nullif(stddev_samp(ac) OVER w, 0) AS az, (bc - avg(bc) OVER w) / nullif(stddev_samp(bc) OVER w, 0) AS bz FROM k WINDOW w AS (PARTITION BY date, grp))
-    SELECT date, entity, grp, basis, round((az + bz) / 2, 4) + 0.0 AS value_score FROM z""",
+    f"""WITH coded AS (SELECT entity, period_end, available_from, is_revision, value, CASE WHEN (entity + year) % 3 = 0 THEN 'S' ELSE 'C' END || '_' || {list(D.SCAN_CODES)}[(4 * year + q) % {len(D.SCAN_CODES)} + 1] AS code FROM vintages),
+    r AS (SELECT b.date, b.entity, b.grp, b.close * b.volume AS cap, NOT (b.open = 0 AND b.high = 0 AND b.low = 0) AND b.close * b.volume > 0 AS ok, CASE WHEN C0.value IS NOT NULL THEN 'C' WHEN S0.value IS NOT NULL THEN 'S' END AS basis,
+      {", ".join(f"CASE WHEN C0.value IS NOT NULL THEN C{i}.value ELSE S{i}.value END AS {c}" for i, c in enumerate(D.SCAN_CODES))} FROM bars b {SCAN_JOINS}),
+    a AS (SELECT *, CASE WHEN total_assets > 0 AND total_assets_lag4q > 0 THEN (total_assets + total_assets_lag4q) / 2 END AS assets, coalesce(gross_profit, revenue - cogs) AS gross FROM r),
+    p AS (SELECT date, entity, grp, basis, coalesce(total_equity <= 0, false) AS negative_equity, CASE WHEN gross_profit IS NOT NULL THEN 'direct' WHEN gross IS NOT NULL THEN 'revenue_minus_cogs_fallback' END AS gross_profit_source,
+      CASE WHEN ok THEN ln(cap) END AS log_mcap, CASE WHEN ok AND total_equity > 0 THEN total_equity / cap END AS book_to_market, CASE WHEN ok THEN controlling_net_income / cap END AS earnings_yield,
+      CASE WHEN ok THEN operating_cash_flow / cap END AS cfo_yield, CASE WHEN ok THEN revenue / cap END AS sales_to_price, CASE WHEN assets > 0 THEN gross / assets END AS gross_profitability,
+      CASE WHEN assets > 0 THEN operating_income / assets END AS operating_profitability, CASE WHEN total_assets_lag4q > 0 THEN total_assets / total_assets_lag4q - 1 END AS asset_growth,
+      CASE WHEN assets > 0 THEN (net_income - operating_cash_flow) / assets END AS accruals FROM a),
+    k AS (SELECT *, {", ".join(f"CASE WHEN {x} IS NOT NULL THEN least(greatest({x}, quantile_cont({x}, 0.01) OVER w), quantile_cont({x}, 0.99) OVER w) END AS k{i}" for i, x in enumerate(D.VALUE_PARTS))} FROM p WINDOW w AS (PARTITION BY date, grp)),
+    z AS (SELECT *, {", ".join(f"(k{i} - avg(k{i}) OVER w) / nullif(stddev_samp(k{i}) OVER w, 0) AS z{i}" for i in range(4))} FROM k WINDOW w AS (PARTITION BY date, grp))
+    SELECT date, entity, grp, basis, negative_equity, gross_profit_source, {", ".join(f"round({c}, 5) + 0.0 AS {c}" for c in SCAN_NAMES)},
+      round(CASE WHEN {" + ".join(f"(z{i} IS NOT NULL)::INT" for i in range(4))} >= 2 THEN list_avg([z0, z1, z2, z3]) END, 4) + 0.0 AS value_score FROM z""",
     "bars vintages",
 )
 def _(f):
-    basis = F.when(F.pmod("entity", F.lit(3)) == 0, "S").otherwise("C")
-    facts = f.vintages.withColumns({"basis": basis, "code": F.when(F.col("q").isin(1, 3), "ni").otherwise("rev")})
-    out = D.fin_scan_features(f.bars, facts, numerators=["ni", "rev"], size="volume")
-    return out.select(*KEY, "basis", rounded("value_score", 4).alias("value_score"))
+    basis = F.when(F.pmod(F.col("entity") + F.col("year"), F.lit(3)) == 0, "S").otherwise("C")
+    code = F.element_at(F.array(*map(F.lit, D.SCAN_CODES)), (F.pmod(4 * F.col("year") + F.col("q"), F.lit(len(D.SCAN_CODES))) + 1).cast("int"))
+    bars = f.bars.withColumn("market_cap", F.col("close") * F.col("volume"))
+    out = D.fin_scan_features(bars, f.vintages.withColumns({"basis": basis, "code": code}), ok=~is_halted())
+    return out.select(*KEY, "basis", "negative_equity", "gross_profit_source", *(rounded(c, 5).alias(c) for c in SCAN_NAMES), rounded("value_score", 4).alias("value_score"))
 
 
 def yearly(f: Fixtures) -> DataFrame:
