@@ -48,14 +48,15 @@ def daily_ic(long: DataFrame, *, by: Sequence[str] = ("cell",), min_names: int =
 def newey_west(daily: DataFrame, lag: int, *, by: Sequence[str] = ("cell",), idx: str = "d_idx", ic: str = "ic") -> DataFrame:
     """HAC t with Bartlett weights over real session gaps: by, dates, mean, nw_se, nw_t, pairs.
 
-    Only pairs of sessions at most `lag` apart meet: each session is dealt to the `lag` sessions after it.
+    Sessions of a group are distinct, so those at most `lag` apart are among the `lag` rows that follow: no join.
     """
     w = W.partitionBy(*by)
     rows = daily.filter(F.col(ic).isNotNull()).select(*by, F.col(idx).alias("_i"), (F.col(ic) - F.avg(ic).over(w)).alias("_d"), F.col(ic).alias("_ic"))
     base = rows.groupBy(*by).agg(F.count("*").alias("dates"), F.avg("_ic").alias("mean"), F.sum(F.col("_d") * F.col("_d")).alias("_g0"))
-    steps = rows.select(*by, "_d", F.posexplode(F.sequence(F.col("_i") + 1, F.col("_i") + lag))).select(*by, F.col("_d").alias("_d0"), (F.col("pos") + 1).alias("_gap"), F.col("col").alias("_i"))
-    pairs = steps.join(rows.select(*by, "_i", "_d"), [*by, "_i"])
-    cov = pairs.groupBy(*by).agg(F.sum((1 - F.col("_gap") / (lag + 1)) * F.col("_d0") * F.col("_d")).alias("_g"), F.count("*").alias("pairs"))
+    ahead = w.orderBy("_i")
+    cells = [F.struct((F.lead("_i", k).over(ahead) - F.col("_i")).alias("gap"), (F.col("_d") * F.lead("_d", k).over(ahead)).alias("dd")) for k in range(1, lag + 1)]
+    pairs = rows.select(*by, F.array(*cells).alias("_c")).select(*by, F.explode("_c").alias("p")).filter(F.col("p.gap") <= lag)
+    cov = pairs.groupBy(*by).agg(F.sum((1 - F.col("p.gap") / (lag + 1)) * F.col("p.dd")).alias("_g"), F.count("*").alias("pairs"))
     out = base.join(cov, list(by), "left").fillna(0, ["pairs"]) if by else base.crossJoin(cov)
     var = F.col("_g0") + 2 * F.coalesce("_g", F.lit(0.0))
     se = F.when(var > 0, F.sqrt(var) / F.col("dates"))
