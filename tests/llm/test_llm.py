@@ -217,15 +217,53 @@ def brute_bm25(texts, k):
     return out
 
 
-@pytest.mark.parametrize("shard", [20, 8192])
+@pytest.mark.parametrize("shard", [1, 300, 500_000])
 def test_topk_search(spark, corpus, shard):
     df = documents(spark, corpus)
     got = defaultdict(list)
-    for r in bm25.top_k(df, df.filter("doc_id % 20 = 0"), k=5, shard_docs=shard).orderBy("query_id", "rank").collect():
+    for r in bm25.top_k(df, df.filter("doc_id % 20 = 0"), k=5, shard_postings=shard).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.doc_id, r.score))
     want = brute_bm25(corpus, 5)
     for q, rows in want.items():
         assert [s for _, s in got[q]] == pytest.approx([s for _, s in rows], abs=2e-6)
+        clear = {s for s in (round(s, 4) for _, s in rows) if sum(abs(s - t) < 1e-3 for _, t in rows) == 1}
+        assert [i for i, s in got[q] if round(s, 4) in clear] == [i for i, s in rows if round(s, 4) in clear]
+
+
+def test_topk_search_repeats_ties_and_null_ids(spark):
+    texts = ["b a", "a b", "a b", "A", None, "c", "a b c d e f g", "a b"]
+    df = documents(spark, texts, ids=[7, 3, 3, 1, 2, 9, 8, None])
+    rows = bm25.top_k(df, df.filter("doc_id = 7"), k=4).orderBy("rank").collect()
+    assert [(r.rank, r.doc_id) for r in rows] == [(1, 3), (2, 3), (3, 7), (4, rows[3].doc_id)] and len({r.score for r in rows[:3]}) == 1
+    assert len(bm25.top_k(df, df.filter("doc_id = 7"), k=99).collect()) == 5
+
+
+@pytest.mark.parametrize("light", [0.0, 0.5, 0.99])
+def test_pruned_search_equals_a_full_one(monkeypatch, light):
+    """Ids and scores with small blocks, ties, and a threshold carried over shards, for words of very uneven frequency."""
+    monkeypatch.setattr(bm25, "BLOCK_DOCS", 4)
+    monkeypatch.setattr(bm25, "FIRST_BLOCKS", 1)
+    monkeypatch.setattr(bm25, "LIGHT", light)
+    rng = np.random.default_rng(11)
+    docs = [np.unique(np.minimum(rng.zipf(1.3, rng.integers(1, 60)), 300).astype(np.uint64), return_counts=True) for _ in range(400)]
+    docs += docs[:60]
+    df, mean = Counter(int(t) for d, _ in docs for t in d), float(np.mean([tf.sum() for _, tf in docs]))
+    ids = rng.permutation(len(docs))
+    shards = [bm25.build_index(ids[a : a + 70], docs[a : a + 70], mean) for a in range(0, len(docs), 70)]
+    for q, _ in docs[::9]:
+        weights = np.array([math.log(1 + (len(docs) - df[int(t)] + 0.5) / (df[int(t)] + 0.5)) for t in q])
+        found, threshold = [], 0.0
+        for shard in shards:
+            found = sorted([*found, *((-s, i) for i, s in zip(*bm25.search(shard, q, weights, 7, threshold), strict=True))])[:7]
+            threshold = -found[-1][0] if len(found) == 7 else 0.0
+        full = []
+        for i, (terms, tf) in zip(ids, docs, strict=True):
+            _, a, b = np.intersect1d(terms, q, return_indices=True)
+            s = (weights[b] * tf[a] * 2.2 / (tf[a] + 1.2 * (0.25 + 0.75 * tf.sum() / mean))).sum()
+            if s > 0:
+                full.append((-round(s, 6), i))
+        assert [i for _, i in found] == [i for _, i in sorted(full)[:7]]
+        assert [s for s, _ in found] == pytest.approx([s for s, _ in sorted(full)[:7]], abs=2e-6)
 
 
 def test_topk_search_without_rows(spark):
