@@ -75,8 +75,14 @@ def stable_order(df: DataFrame, keys: PanelKeys = P) -> DataFrame:
     return df.orderBy(*keys.all)
 
 
-def global_rank(df: DataFrame, x: str, out: str = "rank") -> DataFrame:
-    """Competition rank over all rows without a one-partition window, and the number of equal values as _ties.
+def _offsets(ranged: DataFrame, rows: Column) -> DataFrame:
+    """Rows of all earlier ranges: one row for each range."""
+    before = F.sum("_t").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1))
+    return ranged.groupBy("_b").agg(rows.alias("_t")).select("_b", F.coalesce(before, F.lit(0)).alias("_off"))
+
+
+def distinct_ranks(df: DataFrame, x: str) -> DataFrame:
+    """Each distinct non-NULL value with its competition rank, its count _n and the range _b that it was dealt to.
 
     Values are counted first (map-side combined) and dealt by range; each range numbers its own distinct values, and
     range totals, one row for each partition, give the offsets. The ranged frame is checkpointed, so that its
@@ -84,20 +90,23 @@ def global_rank(df: DataFrame, x: str, out: str = "rank") -> DataFrame:
     """
     counts = df.filter(F.col(x).isNotNull()).groupBy(x).agg(F.count("*").alias("_n"))
     ranged = checkpoint(counts.repartitionByRange(x).withColumn("_b", F.spark_partition_id()))
-    totals = ranged.groupBy("_b").agg(F.sum("_n").alias("_t"))
-    offsets = totals.withColumn("_off", F.coalesce(F.sum("_t").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("_t")
     inside = F.coalesce(F.sum("_n").over(W.partitionBy("_b").orderBy(x).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
-    ranks = ranged.withColumn("_in", inside).join(offsets, "_b").select(F.col(x).alias("_value"), (F.col("_off") + F.col("_in") + 1).alias(out), F.col("_n").alias("_ties"))
+    return ranged.withColumn("_in", inside).join(_offsets(ranged, F.sum("_n")), "_b").select(x, (F.col("_off") + F.col("_in") + 1).alias("rank"), "_n", "_b")
+
+
+def global_rank(df: DataFrame, x: str, out: str = "rank") -> DataFrame:
+    """Competition rank over all rows without a one-partition window, and the number of equal values as _ties."""
+    ranks = distinct_ranks(df, x).select(F.col(x).alias("_value"), F.col("rank").alias(out), F.col("_n").alias("_ties"))
     return df.join(ranks, F.col(x) == F.col("_value"), "left").drop("_value")
 
 
 def ntile_buckets(df: DataFrame, x: str, k: int, tie: str, out: str = "bucket") -> DataFrame:
-    """Ntile over all rows from the global rank; ties are parted by a key."""
-    ranked = global_rank(df.filter(F.col(x).isNotNull()), x, "_rank")
-    place = F.col("_rank") - 1 + F.row_number().over(W.partitionBy(x).orderBy(tie)) - 1
-    total = ranked.agg(F.count("*").alias("_total"))
-    placed = ranked.withColumn("_place", place).crossJoin(F.broadcast(total))
+    """Ntile over all rows, numbered within ranges of (value, key), so that rows of one value needn't meet in one task."""
+    ranged = checkpoint(df.filter(F.col(x).isNotNull()).repartitionByRange(x, tie).withColumn("_b", F.spark_partition_id()))
+    total = ranged.agg(F.count("*").alias("_total"))
+    place = F.col("_off") + F.row_number().over(W.partitionBy("_b").orderBy(x, tie)) - 1
+    placed = ranged.join(_offsets(ranged, F.count("*")), "_b").withColumn("_place", place).crossJoin(F.broadcast(total))
     size, rest = F.floor(F.col("_total") / k), F.pmod(F.col("_total"), F.lit(k))
     big = rest * (size + 1)
     bucket = F.when(F.col("_place") < big, F.floor(F.try_divide(F.col("_place"), size + 1))).otherwise(rest + F.floor(F.try_divide(F.col("_place") - big, size)))
-    return placed.withColumn(out, (bucket + 1).cast("int")).drop("_rank", "_place", "_total", "_ties")
+    return placed.withColumn(out, (bucket + 1).cast("int")).drop("_b", "_off", "_place", "_total")

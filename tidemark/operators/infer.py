@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tidemark.functions.exprs import sdiv
 from tidemark.keys import P, PanelKeys
 from tidemark.operators.aggregates import guarded_corr
-from tidemark.operators.cross import average_rank
+from tidemark.operators.cross import average_rank, distinct_ranks
 from tidemark.operators.model import rank_ic
 
 
@@ -79,13 +79,26 @@ def sign_test_p(hits: pd.Series, n: pd.Series) -> pd.Series:
     return pd.Series([p(k, m) for k, m in zip(hits, n, strict=True)], dtype="float64")
 
 
-def benjamini_hochberg(df: DataFrame, p: str = "p", *, by: Sequence[str] = (), tie: str = "cell", out: str = "q") -> DataFrame:
-    """Monotone q-values; a missing p counts as 1; ties go by id. One row for each hypothesis: a small table."""
-    part = W.partitionBy(*by) if by else W.partitionBy(F.lit(0))
+def benjamini_hochberg(df: DataFrame, p: str = "p", *, by: Sequence[str] = (), out: str = "q") -> DataFrame:
+    """Monotone q-values; a missing p counts as 1. Equal p have the q of the last of them.
+
+    Without `by` the distinct p are ranked by range (global_rank), and least values of later ranges are carried over by one
+    row for each range, so that no task holds all hypotheses.
+    """
     rows = df.withColumn("_p", F.coalesce(F.col(p), F.lit(1.0)))
-    rows = rows.withColumn("_r", F.row_number().over(part.orderBy("_p", tie))).withColumn("_m", F.count("*").over(part))
-    worst = F.min(F.col("_p") * F.col("_m") / F.col("_r")).over(part.orderBy(F.desc("_r")).rowsBetween(W.unboundedPreceding, 0))
-    return rows.withColumn(out, F.least(worst, F.lit(1.0))).drop("_p", "_r", "_m")
+    if by:
+        part = W.partitionBy(*by)
+        upto = F.count("*").over(part.orderBy("_p"))
+        ranked = rows.withColumn("_v", F.col("_p") * F.count("*").over(part) / upto)
+        worst = F.min("_v").over(part.orderBy(F.desc("_p")))
+        return ranked.withColumn(out, F.least(worst, F.lit(1.0))).drop("_p", "_v")
+    each, total = distinct_ranks(rows, "_p"), F.broadcast(rows.agg(F.count("*").alias("_m")))
+    each = each.crossJoin(total).withColumn("_v", F.col("_p") * F.col("_m") / (F.col("rank") + F.col("_n") - 1))
+    ranges = each.groupBy("_b").agg(F.min("_v").alias("_least"))
+    later = ranges.select("_b", F.min("_least").over(W.orderBy(F.desc("_b")).rowsBetween(W.unboundedPreceding, -1)).alias("_later"))
+    inside = F.min("_v").over(W.partitionBy("_b").orderBy(F.desc("_p")))
+    q = each.withColumn("_in", inside).join(later, "_b").select("_p", F.least("_in", "_later", F.lit(1.0)).alias(out))
+    return rows.join(q, "_p").drop("_p")
 
 
 def isolated_spike(df: DataFrame, *, by: Sequence[str], order: str, value: str = "mean") -> DataFrame:
@@ -194,7 +207,7 @@ def cluster_bootstrap(events: DataFrame, cluster: str, n: int, *, seed: str) ->
 
     The draws table has replicates x clusters rows; slots name clusters by their dense number, found by hash.
     """
-    ids = events.select(cluster).distinct().withColumn("_no", F.row_number().over(W.orderBy(cluster)) - 1)
+    ids = distinct_ranks(events.select(cluster).distinct(), cluster).select(cluster, (F.col("rank") - 1).cast("int").alias("_no"))
     total = ids.agg(F.count("*").alias("_total"))
     slots = _replicates(ids.select(F.col("_no").alias("slot")), n).crossJoin(F.broadcast(total))
     draws = slots.withColumn("_no", F.pmod(F.xxhash64(F.lit(seed), "rep", "slot"), F.col("_total")).cast("int")).drop("_total")

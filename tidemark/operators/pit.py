@@ -67,9 +67,15 @@ def asof_history(dates: DataFrame, obs: DataFrame, *, series: str, period: str,
     """For every date and series the periods known by then, each in its latest vintage (by known, then rank).
 
     The result has a row for each (date, series, period): history as it looked on that date. Its size is inherent; the
-    interval of each vintage is found first, so that the range join meets each period once for each date.
+    interval of each vintage is found first, and intervals and dates meet by month, in an equality join.
     """
     w = W.partitionBy(series, period).orderBy(known, *rank)
     one = obs.groupBy(series, period, known).agg(F.max(F.struct(*rank, value)).alias("_b")).select(series, period, known, *(F.col("_b")[c].alias(c) for c in (*rank, value)))
     spans = one.withColumn("_to", F.lead(known).over(w))
-    return dates.select(date).distinct().join(spans, (F.col(known) <= F.col(date)) & (F.col("_to").isNull() | (F.col("_to") > F.col(date)))).drop("_to")
+    days = dates.select(date).distinct().withColumn("_month", F.trunc(date, "month"))
+    ends = F.broadcast(days.agg(F.min(date).alias("_lo"), F.max(date).alias("_hi")))
+    first, last = F.trunc(F.greatest(known, "_lo"), "month"), F.trunc(F.least("_to", "_hi"), "month")
+    months = F.when(first <= last, F.sequence(first, last, F.expr("interval 1 month")))
+    dealt = spans.crossJoin(ends).withColumn("_month", F.explode(months)).drop("_lo", "_hi")
+    inside = (F.col(known) <= F.col(date)) & (F.col("_to").isNull() | (F.col("_to") > F.col(date)))
+    return days.join(dealt, "_month").filter(inside).drop("_month", "_to")

@@ -8,6 +8,7 @@ from tidemark.functions.exprs import is_halted, rounded
 from tidemark.operators import describe as E
 from tidemark.operators import quality as Q
 from tidemark.operators import windows as R
+from tidemark.operators.joins import snapshot_overlap
 from tidemark.plans.core import KEY, MONTHLY, PATH, monthly, valid
 from tidemark.plans.features import rounded_all
 from tidemark.plans.fixtures import Fixtures
@@ -228,6 +229,26 @@ def _(f):
     return rounded_all(Q.ratios(f.table("customer"), ["c_mktsegment"], {"negative": F.col("c_acctbal") < 0}), 6)
 
 
+@query(
+    "q12f_source_overlap",
+    "WITH x AS (SELECT vintage, series, obs_date, round(max(value), 6) AS v FROM macro GROUP BY ALL) SELECT count(*) AS overlap, count(*) FILTER (a.v IS DISTINCT FROM b.v) AS conflicts FROM x a JOIN x b USING (series, obs_date) WHERE a.vintage = 'O' AND b.vintage = 'F'",
+    "macro",
+)
+def _(f):
+    x = f.macro.groupBy("vintage", "series", "obs_date").agg(rounded(F.max("value"), 6).alias("v"))
+    return snapshot_overlap(x.filter("vintage = 'O'"), x.filter("vintage = 'F'"), ["series", "obs_date"], "v")
+
+
+@query("q12m_lookahead_violations", f"WITH {FACTS} SELECT code, count(*) AS rows, count(*) FILTER (available_from > date) AS late, CAST(max(datediff('day', date, available_from)) FILTER (available_from > date) AS INTEGER) AS max_days FROM facts GROUP BY 1", "macro")
+def _(f):
+    return Q.profile_pit(macro_facts(f), "available_from", "date", ["code"])
+
+
+@query("q12t_direction_balance", "SELECT sign(value)::INTEGER AS direction, count(*) AS facts, count(DISTINCT entity) AS entities, count(DISTINCT year(date)) AS years, CAST(min(year(date)) AS INTEGER) AS first_year, CAST(max(year(date)) AS INTEGER) AS last_year FROM flows GROUP BY 1", "flows")
+def _(f):
+    return Q.metric_coverage(f.flows.withColumn("direction", F.signum("value").cast("int")), "direction", "entity", F.year("date"))
+
+
 @query("q12l_metric_coverage", "SELECT kind, count(*) AS facts, count(DISTINCT entity) AS entities, count(DISTINCT year(receipt_date)) AS years, CAST(min(year(receipt_date)) AS INTEGER) AS first_year, CAST(max(year(receipt_date)) AS INTEGER) AS last_year FROM filings GROUP BY 1", "filings")
 def _(f):
     return Q.metric_coverage(f.filings, "kind", "entity", F.year("receipt_date"))

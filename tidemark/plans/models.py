@@ -206,10 +206,16 @@ SCAN = f"""{SCORED}, sf AS (SELECT *, {FWD} FROM s WINDOW p AS (PARTITION BY ent
       LEFT JOIN (SELECT a.cell, sum((1 - (b.d_idx - a.d_idx) / 5.0) * a.d * b.d) AS g FROM dv a JOIN dv b ON a.cell = b.cell AND b.d_idx > a.d_idx AND b.d_idx <= a.d_idx + 4 GROUP BY 1) USING (cell))"""
 
 
-@query("h01_hypothesis_registry", "SELECT * FROM (VALUES ('rev:f1:5', 'rev', 'f1', 5, 'ready'), ('rev:f1:10', 'rev', 'f1', 10, 'ready'), ('size:f2:5', 'size', 'f2', 5, 'missing_dependency')) t(cell, family, feature, horizon, status) WHERE (SELECT count(*) FROM region) > 0")
+@query(
+    "h01_hypothesis_registry",
+    """WITH c AS (SELECT 'n' || c_nationkey AS family, c_mktsegment AS feature, CAST(1 + c_custkey % 7 AS INTEGER) AS horizon, c_nationkey * 10 + c_custkey % 4 AS asset FROM customer),
+    lacking AS (SELECT DISTINCT family FROM c WHERE asset NOT IN (SELECT s_nationkey * 10 + s_suppkey % 4 FROM supplier))
+    SELECT DISTINCT family || ':' || feature || ':' || horizon AS cell, family, feature, horizon, CASE WHEN family IN (SELECT family FROM lacking) THEN 'missing_dependency' ELSE 'ready' END AS status FROM c""",
+)
 def _(f):
-    families = f.spark.createDataFrame([("rev", "f1", [5, 10], ["bars"]), ("size", "f2", [5], ["bars", "caps"])], "family string, feature string, horizons array<int>, needs array<string>")
-    available = f.table("region").select(F.lit("bars").alias("asset")).distinct()
+    c = f.table("customer").select(F.concat(F.lit("n"), "c_nationkey").alias("family"), F.col("c_mktsegment").alias("feature"), (1 + F.col("c_custkey") % 7).cast("int").alias("horizon"), (F.col("c_nationkey") * 10 + F.col("c_custkey") % 4).cast("long").alias("asset"))
+    families = c.groupBy("family", "feature").agg(F.sort_array(F.collect_set("horizon")).alias("horizons"), F.collect_set("asset").alias("needs"))
+    available = f.table("supplier").select((F.col("s_nationkey") * 10 + F.col("s_suppkey") % 4).cast("long").alias("asset")).distinct()
     return H.hypothesis_registry(families, available)
 
 
