@@ -68,6 +68,12 @@ def test_token_counts(spark, corpus):
         assert (got[i].n_tokens, got[i].n_bytes, got[i].over_limit) == (n, len((x or "").encode()), n > 20)
 
 
+def test_token_counts_refuse_files_of_another_kind():
+    P = pytest.importorskip("public_tokenizers")
+    with pytest.raises(ValueError, match="byte_bpe_50k"):
+        token_counts.RankMerger(P.path("byte_bpe_50k.json"))
+
+
 def test_token_counts_of_an_empty_table(spark):
     assert token_counts.count_tokens(documents(spark, ["a"]).limit(0), "word_bpe_49k.json").collect() == []
 

@@ -26,6 +26,17 @@ _SPACES = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\
 #: Fixed values of the tokenizer file: how it splits lower-cased text, for ASCII texts and for all others.
 _ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^\t-\r a-z0-9]+")
 _SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|\p{{L}}+|\p{{N}}|[^{_SPACES}\p{{L}}\p{{N}}]+")
+#: Fixed values of the tokenizer file: the normalizers and the splitting pattern that the two expressions stand for.
+_FILE_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_FILE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _refuse_others(spec: dict, path: str) -> None:
+    """Raise for a file whose normalizer, splitter or model isn't the one that pre_tokens() and count() follow."""
+    normalizers = [x["type"] for x in (spec.get("normalizer") or {}).get("normalizers", [])]
+    split = [x["pattern"].get("Regex") for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", []) if x["type"] == "Split"]
+    if normalizers != _FILE_NORMALIZERS or split != [_FILE_SPLIT] or not spec["model"].get("end_of_word_suffix"):
+        raise ValueError(f"{path}: not a word-end BPE file with the normalizer and splitter that are known here")
 
 
 def byte_letters() -> list[str]:
@@ -41,6 +52,7 @@ class RankMerger:
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        _refuse_others(spec, path)
         vocab, merges, end = spec["model"]["vocab"], spec["model"]["merges"], spec["model"]["end_of_word_suffix"]
         letters = byte_letters()
         self.inner = np.array([vocab[c] for c in letters], np.int64)
