@@ -136,7 +136,7 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
 def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, lang_pred, score for each row, from its whole text; no shuffle. Null texts and texts without a letter: und, 0.
 
-    keep: columns of docs to carry along in a struct `kept`.
+    keep: columns of docs to carry along in a struct `kept`, beside which the text is returned as a column of its own.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.row_of, model.logs))
 
@@ -144,6 +144,7 @@ def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", t
         own = LanguageModel(*shared.value)
         for batch in slices(batches, "text"):
             out = [own.predict(None if t is None else t.decode("utf-8", "replace")) for t in utf8_columns(batch, "text")]
-            yield record_batch({"doc_id": batch.column(0), "lang_pred": pa.array([x[0] for x in out], pa.string()), "score": pa.array([x[1] for x in out], pa.float64())}, batch)
+            columns = {"doc_id": batch.column(0), "lang_pred": pa.array([x[0] for x in out], pa.string()), "score": pa.array([x[1] for x in out], pa.float64())}
+            yield record_batch(columns | ({"text": batch.column(1)} if keep else {}), batch)
 
-    return id_text(docs, id_col, text_col, keep).mapInArrow(predicted, with_kept("doc_id long, lang_pred string, score double", docs, keep))
+    return id_text(docs, id_col, text_col, keep).mapInArrow(predicted, with_kept("doc_id long, lang_pred string, score double" + ", text string" * bool(keep), docs, keep))
