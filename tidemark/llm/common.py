@@ -93,6 +93,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, max_bytes: int = 4 << 2
                 start, held = i + 1, 0
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # the worker is used again, by tasks that may need less
 
 
 def id_text(docs: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = ()) -> DataFrame:

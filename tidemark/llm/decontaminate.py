@@ -189,12 +189,14 @@ def decontaminate(
     nothing = [F.lit(None).cast("array<struct<a:int,b:int>>").alias("spans"), F.lit(None).cast("array<string>").alias("items")]
     hits = id_text(docs, id_col, text_col, keep).select("doc_id", "text", *nothing, *["kept"][: len(keep)])
     sc = docs.sparkSession.sparkContext
-    for block in _blocks(items, item_col, item_text_col, block_bytes):
-        hits = hits.mapInArrow(_search(sc.broadcast(block), window), with_kept(HITS, docs, keep))
+    searches = [_search(sc.broadcast(block), window) for block in _blocks(items, item_col, item_text_col, block_bytes)]
+    for search in searches[:-1]:
+        hits = hits.mapInArrow(search, with_kept(HITS, docs, keep))
     num, den = coverage
 
     def judge(batches):
-        for batch in slices(batches, "text"):
+        # The last block is searched in the same pass, which spares a worker and a copy of the texts.
+        for batch in slices(searches[-1](batches) if searches else batches, "text"):
             out = {"n_words": [], "n_hit": [], "clean": [], "bad": []}
             for text, spans in zip(utf8_columns(batch, "text"), batch.column(2).to_pylist(), strict=True):
                 n, runs = len(words_of(text)), []
