@@ -119,3 +119,8 @@ def clip(x: str | Column, lo: str | Column, hi: str | Column) -> Column:
 def complete(x: str | Column, value: Column, w: WindowSpec, n: int) -> Column:
     """The windowed value where the window holds n values of x; else NULL."""
     return F.when(F.count(col(x)).over(w) == n, value)
+
+
+def draw(seed: str, *cols: str) -> Column:
+    """A number below 2^48 from a digest of the seed and columns, the same in every run and engine."""
+    return F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), *cols)), 1, 12), 16, 10).cast("long")

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint in the folder that the session names in spark.checkpoint.dir; a temporary one only where that is unset."""
+    """A reliable checkpoint in the folder that the session names in spark.checkpoint.dir; a temporary one only in a local session without one."""
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and not re.fullmatch(r"local(\[.*)?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
     return df.checkpoint()

@@ -12,8 +12,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.exprs import sdiv
+from tidemark.functions.exprs import draw, sdiv
 from tidemark.keys import P, PanelKeys
+from tidemark.lineage import checkpoint
 from tidemark.operators.aggregates import guarded_corr
 from tidemark.operators.cross import average_rank, distinct_ranks
 from tidemark.operators.model import rank_ic
@@ -149,7 +150,7 @@ def permute_cross_section(long: DataFrame, n: int, *, seed: str, keys: PanelKeys
     """
     rows = _replicates(long, n, first)
     part = W.partitionBy("rep", "cell", *keys.cross)
-    shuffled = F.xxhash64(F.lit(seed), "rep", keys.date, keys.entity)
+    shuffled = draw(seed, "rep", keys.date, keys.entity)
     taker = rows.withColumn("_k", F.row_number().over(part.orderBy(keys.entity))).drop("x")
     giver = rows.select("rep", "cell", *keys.cross, "x", F.row_number().over(part.orderBy(shuffled, keys.entity)).alias("_k"))
     return taker.join(giver, ["rep", "cell", *keys.cross, "_k"]).drop("_k")
@@ -161,7 +162,7 @@ def temporal_placebo(features: DataFrame, labels: DataFrame, n: int, *, seed: st
     features: idx, entity, group, x; labels: idx, date, entity, group, y.
     """
     span = max(1, total - 2 * min_shift)
-    shift = min_shift + F.pmod(F.xxhash64(F.lit(seed), "rep"), F.lit(span))
+    shift = min_shift + F.pmod(draw(seed, "rep"), F.lit(span)).cast("int")
     moved = _replicates(features, n).withColumn(idx, (F.pmod(F.col(idx) - 1 + shift, F.lit(total)) + 1).cast("int"))
     return labels.join(moved, [idx, keys.entity, keys.group])
 
@@ -178,8 +179,9 @@ def permutation_report(observed: DataFrame, null: DataFrame, *, limit: float = 0
     empirical p), and the scan's discoveries (q at most `limit`) beside those of the replicates, each with its own BH step:
     count_p = (1 + replicates with at least as many discoveries) / (1 + replicates).
 
-    observed: cell, stat; null: rep, cell, stat.
+    observed: cell, stat; null: rep, cell, stat. Both are small beside the scans behind them, and are made once.
     """
+    observed, null = checkpoint(observed.select("cell", stat)), checkpoint(null.select("rep", "cell", stat))
     seen = benjamini_hochberg(observed.select("cell", F.col(stat).alias("t"), normal_p(stat).alias("normal_p")), "normal_p")
     found = seen.agg(F.count_if(F.col("q") <= limit).alias("discoveries"))
     scans = benjamini_hochberg(null.select("rep", "cell", normal_p(stat).alias("normal_p")), "normal_p", by=["rep"])
@@ -210,7 +212,7 @@ def cluster_bootstrap(events: DataFrame, cluster: str, n: int, *, seed: str) ->
     ids = distinct_ranks(events.select(cluster).distinct(), cluster).select(cluster, (F.col("rank") - 1).cast("int").alias("_no"))
     total = ids.agg(F.count("*").alias("_total"))
     slots = _replicates(ids.select(F.col("_no").alias("slot")), n).crossJoin(F.broadcast(total))
-    draws = slots.withColumn("_no", F.pmod(F.xxhash64(F.lit(seed), "rep", "slot"), F.col("_total")).cast("int")).drop("_total")
+    draws = slots.withColumn("_no", F.pmod(draw(seed, "rep", "slot"), F.col("_total")).cast("int")).drop("_total")
     return draws.join(ids, "_no").drop("_no").join(events, cluster)
 
 

@@ -424,13 +424,13 @@ def _(f):
 
 @query(
     "w11_forward_max_drawdown",
-    f"""WITH x AS (SELECT date, entity, grp, count(simple) OVER w AS n, list(simple) OVER w AS l FROM valid WINDOW w AS ({PATH} ROWS BETWEEN 1 FOLLOWING AND 5 FOLLOWING)),
-    c AS (SELECT date, entity, grp, n, list_transform(range(0, 6), lambda i: CASE WHEN i = 0 THEN 1.0::DOUBLE ELSE list_reduce(list_transform(l[1:i], lambda r: 1 + r), lambda a, b: a * b) END) AS lv FROM x WHERE n = 5)
-    SELECT x.date, x.entity, x.grp, round(least(0.0, list_min(list_transform(range(1, 7), lambda i: lv[i] / list_max(lv[1:i]) - 1))), 6) + 0.0 AS mdd FROM x LEFT JOIN c USING (date, entity, grp)""",
+    f"""WITH g AS (SELECT date, entity, grp, {", ".join(f"1 + lead(simple, {k}) OVER w AS g{k}" for k in range(1, 6))} FROM valid WINDOW w AS ({PATH})),
+    l AS (SELECT date, entity, grp, {", ".join(" * ".join(f"g{j}" for j in range(1, k + 1)) + f" AS l{k}" for k in range(1, 6))} FROM g)
+    SELECT date, entity, grp, CASE WHEN l5 IS NOT NULL THEN round(least(0.0, {", ".join(f"l{k} / greatest(1.0, " + ", ".join(f"l{j}" for j in range(1, k + 1)) + ") - 1" for k in range(1, 6))}), 6) + 0.0 END AS mdd FROM l""",
     "valid",
 )
 def _(f):
-    return valid(f).select(*KEY, rounded(F.coalesce(R.forward_max_drawdown("simple", 5), F.lit(0.0))).alias("mdd"))
+    return valid(f).select(*KEY, rounded(R.forward_max_drawdown("simple", 5)).alias("mdd"))
 
 
 @query("w12_cross_section_rank", "SELECT date, entity, grp, round(CASE WHEN ret IS NOT NULL THEN percent_rank() OVER (PARTITION BY date, grp, ret IS NULL ORDER BY ret) END, 6) AS r FROM valid", "valid")

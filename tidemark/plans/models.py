@@ -206,6 +206,33 @@ SCAN = f"""{SCORED}, sf AS (SELECT *, {FWD} FROM s WINDOW p AS (PARTITION BY ent
       LEFT JOIN (SELECT a.cell, sum((1 - (b.d_idx - a.d_idx) / 5.0) * a.d * b.d) AS g FROM dv a JOIN dv b ON a.cell = b.cell AND b.d_idx > a.d_idx AND b.d_idx <= a.d_idx + 4 GROUP BY 1) USING (cell))"""
 
 
+def nw_sql(name: str, daily: str, by: str) -> str:
+    """CTEs that end in `name`: dates, mean and HAC t of daily ICs, with four lags, for each of the columns `by`."""
+    on = " AND ".join(f"a.{c} = b.{c}" for c in by.split(", "))
+    mine = ", ".join(f"a.{c}" for c in by.split(", "))
+    return f"""{name}_m AS (SELECT {by}, count(*) AS dates, avg(ic) AS mean FROM {daily} GROUP BY {by}), {name}_d AS (SELECT {by}, d_idx, ic - mean AS d FROM {daily} JOIN {name}_m USING ({by})),
+    {name}_v AS (SELECT {by}, g0 + 2 * coalesce(g, 0) AS v FROM (SELECT {by}, sum(d * d) AS g0 FROM {name}_d GROUP BY {by})
+      LEFT JOIN (SELECT {mine}, sum((1 - (b.d_idx - a.d_idx) / 5.0) * a.d * b.d) AS g FROM {name}_d a JOIN {name}_d b ON {on} AND b.d_idx > a.d_idx AND b.d_idx <= a.d_idx + 4 GROUP BY {mine}) USING ({by})),
+    {name} AS (SELECT {by}, dates, mean, CASE WHEN v > 0 THEN mean * dates / sqrt(v) END AS t FROM {name}_m JOIN {name}_v USING ({by}))"""
+
+
+def normal_sql(t: str) -> str:
+    """Two-sided normal p-value by Simpson's rule over ten deviations beyond t."""
+    return f"list_sum(list_transform(range(0, 2001), lambda i: (CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END)::DOUBLE * exp(-0.5 * (abs({t}) + i * 0.005::DOUBLE) * (abs({t}) + i * 0.005::DOUBLE)))) * 0.01 / 3 / sqrt(2 * pi())"
+
+
+def draw_sql(seed: str, *cols: str) -> str:
+    """The same number as functions.exprs.draw."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(cols)})), 1, 12) AS BIGINT)"
+
+
+def bh_sql(name: str, source: str, p: str, by: str = "") -> str:
+    """CTE with monotone q-values over p for each `by`; a missing p counts as 1."""
+    part = f"PARTITION BY {by}" if by else ""
+    return f"""{name} AS (SELECT *, least(1.0, min(pp * m / upto) OVER ({part} ORDER BY pp DESC)) AS q FROM (
+      SELECT *, count(*) OVER ({part}) AS m, count(*) OVER ({part} ORDER BY pp) AS upto FROM (SELECT *, coalesce({p}, 1.0) AS pp FROM {source})))"""
+
+
 @query(
     "h01_hypothesis_registry",
     """WITH c AS (SELECT 'n' || c_nationkey AS family, c_mktsegment AS feature, CAST(1 + c_custkey % 7 AS INTEGER) AS horizon, c_nationkey * 10 + c_custkey % 4 AS asset FROM customer),
@@ -238,7 +265,12 @@ def _(f):
     return tests(f).select("cell", "dates", rounded("mean", 5).alias("mean"), rounded("nw_t", 3).alias("nw_t"))
 
 
-@query("h05_p_values")
+@query(
+    "h05_p_values",
+    f"""WITH {SCAN}, {nw_sql('o', 'cd', 'cell')}, h AS (SELECT cell, count(*) FILTER (ic > 0) AS hits, count(*) AS n FROM cd GROUP BY cell)
+    SELECT cell, round({normal_sql('t')}, 6) AS p, round(list_sum(list_transform(range(hits, n + 1), lambda i: exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) - n * ln(2)))), 6) AS sign_p FROM o JOIN h USING (cell)""",
+    "valid bars",
+)
 def _(f):
     hits = scan_daily(f).groupBy("cell").agg(F.count_if(F.col("ic") > 0).alias("hits"), F.count("*").alias("n"))
     return tests(f).join(hits, "cell").select("cell", rounded(H.normal_p("nw_t"), 6).alias("p"), rounded(H.sign_test_p("hits", "n"), 6).alias("sign_p"))
@@ -278,12 +310,28 @@ def _(f):
     return rounded_all(H.offset_summary(H.nonoverlap_offsets(scan_daily(f), 5)))
 
 
-@query("h10_permute_cross_section")
+PERMUTED = f"""rp AS (SELECT rep, cell, date, grp, entity, x, y FROM lng, (SELECT unnest([0, 1, 2, 3]) AS rep) WHERE x IS NOT NULL AND y IS NOT NULL),
+    nb AS (SELECT *, row_number() OVER (PARTITION BY rep, cell, date, grp ORDER BY entity) AS k, row_number() OVER (PARTITION BY rep, cell, date, grp ORDER BY {draw_sql('h10', 'rep', 'date', 'entity')}, entity) AS turn FROM rp),
+    perm AS (SELECT rep, cell, date, grp, a.y, b.x FROM nb a JOIN (SELECT rep, cell, date, grp, turn AS k, x FROM nb) b USING (rep, cell, date, grp, k)),
+    pic AS ({ranks_sql('perm', 'x', 'y', 'rep, cell, date, grp')}),
+    pd AS (SELECT rep, cell, d_idx, ic FROM (SELECT rep, cell, date, sum(ic * n) / sum(n) AS ic FROM pic WHERE ic IS NOT NULL GROUP BY ALL) JOIN days USING (date))"""
+
+
+@query(
+    "h10_permute_cross_section",
+    f"""WITH {SCAN}, {PERMUTED}, {nw_sql('o', 'cd', 'cell')}, {nw_sql('z', 'pd', 'rep, cell')},
+    op AS (SELECT cell, t, {normal_sql('t')} AS normal_p FROM o), {bh_sql('seen', 'op', 'normal_p')}, zp AS (SELECT rep, cell, {normal_sql('t')} AS normal_p FROM z), {bh_sql('scans', 'zp', 'normal_p', 'rep')},
+    found AS (SELECT count(*) FILTER (q <= 0.1) AS discoveries FROM seen), reps AS (SELECT rep, count(*) FILTER (q <= 0.1) AS k FROM scans GROUP BY rep),
+    chance AS (SELECT discoveries, (count(*) FILTER (k >= discoveries) + 1) / (count(k) + 1)::DOUBLE AS count_p FROM found, reps GROUP BY discoveries),
+    emp AS (SELECT cell, count(z.t) AS replicates, count(*) FILTER (abs(z.t) >= abs(o.t)) AS extreme, (count(*) FILTER (abs(z.t) >= abs(o.t)) + 1) / (count(z.t) + 1)::DOUBLE AS p FROM o LEFT JOIN z USING (cell) GROUP BY cell), {bh_sql('eq', 'emp', 'p')}
+    SELECT cell, replicates, extreme, round(eq.p, 6) AS p, round(eq.q, 6) AS empirical_q, round(normal_p, 6) AS normal_p, round(seen.q, 6) AS q, discoveries, round(count_p, 6) AS count_p FROM eq JOIN seen USING (cell), chance""",
+    "valid bars",
+)
 def _(f):
     permuted = H.permute_cross_section(H.long_cells(scan_panel(f), CELLS), 4, seed="h10")
     days = f.bars.select("date").distinct().withColumn("d_idx", F.row_number().over(W.orderBy("date")))
     null = H.newey_west(H.daily_ic(permuted, by=["rep", "cell"]).join(days, "date"), 4, by=["rep", "cell"])
-    return H.permutation_report(tests(f), null)
+    return rounded_all(H.permutation_report(tests(f), null).select("cell", "replicates", "extreme", "p", "empirical_q", "normal_p", "q", "discoveries", "count_p"), 6)
 
 
 @query("h10_permutation_conserves", f"WITH {SCAN} SELECT r AS rep, round(sum(x), 3) + 0.0 AS total, count(*) AS n FROM lng, (SELECT unnest([0, 1, 2]) AS r) WHERE cell = 'lnv:5' AND x IS NOT NULL AND y IS NOT NULL GROUP BY r", "valid bars")
@@ -292,7 +340,18 @@ def _(f):
     return H.permute_cross_section(long, 3, seed="h10").groupBy("rep").agg(rounded(F.sum("x"), 3).alias("total"), F.count("*").alias("n"))
 
 
-@query("h11_temporal_placebo")
+@query(
+    "h11_temporal_placebo",
+    f"""WITH {SCAN}, nd AS (SELECT count(*) AS total FROM days), sx AS (SELECT sp.*, d_idx, total FROM sp JOIN days USING (date), nd),
+    sh AS (SELECT rep, 120 + {draw_sql('h11', 'rep')} % greatest(1, total - 240) AS shift FROM (SELECT unnest([0, 1, 2, 3]) AS rep), nd),
+    mv AS (SELECT rep, (d_idx - 1 + shift) % total + 1 AS d_idx, entity, grp, rev AS x FROM sx, sh WHERE rev IS NOT NULL),
+    pl AS (SELECT rep, 'rev:5' AS cell, s.date, s.grp, mv.x, s.e5 AS y FROM sx s JOIN mv ON mv.d_idx = s.d_idx AND mv.entity = s.entity AND mv.grp = s.grp WHERE s.e5 IS NOT NULL),
+    pic AS ({ranks_sql('pl', 'x', 'y', 'rep, cell, date, grp').replace('>= 5', '>= 2')}),
+    pd AS (SELECT rep, cell, d_idx, ic FROM (SELECT rep, cell, date, sum(ic * n) / sum(n) AS ic FROM pic WHERE ic IS NOT NULL GROUP BY ALL) JOIN days USING (date)),
+    {nw_sql('o', 'cd', 'cell')}, {nw_sql('z', 'pd', 'rep, cell')}
+    SELECT cell, count(z.t) AS replicates, count(*) FILTER (abs(z.t) >= abs(o.t)) AS extreme, round((count(*) FILTER (abs(z.t) >= abs(o.t)) + 1) / (count(z.t) + 1)::DOUBLE, 6) AS p FROM o LEFT JOIN z USING (cell) WHERE cell = 'rev:5' GROUP BY cell""",
+    "valid bars",
+)
 def _(f):
     days = f.bars.select("date").distinct().withColumn("d_idx", F.row_number().over(W.orderBy("date")))
     panel = scan_panel(f).drop("d_idx").join(days, "date")
@@ -300,7 +359,7 @@ def _(f):
     features = panel.filter("rev is not null").select("d_idx", "entity", "grp", F.col("rev").alias("x"))
     labels = panel.filter("e5 is not null").select("d_idx", *KEY, F.lit("rev:5").alias("cell"), F.col("e5").alias("y"))
     null = H.newey_west(H.daily_ic(H.temporal_placebo(features, labels, 4, seed="h11", min_shift=120, total=total), by=["rep", "cell"], min_names=2).join(days, "date"), 4, by=["rep", "cell"])
-    return H.empirical_p(tests(f).filter("cell = 'rev:5'").select("cell", F.col("nw_t").alias("t")), null.select("cell", F.col("nw_t").alias("t")))
+    return rounded_all(H.empirical_p(tests(f).filter("cell = 'rev:5'").select("cell", F.col("nw_t").alias("t")), null.select("cell", F.col("nw_t").alias("t"))), 6)
 
 
 @query("h12_lookahead_canary", f"WITH {SCORED}, ic AS (SELECT date, grp, count(*) AS n, count(DISTINCT excess) AS v FROM s WHERE excess IS NOT NULL GROUP BY 1, 2) SELECT 1.0::DOUBLE AS mean_ic, count(*) FILTER (n >= 5 AND v > 1) AS cross_sections FROM ic", "valid")
@@ -322,7 +381,14 @@ def _(f):
     return rounded_all(H.event_cohort_scan(cohorts(f), "amount", "y", cohort="cohort", group="g"))
 
 
-@query("h14_cluster_bootstrap")
+@query(
+    "h14_cluster_bootstrap",
+    f"""WITH ids AS (SELECT entity, row_number() OVER (ORDER BY entity) - 1 AS no FROM (SELECT DISTINCT entity FROM filings)), nt AS (SELECT count(*) AS total FROM ids),
+    drawn AS (SELECT rep, {draw_sql('h14', 'rep', 'no')} % total AS no FROM ids, nt, (SELECT unnest([0, 1, 2, 3, 4]) AS rep)),
+    ev AS (SELECT rep || '/' || CAST(date_trunc('month', receipt_date) AS DATE) AS cohort, amount, entity % 2 AS g, CAST(right(CAST(receipt * 7919 AS VARCHAR), 4) AS INTEGER) AS y FROM drawn JOIN ids USING (no) JOIN filings USING (entity)), {COHORT_IC}
+    SELECT CAST(split_part(cohort, '/', 1) AS INTEGER) AS rep, round(avg(ic), 6) AS mean_ic, CAST(sum(n) AS BIGINT) AS events FROM ci GROUP BY 1""",
+    "filings",
+)
 def _(f):
     drawn = H.cluster_bootstrap(cohorts(f), "entity", 5, seed="h14")
     each = drawn.withColumn("cohort", F.concat_ws("/", "rep", "cohort"))
