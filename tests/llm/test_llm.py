@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -564,3 +565,24 @@ def test_digests_of_queries(spark):
         assert r.kept_sha256 == hashlib.sha256(want[r.doc_id][2].encode()).hexdigest()
     held = {r.doc_id: r.held_out for r in queries.op9_quality(spark, "/root/testdata/sf0.001").collect()}
     assert held == {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in ids}
+
+
+def test_dense_groups_beyond_one_block_of_rows_equal_brute_force():
+    rng = np.random.default_rng(3)
+    base, n = np.arange(1, 41, dtype=np.uint64), 2 * near_dedup.ROWS + 50
+    sets = [np.unique(np.r_[base[rng.random(40) < 0.93], rng.integers(1000, 1400, 2).astype(np.uint64)]) for _ in range(n)]
+    zero = np.zeros(n, np.int64)
+    table = pa.table({"n_shingles": [len(s) for s in sets], "doc_id": np.arange(n), "color": np.arange(n), "own": zero, "lo": zero, "hi": zero, "node": zero, "sketch": [s.tobytes() for s in sets]})
+    links = [(r["a"], r["b"]) for batch in near_dedup._dense_links(table, zero, 80) for r in batch.to_pylist()]
+    forest = near_dedup._Forest()
+    for i in range(n):
+        for j in range(i + 1, n):
+            common = len(np.intersect1d(sets[i], sets[j], assume_unique=True)) if forest.root(i) != forest.root(j) else 0
+            if 100 * common >= 80 * (len(sets[i]) + len(sets[j]) - common):
+                forest.join(i, j)
+    found = near_dedup._Forest()
+    for a, b in links:
+        common = len(np.intersect1d(sets[a], sets[b]))
+        assert 100 * common >= 80 * (len(sets[a]) + len(sets[b]) - common)
+        found.join(a, b)
+    assert [found.root(i) for i in range(n)] == [forest.root(i) for i in range(n)]
