@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -12,15 +11,15 @@ from tidemark.operators import windows as R
 from tidemark.plans.core import valid
 from tidemark.plans.fixtures import Fixtures
 from tidemark.plans.registry import query
+from tidemark.lineage import shared_folder
 from tidemark.sources import lake as S
 from tidemark.sources import parsers as PS
 from tidemark.streaming import streams as ST
 
 
 def scratch(f: Fixtures) -> str:
-    """A new folder in the session's shared checkpoint folder; a local one only where that is unset."""
-    base = f.spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
+    """A new folder in the session's shared checkpoint folder."""
+    return f"{shared_folder(f.spark)}/{uuid.uuid4().hex}"
 
 
 @query("s01_scan_snapshot", "SELECT entity, count(*) AS n FROM bars GROUP BY 1", "bars")
