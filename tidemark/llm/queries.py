@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import language_id, quality, secret_scan
 from tidemark.llm.bm25 import top_k
+from tidemark.llm.centroids import cluster
 from tidemark.llm.common import few_broadcast, load
 from tidemark.llm.decontaminate import decontaminate
 from tidemark.llm.line_dedup import dedup_lines
 from tidemark.llm.mixing import mix
 from tidemark.llm.near_dedup import near_duplicates
+from tidemark.llm.packing import pack
+from tidemark.llm.spelling import spelling_variants, vocabulary
 from tidemark.llm.substring_dedup import remove_repeats
 from tidemark.llm.token_counts import count_tokens
 
@@ -191,6 +194,76 @@ FROM marked GROUP BY doc_id
 """
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster(load(spark, sf_dir, "embeddings"), k=16, rounds=3, dims=64, scale=64)
+
+
+def _assign_sql(k: int) -> str:
+    """CTEs: a{k}, the nearest of centroids c{k} for each vector, and c{k+1}, the means of its vectors."""
+    return f"""a{k} AS MATERIALIZED (
+  SELECT rid, min(struct_pack(d := d, no := no)) AS best
+  FROM (SELECT rid, no, CAST(list_sum(list_transform(range(1, 65), lambda i: (q[i] - c[i]) * (q[i] - c[i]))) AS BIGINT) AS d FROM v, c{k})
+  GROUP BY rid),
+c{k + 1} AS MATERIALIZED (
+  SELECT no, coalesce(m, c) AS c FROM c{k} LEFT JOIN (
+    SELECT no, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY i) AS m
+    FROM (SELECT a.best.no AS no, i, sum(q[i]) AS s, count(*) AS n FROM a{k} a JOIN v USING (rid), range(1, 65) r(i) GROUP BY 1, 2) GROUP BY no) USING (no))"""
+
+
+OP11_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (
+  SELECT CAST(row_number() OVER (ORDER BY h NULLS LAST, q) - 1 AS INTEGER) AS no, q AS c
+  FROM (SELECT sha256('1:' || CAST(vec_id AS VARCHAR)) AS h, q FROM v ORDER BY h NULLS LAST, q LIMIT 16)),
+{", ".join(map(_assign_sql, range(4)))},
+own AS (SELECT best.no AS no, CAST(sum(best.d) AS BIGINT) AS inertia FROM a3 GROUP BY 1)
+SELECT vec_id, best.no AS cluster, best.d AS distance, own.inertia AS cluster_inertia, CAST((SELECT sum(inertia) FROM own) AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a3 JOIN v USING (rid) JOIN own ON own.no = best.no JOIN c3 ON c3.no = best.no
+"""
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = vocabulary(load(spark, sf_dir, "documents"), min_length=6, min_count=5, drop_every=199)
+    return spelling_variants(words, ratio=5).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+OP12_SQL = """
+WITH RECURSIVE runs AS (
+  SELECT doc_id, run, count(*) AS c
+  FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{00C0}-\\x{00FF}]+')) AS run
+        FROM documents) GROUP BY ALL),
+crc_table AS MATERIALIZED (
+  SELECT list(v ORDER BY i) AS t
+  FROM (SELECT i, list_reduce([CAST(i AS BIGINT), 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: xor(a >> 1, (a & 1) * 3988292384)) AS v FROM range(256) r(i))),
+digits AS (SELECT *, hex(encode(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)) AS x FROM runs),
+hashed AS (
+  SELECT run, c, xor(list_reduce(list_concat([4294967295], list_transform(range(0, len(x) // 2), lambda i: CAST('0x' || substr(x, 2 * i + 1, 2) AS BIGINT))),
+                                 lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h FROM digits, crc_table),
+typed AS (SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, c FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(c) AS BIGINT) AS n FROM typed WHERE length(word) >= 6 GROUP BY word HAVING sum(c) >= 5),
+shorter AS MATERIALIZED (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS less FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM shorter a JOIN shorter b ON a.less = b.less AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.less = b.word
+  UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.less = b.word),
+best AS (SELECT word, count(*) AS n_near, min(struct_pack(minus := -near_n, near := near)) AS b FROM pairs GROUP BY word),
+forms AS MATERIALIZED (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.minus >= 5 * n THEN b.near END AS form, CASE WHEN -b.minus >= 5 * n THEN -b.minus END AS form_n
+  FROM words w LEFT JOIN best USING (word)),
+walk AS (
+  SELECT word, word AS here, form AS ahead FROM forms
+  UNION ALL SELECT k.word, f.word, f.form FROM walk k JOIN forms f ON f.word = k.ahead)
+SELECT word, form, here AS root, n, n_near, form_n FROM forms JOIN (SELECT word, here FROM walk WHERE ahead IS NULL) USING (word)
+"""
+
+
+def op13_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(load(spark, sf_dir, "documents"), "word_bpe_49k.json", length=2048, end_id=1)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_token_counts": op1_token_counts,
@@ -203,8 +276,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_quality": op9_quality,
         "op10_line_dedup": op10_line_dedup,
+        "op11_centroid_clusters": op11_centroid_clusters,
+        "op12_spelling_variants": op12_spelling_variants,
+        "op13_packing": op13_packing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op3_near_dedup": OP3_SQL, "op5_topk_search": OP5_SQL, "op6_mix_sources": OP6_SQL, "op10_line_dedup": OP10_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op3_near_dedup": OP3_SQL, "op5_topk_search": OP5_SQL, "op6_mix_sources": OP6_SQL, "op10_line_dedup": OP10_SQL, "op11_centroid_clusters": OP11_SQL, "op12_spelling_variants": OP12_SQL}
