@@ -226,6 +226,7 @@ def test_variants_of_dense_and_chained_words(spark):
 
 def test_variants_of_long_words_and_common_prefixes(spark, monkeypatch):
     monkeypatch.setattr(spelling, "HOT_NODES", 4)
+    monkeypatch.setattr(spelling, "HOT_STATES", 2)
     rng = random.Random(5)
     base = ["inter" + "".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 9))) for _ in range(120)] + ["x" * 3000, "x" * 3001, "x" * 1500 + "y" + "x" * 1499, "ÿ" * 6]
     words = {}

@@ -1,13 +1,14 @@
 """Spelling variants by a relational trie frontier: words one edit apart, and the frequent form that each goes back to.
 
-The trie of all words is a table of edges (parent, label, child); chains without a branch are one edge, so there are at most
-two edges a word. Its inner nodes are what neighbours in sorted order have in common. States (word, position, node, edits)
-start with every word at the root and join the edges round by round. A state without an edit goes along its own word and
-spawns one-edit states where the trie branches; these must follow the rest of their word. One that ends with its word at a
-node that is a word makes a pair. An insertion or deletion inside a run of equal letters counts at the run's end only, so
-each pair is reached once in each direction.
-
-Nodes that hold more than a 500th of the states get their edges by broadcast; there are at most 500 of them.
+The trie of all words is a table of nodes with their edges (label, child); chains without a branch are one edge, so there are
+at most two edges a word. Its inner nodes are what neighbours in sorted order have in common. States (word, position, node,
+edits) start with every word at the root and join the edges round by round. A state without an edit goes along its own word
+and spawns one-edit states where the trie branches; these must follow the rest of their word. One that ends with its word
+at a node that is a word makes a pair. An insertion or deletion inside a run of equal letters counts at the run's end only,
+so each pair is reached once in each direction.
+
+The 500 nodes of the most states get their edges by broadcast; any other holds less than a 500th of the states. There are as
+many rounds as edges on the longest path.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from tidemark.llm.common import Tables, few_broadcast, id_text, slices, utf8_col
 
 #: What a run is made of, after A-Z are lower-cased.
 _RUN = re.compile("[a-zÀ-ÿ]+")
-#: A node is hot beyond this share of the states; as many can be hot.
-HOT_NODES = 500
+#: As many nodes of the most states get their edges by broadcast, if they hold so many states.
+HOT_NODES, HOT_STATES = 500, 256
 #: Entries and characters of counts that a task holds.
 HELD_WORDS, HELD_CHARS = 300_000, 16 << 20
 
@@ -97,13 +98,15 @@ def with_shared(texts: DataFrame, tables: Tables) -> DataFrame:
     return table.join(F.broadcast(heads), "part", "left").select("text", "n", F.coalesce("shared", "over", F.lit(0)).alias("shared"))
 
 
-def trie_edges(words: DataFrame, tables: Tables) -> DataFrame:
-    """(node, head, label, child, child_n): head is the label's first letter, child_n the count of a child that is a word."""
+def trie_nodes(words: DataFrame, tables: Tables) -> DataFrame:
+    """(node, edges): each inner node's edges by the first letter of their labels, no more than letters: label, child and the
+    count of a child that is a word."""
     inner = with_shared(words.select(F.col("word").alias("text"), "n"), tables).filter("shared > 0").select(F.substring("text", F.lit(1), F.col("shared")).alias("text"), F.lit(None).cast("long").alias("n"))
-    nodes = words.select(F.col("word").alias("text"), "n").unionByName(inner).groupBy("text").agg(F.max("n").alias("n"))
-    placed = with_shared(nodes, tables)
+    texts = words.select(F.col("word").alias("text"), "n").unionByName(inner).groupBy("text").agg(F.max("n").alias("n"))
     label = F.substring("text", F.col("shared") + 1, F.length("text"))
-    return tables.keep(placed.select(F.substring("text", F.lit(1), F.col("shared")).alias("node"), F.substring(label, 1, 1).alias("head"), label.alias("label"), F.col("text").alias("child"), F.col("n").alias("child_n")))
+    edge = F.struct(F.substring(label, 1, 1).alias("key"), F.struct(label.alias("label"), F.col("text").alias("child"), F.col("n").alias("child_n")).alias("value"))
+    placed = with_shared(texts, tables).select(F.substring("text", F.lit(1), F.col("shared")).alias("node"), edge.alias("edge"))
+    return tables.keep(placed.groupBy("node").agg(F.map_from_entries(F.collect_list("edge")).alias("edges")))
 
 
 def _piece(word: Column, at: Column, size: Column) -> Column:
@@ -112,23 +115,25 @@ def _piece(word: Column, at: Column, size: Column) -> Column:
 
 
 def _steps(joined: DataFrame) -> DataFrame:
-    """States after the edge that each row holds: at most one without an edit, and those with the first edit."""
-    word, pos, label, head = (F.col(c) for c in ("word", "pos", "label", "head"))
+    """States after one edge: one that has its edit follows its next letter, one without tries all edges of its node."""
+    word, pos, new = F.col("word"), F.col("pos"), F.col("edits") == 0
+    label, head = F.col("edge.label"), F.substring("edge.label", 1, 1)
     size, rest = F.length(label), F.substring(label, F.lit(2), F.length(label))
     here, following = _piece(word, pos, F.lit(1)), _piece(word, pos + 1, F.lit(1))
     inside, other = pos < F.length(word), head != here  # at the word's end `here` is empty
 
-    def to(at: Column, edits: int) -> Column:
-        return F.struct(at.cast("int").alias("pos"), F.lit(edits).alias("edits"))
+    def to(at: Column, edits: Column) -> Column:
+        return F.struct(at.cast("int").alias("pos"), edits.alias("edits"))
 
-    new = F.col("edits") == 0
     out = F.array(
-        F.when((head == here) & (label == _piece(word, pos, size)), F.struct((pos + size).cast("int").alias("pos"), F.col("edits").alias("edits"))),
-        F.when(new & inside & other & (rest == _piece(word, pos + 1, size - 1)), to(pos + size, 1)),  # a letter replaced
-        F.when(new & other & (rest == _piece(word, pos, size - 1)), to(pos + size - 1, 1)),  # a letter more in the trie
-        F.when(new & inside & (head == following) & (here != following) & (label == _piece(word, pos + 1, size)), to(pos + 1 + size, 1)),  # one less
+        F.when((head == here) & (label == _piece(word, pos, size)), to(pos + size, F.col("edits"))),
+        F.when(new & inside & other & (rest == _piece(word, pos + 1, size - 1)), to(pos + size, F.lit(1))),  # a letter replaced
+        F.when(new & other & (rest == _piece(word, pos, size - 1)), to(pos + size - 1, F.lit(1))),  # a letter more in the trie
+        F.when(new & inside & (head == following) & (here != following) & (label == _piece(word, pos + 1, size)), to(pos + 1 + size, F.lit(1))),  # one less
     )
-    state = joined.select("word", "n", F.col("child").alias("node"), F.col("child_n").alias("node_n"), F.explode(F.array_compact(out)).alias("s"))
+    tried = F.when(new, F.map_values("edges")).otherwise(F.array_compact(F.array(F.try_element_at("edges", here))))
+    each = joined.select("word", "n", "pos", "edits", F.explode(tried).alias("edge"))
+    state = each.select("word", "n", F.col("edge.child").alias("node"), F.col("edge.child_n").alias("node_n"), F.explode(F.array_compact(out)).alias("s"))
     state = state.select("word", "n", F.col("s.pos").alias("pos"), "node", "node_n", F.col("s.edits").alias("edits"))
     return state.filter((F.col("edits") == 0) | (F.col("pos") < F.length("word")) | F.col("node_n").isNotNull())
 
@@ -136,30 +141,19 @@ def _steps(joined: DataFrame) -> DataFrame:
 def one_edit_pairs(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): each ordered pair of distinct words one inserted, deleted or replaced code point apart, once."""
     tables = Tables(words.sparkSession)
-    edges = trie_edges(words, tables)
+    nodes = trie_nodes(words, tables)
     live = words.select("word", "n", F.lit(0).alias("pos"), F.lit("").alias("node"), F.lit(None).cast("long").alias("node_n"), F.lit(0).alias("edits"))
-    pairs = None
-    while total := live.count():
-        most = live.groupBy("node").count().filter(F.col("count") > total / HOT_NODES).select("node").collect()  # fewer than HOT_NODES
-        hot = F.broadcast(words.sparkSession.createDataFrame([(r.node,) for r in most], "node string"))
-        state = live.withColumn("next", F.substring("word", F.col("pos") + 1, F.lit(1)))
-        parts = []
-        for rows, near in ((state.join(hot, "node", "left_semi"), F.broadcast(edges.join(hot, "node"))), (state.join(hot, "node", "left_anti"), edges)):
-            # A state with an edit goes on by one edge at most, one without by all edges of its node.
-            follow = near.withColumnRenamed("head", "next").withColumn("head", F.col("next"))
-            parts.append(rows.filter("edits = 1").join(follow, ["node", "next"]).drop("node_n", "next", "node"))
-            parts.append(rows.filter("edits = 0").join(near, "node").drop("node_n", "next", "node"))
-        joined = parts[0]
-        for p in parts[1:]:
-            joined = joined.unionByName(p)
+    pairs = words.select("word", "n", F.col("word").alias("near"), F.col("n").alias("near_n")).limit(0)
+    # No node but the HOT_NODES of most states can hold more than that part of all states.
+    while most := live.groupBy("node").count().orderBy(F.desc("count"), "node").limit(HOT_NODES).collect():
+        hot = F.col("node").isin([r.node for r in most if r["count"] >= HOT_STATES])
+        joined = live.filter(hot).join(F.broadcast(nodes.filter(hot)), "node").unionByName(live.filter(~hot).join(nodes, "node"))
         table = tables.keep(_steps(joined))
-        # The last letter left over: the node is the word without it.
+        # An edit at hand when one letter is left: the node is the word without it.
         done = F.when(F.col("edits") == 1, F.col("pos") == F.length("word")).otherwise(F.col("pos") + 1 == F.length("word"))
-        found = table.filter(done & F.col("node_n").isNotNull()).select("word", "n", F.col("node").alias("near"), F.col("node_n").alias("near_n"))
-        pairs = found if pairs is None else pairs.unionByName(found)
+        pairs = pairs.unionByName(table.filter(done & F.col("node_n").isNotNull()).select("word", "n", F.col("node").alias("near"), F.col("node_n").alias("near_n")))
         live = table.filter((F.col("edits") == 0) | (F.col("pos") < F.length("word")))
-    none = words.select("word", "n", F.col("word").alias("near"), F.col("n").alias("near_n")).limit(0)
-    return none if pairs is None else pairs
+    return pairs
 
 
 def spelling_variants(words: DataFrame, *, ratio: int = 5) -> DataFrame:
