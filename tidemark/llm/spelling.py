@@ -1,14 +1,15 @@
 """Spelling variants by a relational trie frontier: words one edit apart, and the frequent form that each goes back to.
 
-The trie of all words is a table of nodes with their edges (label, child); chains without a branch are one edge, so there are
-at most two edges a word. Its inner nodes are what neighbours in sorted order have in common. States (word, position, node,
-edits) start with every word at the root and join the edges round by round. A state without an edit goes along its own word
-and spawns one-edit states where the trie branches; these must follow the rest of their word. One that ends with its word
-at a node that is a word makes a pair. An insertion or deletion inside a run of equal letters counts at the run's end only,
-so each pair is reached once in each direction.
-
-The 500 nodes of the most states get their edges by broadcast; any other holds less than a 500th of the states. There are as
-many rounds as edges on the longest path.
+The trie of all words, each spelt from the front and from the back, is a table of nodes with their edges (label, child).
+Chains without a branch are one edge, so there are at most two edges a text; inner nodes are what neighbours in sorted order
+have in common. States (text, position, node, edits) start with every text at the root and join the edges round by round. A
+state without an edit goes along its own text; from the text's middle on it also spawns one-edit states where the trie
+branches, which must follow the rest of their text. One that ends with its text at a node that is a text makes a pair. An
+edit in a word's first half is found from the back, where the trie has few branches at that place.
+
+A pair is found from one side only, that of the smaller letter or of the longer word, and mirrored. The 500 nodes of the
+most states get their edges by broadcast; any other holds less than a 500th of the states. There are as many rounds as
+edges on the longest path.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from tidemark.llm.common import Tables, few_broadcast, id_text, slices, utf8_col
 
 #: What a run is made of, after A-Z are lower-cased.
 _RUN = re.compile("[a-zÀ-ÿ]+")
+#: What is put before a word spelt from the front and from the back.
+FRONT, BACK = ">", "<"
 #: As many nodes of the most states get their edges by broadcast, if they hold so many states.
 HOT_NODES, HOT_STATES = 500, 256
 #: Entries and characters of counts that a task holds.
@@ -98,62 +101,79 @@ def with_shared(texts: DataFrame, tables: Tables) -> DataFrame:
     return table.join(F.broadcast(heads), "part", "left").select("text", "n", F.coalesce("shared", "over", F.lit(0)).alias("shared"))
 
 
-def trie_nodes(words: DataFrame, tables: Tables) -> DataFrame:
+def both_ways(words: DataFrame) -> DataFrame:
+    """(text, n): each word from the front, after FRONT, and from the back, after BACK."""
+    texts = F.array(F.concat(F.lit(FRONT), "word"), F.concat(F.lit(BACK), F.reverse("word")))
+    return words.select(F.explode(texts).alias("text"), "n")
+
+
+def word_of(text: str) -> Column:
+    bare = F.substring(text, F.lit(2), F.length(text))
+    return F.when(F.col(text).startswith(FRONT), bare).otherwise(F.reverse(bare))
+
+
+def trie_nodes(texts: DataFrame, tables: Tables) -> DataFrame:
     """(node, edges): each inner node's edges by the first letter of their labels, no more than letters: label, child and the
-    count of a child that is a word."""
-    inner = with_shared(words.select(F.col("word").alias("text"), "n"), tables).filter("shared > 0").select(F.substring("text", F.lit(1), F.col("shared")).alias("text"), F.lit(None).cast("long").alias("n"))
-    texts = words.select(F.col("word").alias("text"), "n").unionByName(inner).groupBy("text").agg(F.max("n").alias("n"))
+    count of a child that is a text."""
+    inner = with_shared(texts, tables).filter("shared > 0").select(F.substring("text", F.lit(1), F.col("shared")).alias("text"), F.lit(None).cast("long").alias("n"))
+    every = texts.unionByName(inner).groupBy("text").agg(F.max("n").alias("n"))
     label = F.substring("text", F.col("shared") + 1, F.length("text"))
     edge = F.struct(F.substring(label, 1, 1).alias("key"), F.struct(label.alias("label"), F.col("text").alias("child"), F.col("n").alias("child_n")).alias("value"))
-    placed = with_shared(texts, tables).select(F.substring("text", F.lit(1), F.col("shared")).alias("node"), edge.alias("edge"))
+    placed = with_shared(every, tables).select(F.substring("text", F.lit(1), F.col("shared")).alias("node"), edge.alias("edge"))
     return tables.keep(placed.groupBy("node").agg(F.map_from_entries(F.collect_list("edge")).alias("edges")))
 
 
-def _piece(word: Column, at: Column, size: Column) -> Column:
-    """size code points from the 0-based position on; fewer at the word's end."""
-    return F.substring(word, at + 1, size)
+def _piece(text: Column, at: Column, size: Column) -> Column:
+    """size code points from the 0-based position on; fewer at the text's end."""
+    return F.substring(text, at + 1, size)
 
 
 def _steps(joined: DataFrame) -> DataFrame:
-    """States after one edge: one that has its edit follows its next letter, one without tries all edges of its node."""
-    word, pos, new = F.col("word"), F.col("pos"), F.col("edits") == 0
+    """States after one edge: one with its edit, or still in the part that must agree, follows its next letter; others try
+    all edges of their node."""
+    text, pos = F.col("text"), F.col("pos")
     label, head = F.col("edge.label"), F.substring("edge.label", 1, 1)
-    size, rest = F.length(label), F.substring(label, F.lit(2), F.length(label))
-    here, following = _piece(word, pos, F.lit(1)), _piece(word, pos + 1, F.lit(1))
-    inside, other = pos < F.length(word), head != here  # at the word's end `here` is empty
+    size, rest, length = F.length(label), F.substring(label, F.lit(2), F.length(label)), F.length(text) - 1
+    here, following = _piece(text, pos, F.lit(1)), _piece(text, pos + 1, F.lit(1))
+    half = F.floor(length / 2)
+    # The middle letter's edits are found from the front.
+    may = (F.col("edits") == 0) & (pos > F.when(text.startswith(FRONT), half).otherwise(length - half))
 
     def to(at: Column, edits: Column) -> Column:
         return F.struct(at.cast("int").alias("pos"), edits.alias("edits"))
 
     out = F.array(
-        F.when((head == here) & (label == _piece(word, pos, size)), to(pos + size, F.col("edits"))),
-        F.when(new & inside & other & (rest == _piece(word, pos + 1, size - 1)), to(pos + size, F.lit(1))),  # a letter replaced
-        F.when(new & other & (rest == _piece(word, pos, size - 1)), to(pos + size - 1, F.lit(1))),  # a letter more in the trie
-        F.when(new & inside & (head == following) & (here != following) & (label == _piece(word, pos + 1, size)), to(pos + 1 + size, F.lit(1))),  # one less
+        F.when((head == here) & (label == _piece(text, pos, size)), to(pos + size, F.col("edits"))),
+        F.when(may & (head > here) & (rest == _piece(text, pos + 1, size - 1)), to(pos + size, F.lit(1))),  # another letter
+        F.when(may & (head == following) & (here != following) & (label == _piece(text, pos + 1, size)), to(pos + 1 + size, F.lit(1))),  # one less
     )
-    tried = F.when(new, F.map_values("edges")).otherwise(F.array_compact(F.array(F.try_element_at("edges", here))))
-    each = joined.select("word", "n", "pos", "edits", F.explode(tried).alias("edge"))
-    state = each.select("word", "n", F.col("edge.child").alias("node"), F.col("edge.child_n").alias("node_n"), F.explode(F.array_compact(out)).alias("s"))
-    state = state.select("word", "n", F.col("s.pos").alias("pos"), "node", "node_n", F.col("s.edits").alias("edits"))
-    return state.filter((F.col("edits") == 0) | (F.col("pos") < F.length("word")) | F.col("node_n").isNotNull())
+    tried = F.when(may, F.map_values("edges")).otherwise(F.array_compact(F.array(F.try_element_at("edges", here))))
+    each = joined.select("text", "n", "pos", "edits", F.explode(tried).alias("edge"))
+    state = each.select("text", "n", F.col("edge.child").alias("node"), F.col("edge.child_n").alias("node_n"), F.explode(F.array_compact(out)).alias("s"))
+    state = state.select("text", "n", F.col("s.pos").alias("pos"), "node", "node_n", F.col("s.edits").alias("edits"))
+    return state.filter((F.col("pos") < F.length("text")) | (F.col("edits") == 1) & F.col("node_n").isNotNull())
 
 
 def one_edit_pairs(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): each ordered pair of distinct words one inserted, deleted or replaced code point apart, once."""
     tables = Tables(words.sparkSession)
-    nodes = trie_nodes(words, tables)
-    live = words.select("word", "n", F.lit(0).alias("pos"), F.lit("").alias("node"), F.lit(None).cast("long").alias("node_n"), F.lit(0).alias("edits"))
-    pairs = words.select("word", "n", F.col("word").alias("near"), F.col("n").alias("near_n")).limit(0)
+    texts = both_ways(words)
+    nodes = trie_nodes(texts, tables)
+    live = texts.select("text", "n", F.lit(0).alias("pos"), F.lit("").alias("node"), F.lit(None).cast("long").alias("node_n"), F.lit(0).alias("edits"))
+    pairs = texts.select("text", "n", F.col("text").alias("node"), F.col("n").alias("node_n")).limit(0)
     # No node but the HOT_NODES of most states can hold more than that part of all states.
     while most := live.groupBy("node").count().orderBy(F.desc("count"), "node").limit(HOT_NODES).collect():
         hot = F.col("node").isin([r.node for r in most if r["count"] >= HOT_STATES])
         joined = live.filter(hot).join(F.broadcast(nodes.filter(hot)), "node").unionByName(live.filter(~hot).join(nodes, "node"))
         table = tables.keep(_steps(joined))
-        # An edit at hand when one letter is left: the node is the word without it.
-        done = F.when(F.col("edits") == 1, F.col("pos") == F.length("word")).otherwise(F.col("pos") + 1 == F.length("word"))
-        pairs = pairs.unionByName(table.filter(done & F.col("node_n").isNotNull()).select("word", "n", F.col("node").alias("near"), F.col("node_n").alias("near_n")))
-        live = table.filter((F.col("edits") == 0) | (F.col("pos") < F.length("word")))
-    return pairs
+        # Without an edit and with one letter left: the node is the word without it.
+        done = F.when(F.col("edits") == 1, F.col("pos") == F.length("text")).otherwise(F.col("pos") + 1 == F.length("text"))
+        pairs = pairs.unionByName(table.filter(done & F.col("node_n").isNotNull()).select("text", "n", "node", "node_n"))
+        live = table.filter(F.col("pos") < F.length("text"))
+    found = pairs.select(word_of("text").alias("word"), "n", word_of("node").alias("near"), F.col("node_n").alias("near_n"))
+    mirrored = found.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
+    # A letter less within a run of equal letters across the middle is found from both ends.
+    return found.unionByName(mirrored).dropDuplicates(["word", "near"])
 
 
 def spelling_variants(words: DataFrame, *, ratio: int = 5) -> DataFrame:
