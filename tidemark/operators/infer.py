@@ -74,10 +74,13 @@ def normal_p(t: pd.Series) -> pd.Series:
 def sign_test_p(hits: pd.Series, n: pd.Series) -> pd.Series:
     """Exact one-sided binomial P(X >= hits) at 1/2."""
 
-    def p(k, m):
-        return sum(math.comb(int(m), i) for i in range(int(k), int(m) + 1)) / 2 ** int(m) if m else 1.0
-
-    return pd.Series([p(k, m) for k, m in zip(hits, n, strict=True)], dtype="float64")
+    k, m = (v.fillna(0).to_numpy().astype(np.int64) for v in (hits, n))
+    logs, out = np.r_[0.0, np.cumsum(np.log(np.arange(1, m.max(initial=0) + 1)))], np.ones(len(m))
+    for size in np.unique(m):
+        i, mine = np.arange(size + 1), m == size
+        tail = np.cumsum(np.exp(logs[size] - logs[i] - logs[size - i] - size * math.log(2))[::-1])[::-1]
+        out[mine] = np.minimum(1.0, tail[k[mine]])
+    return pd.Series(out)
 
 
 def benjamini_hochberg(df: DataFrame, p: str = "p", *, by: Sequence[str] = (), out: str = "q") -> DataFrame:
@@ -156,17 +159,6 @@ def permute_cross_section(long: DataFrame, n: int, *, seed: str, keys: PanelKeys
     return taker.join(giver, ["rep", "cell", *keys.cross, "_k"]).drop("_k")
 
 
-def temporal_placebo(features: DataFrame, labels: DataFrame, n: int, *, seed: str, min_shift: int, total: int, keys: PanelKeys = P, idx: str = "d_idx") -> DataFrame:
-    """N replicates in which features are re-attached at a circularly shifted session (at least min_shift away).
-
-    features: idx, entity, group, x; labels: idx, date, entity, group, y.
-    """
-    span = max(1, total - 2 * min_shift)
-    shift = min_shift + F.pmod(draw(seed, "rep"), F.lit(span)).cast("int")
-    moved = _replicates(features, n).withColumn(idx, (F.pmod(F.col(idx) - 1 + shift, F.lit(total)) + 1).cast("int"))
-    return labels.join(moved, [idx, keys.entity, keys.group])
-
-
 def empirical_p(observed: DataFrame, null: DataFrame, *, by: Sequence[str] = ("cell",), stat: str = "t") -> DataFrame:
     """(1 + replicates at least as extreme) / (1 + replicates)."""
     n = null.select(*by, F.abs(stat).alias("_t"))
@@ -204,18 +196,6 @@ def event_cohort_scan(events: DataFrame, x: str, y: str, *, cohort: str, group:
     return ranks.groupBy(cohort).agg(F.count("*").alias("n"), guarded_corr("_a", "_b").alias("ic")).filter(F.col("n") >= min_cohort)
 
 
-def cluster_bootstrap(events: DataFrame, cluster: str, n: int, *, seed: str) -> DataFrame:
-    """N replicates of the events with clusters resampled with replacement (rep, draw id and all event columns).
-
-    The draws table has replicates x clusters rows; slots name clusters by their dense number, found by hash.
-    """
-    ids = distinct_ranks(events.select(cluster).distinct(), cluster).select(cluster, (F.col("rank") - 1).cast("int").alias("_no"))
-    total = ids.agg(F.count("*").alias("_total"))
-    slots = _replicates(ids.select(F.col("_no").alias("slot")), n).crossJoin(F.broadcast(total))
-    draws = slots.withColumn("_no", F.pmod(draw(seed, "rep", "slot"), F.col("_total")).cast("int")).drop("_total")
-    return draws.join(ids, "_no").drop("_no").join(events, cluster)
-
-
 def feature_rank_correlation(panel: DataFrame, pairs: Sequence[tuple[str, str]], *, keys: PanelKeys = P, min_names: int = 5) -> DataFrame:
     """Daily Spearman of feature pairs: mean, std, least and greatest."""
     long = long_cells(panel, [(f"{a}|{b}", a, b) for a, b in pairs], keys=keys)

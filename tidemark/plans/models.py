@@ -10,6 +10,7 @@ from tidemark.functions.exprs import rounded, sdiv
 from tidemark.operators import cross as C
 from tidemark.operators import infer as H
 from tidemark.operators import model as M
+from tidemark.operators import replicates as K
 from tidemark.operators import sessions as S
 from tidemark.operators import windows as R
 from tidemark.plans.core import KEY, PATH, valid
@@ -226,6 +227,11 @@ def draw_sql(seed: str, *cols: str) -> str:
     return f"CAST('0x' || substr(md5(concat_ws('|', '{seed}', {', '.join(cols)})), 1, 12) AS BIGINT)"
 
 
+def draw8_sql(seed: str, rep: str, *cols: str) -> str:
+    """The same number as operators.replicates.digest_draws."""
+    return f"CAST('0x' || substr(sha256(concat_ws('|', '{seed}', {rep} // 8, {', '.join(cols)})), 8 * ({rep} % 8) + 1, 8) AS BIGINT)"
+
+
 def bh_sql(name: str, source: str, p: str, by: str = "") -> str:
     """CTE with monotone q-values over p for each `by`; a missing p counts as 1."""
     part = f"PARTITION BY {by}" if by else ""
@@ -311,12 +317,21 @@ def _(f):
 
 
 PERMUTED = f"""rp AS (SELECT rep, cell, date, grp, entity, x, y FROM lng, (SELECT unnest([0, 1, 2, 3]) AS rep) WHERE x IS NOT NULL AND y IS NOT NULL),
-    nb AS (SELECT *, row_number() OVER (PARTITION BY rep, cell, date, grp ORDER BY entity) AS k, row_number() OVER (PARTITION BY rep, cell, date, grp ORDER BY {draw_sql('h10', 'rep', 'date', 'entity')}, entity) AS turn FROM rp),
+    nb AS (SELECT *, row_number() OVER (PARTITION BY rep, cell, date, grp ORDER BY entity) AS k, row_number() OVER (PARTITION BY rep, cell, date, grp ORDER BY {draw8_sql('h10', 'rep', 'date', 'entity')}, entity) AS turn FROM rp),
     perm AS (SELECT rep, cell, date, grp, a.y, b.x FROM nb a JOIN (SELECT rep, cell, date, grp, turn AS k, x FROM nb) b USING (rep, cell, date, grp, k)),
     pic AS ({ranks_sql('perm', 'x', 'y', 'rep, cell, date, grp')}),
     pd AS (SELECT rep, cell, d_idx, ic FROM (SELECT rep, cell, date, sum(ic * n) / sum(n) AS ic FROM pic WHERE ic IS NOT NULL GROUP BY ALL) JOIN days USING (date))"""
 
 
+def market_days(f: Fixtures) -> DataFrame:
+    return f.bars.select("date").distinct().withColumn("d_idx", F.row_number().over(W.orderBy("date")))
+
+
+def permutations(f: Fixtures, n: int) -> DataFrame:
+    null = K.replicate_newey_west(K.permutation_null(scan_panel(f), CELLS, n, seed="h10").join(market_days(f), "date"), 4)
+    return rounded_all(H.permutation_report(tests(f), null).select("cell", "replicates", "extreme", "p", "empirical_q", "normal_p", "q", "discoveries", "count_p"), 6)
+
+
 @query(
     "h10_permute_cross_section",
     f"""WITH {SCAN}, {PERMUTED}, {nw_sql('o', 'cd', 'cell')}, {nw_sql('z', 'pd', 'rep, cell')},
@@ -328,10 +343,13 @@ PERMUTED = f"""rp AS (SELECT rep, cell, date, grp, entity, x, y FROM lng, (SELEC
     "valid bars",
 )
 def _(f):
-    permuted = H.permute_cross_section(H.long_cells(scan_panel(f), CELLS), 4, seed="h10")
-    days = f.bars.select("date").distinct().withColumn("d_idx", F.row_number().over(W.orderBy("date")))
-    null = H.newey_west(H.daily_ic(permuted, by=["rep", "cell"]).join(days, "date"), 4, by=["rep", "cell"])
-    return rounded_all(H.permutation_report(tests(f), null).select("cell", "replicates", "extreme", "p", "empirical_q", "normal_p", "q", "discoveries", "count_p"), 6)
+    return permutations(f, 4)
+
+
+@query("h10_permutation_999")
+def _(f):
+    """As many replicates as the scan's reports take; SQL would sort every row of every replicate."""
+    return permutations(f, 999)
 
 
 @query("h10_permutation_conserves", f"WITH {SCAN} SELECT r AS rep, round(sum(x), 3) + 0.0 AS total, count(*) AS n FROM lng, (SELECT unnest([0, 1, 2]) AS r) WHERE cell = 'lnv:5' AND x IS NOT NULL AND y IS NOT NULL GROUP BY r", "valid bars")
@@ -340,6 +358,16 @@ def _(f):
     return H.permute_cross_section(long, 3, seed="h10").groupBy("rep").agg(rounded(F.sum("x"), 3).alias("total"), F.count("*").alias("n"))
 
 
+def placebo(f: Fixtures, n: int) -> DataFrame:
+    days = market_days(f)
+    panel, total = scan_panel(f).drop("d_idx").join(days, "date"), days.count()
+    features = panel.filter("rev is not null").select("d_idx", "entity", "grp", F.col("rev").alias("x"))
+    labels = panel.filter("e5 is not null").select("d_idx", *KEY, F.lit("rev:5").alias("cell"), F.col("e5").alias("y"))
+    daily = K.placebo_null(features, labels, n, seed="h11", min_shift=120, total=total, min_names=2).join(days, "date")
+    null = H.newey_west(daily, 4, by=["rep", "cell"])
+    return rounded_all(H.empirical_p(tests(f).filter("cell = 'rev:5'").select("cell", F.col("nw_t").alias("t")), null.select("cell", F.col("nw_t").alias("t"))), 6)
+
+
 @query(
     "h11_temporal_placebo",
     f"""WITH {SCAN}, nd AS (SELECT count(*) AS total FROM days), sx AS (SELECT sp.*, d_idx, total FROM sp JOIN days USING (date), nd),
@@ -353,13 +381,13 @@ def _(f):
     "valid bars",
 )
 def _(f):
-    days = f.bars.select("date").distinct().withColumn("d_idx", F.row_number().over(W.orderBy("date")))
-    panel = scan_panel(f).drop("d_idx").join(days, "date")
-    total = days.count()
-    features = panel.filter("rev is not null").select("d_idx", "entity", "grp", F.col("rev").alias("x"))
-    labels = panel.filter("e5 is not null").select("d_idx", *KEY, F.lit("rev:5").alias("cell"), F.col("e5").alias("y"))
-    null = H.newey_west(H.daily_ic(H.temporal_placebo(features, labels, 4, seed="h11", min_shift=120, total=total), by=["rep", "cell"], min_names=2).join(days, "date"), 4, by=["rep", "cell"])
-    return rounded_all(H.empirical_p(tests(f).filter("cell = 'rev:5'").select("cell", F.col("nw_t").alias("t")), null.select("cell", F.col("nw_t").alias("t"))), 6)
+    return placebo(f, 4)
+
+
+@query("h11_temporal_placebo_999")
+def _(f):
+    """As many replicates as the reports take, with the verdict at 0.10; SQL would join every row of every replicate."""
+    return placebo(f, 999).withColumn("temporal_null_pass", F.col("p") < 0.10)
 
 
 @query("h12_lookahead_canary", f"WITH {SCORED}, ic AS (SELECT date, grp, count(*) AS n, count(DISTINCT excess) AS v FROM s WHERE excess IS NOT NULL GROUP BY 1, 2) SELECT 1.0::DOUBLE AS mean_ic, count(*) FILTER (n >= 5 AND v > 1) AS cross_sections FROM ic", "valid")
@@ -390,10 +418,40 @@ def _(f):
     "filings",
 )
 def _(f):
-    drawn = H.cluster_bootstrap(cohorts(f), "entity", 5, seed="h14")
-    each = drawn.withColumn("cohort", F.concat_ws("/", "rep", "cohort"))
-    ic = H.event_cohort_scan(each, "amount", "y", cohort="cohort", group="g")
-    return ic.groupBy(F.split("cohort", "/")[0].cast("int").alias("rep")).agg(rounded(F.avg("ic"), 6).alias("mean_ic"), F.sum("n").alias("events"))
+    return bootstrap(f, ["entity"], 5).filter("cohorts > 0").select("rep", rounded("mean_ic", 6).alias("mean_ic"), "events")
+
+
+def bootstrap(f: Fixtures, cluster: list[str], n: int) -> DataFrame:
+    events = cohorts(f).withColumn("cycle", F.add_months("cohort", -F.pmod(F.month("cohort") - 1, F.lit(3)).cast("int")))
+    return K.cluster_bootstrap_ic(events, "amount", "y", cluster=cluster, cohort="cohort", group="g", n=n, seed="h14")
+
+
+def bootstrap_sql(name: str, key: str, n: int) -> str:
+    """CTEs that end in {name}: mean IC of each replicate of the events with clusters of `key` drawn n times."""
+    return f"""{name}_e AS (SELECT *, {key} AS key FROM ev JOIN (SELECT receipt, entity, receipt_date FROM filings) USING (receipt)),
+    {name}_i AS (SELECT key, row_number() OVER (ORDER BY key) - 1 AS no FROM (SELECT DISTINCT key FROM {name}_e)), {name}_t AS (SELECT count(*) AS total FROM {name}_i),
+    {name}_k AS (SELECT rep, no, count(*) AS k FROM (SELECT rep, {draw_sql('h14', 'rep', 'no')} % total AS no FROM {name}_i, {name}_t, (SELECT unnest(range({n})) AS rep)) GROUP BY ALL),
+    {name}_w AS (SELECT rep, cohort, g, amount, y, k, sum(k) OVER (PARTITION BY rep, cohort, g) AS m FROM {name}_k JOIN {name}_i USING (no) JOIN {name}_e USING (key)),
+    {name}_r AS (SELECT rep, cohort, k, ((sum(k) OVER (PARTITION BY rep, cohort, g ORDER BY amount)) - ((sum(k) OVER (PARTITION BY rep, cohort, g, amount)) - 1) / 2.0) / m AS a,
+      ((sum(k) OVER (PARTITION BY rep, cohort, g ORDER BY y)) - ((sum(k) OVER (PARTITION BY rep, cohort, g, y)) - 1) / 2.0) / m AS b FROM {name}_w WHERE m >= 10),
+    {name}_c AS (SELECT rep, cohort, sum(k) AS n, sum(k * a) AS sa, sum(k * b) AS sb, sum(k * a * a) AS saa, sum(k * b * b) AS sbb, sum(k * a * b) AS sab FROM {name}_r GROUP BY ALL HAVING sum(k) >= 30),
+    {name} AS (SELECT rep, avg((sab - sa * sb / n) / sqrt((saa - sa * sa / n) * (sbb - sb * sb / n))) AS v FROM {name}_c GROUP BY rep)"""
+
+
+BOOTS = 999
+
+
+@query(
+    "h14_cluster_confirmation",
+    f"""WITH {COHORT}, {bootstrap_sql('issuer', 'entity', BOOTS)}, {bootstrap_sql('cycle', "CAST(date_trunc('quarter', receipt_date) AS DATE)", BOOTS)},
+    e AS (SELECT clusters, count(v) AS valid, avg(v) AS boot_mean, least(1.0, 2 * least(avg((v <= 0)::INT), avg((v >= 0)::INT))) AS p FROM (SELECT 'issuer' AS clusters, v FROM issuer UNION ALL SELECT 'cycle', v FROM cycle) GROUP BY 1),
+    c AS (SELECT *, boot_mean > 0 AND p < 0.1 AS confirms FROM e)
+    SELECT clusters, valid, round(boot_mean, 6) + 0.0 AS boot_mean, round(p, 6) AS p, confirms, bool_and(confirms) OVER () AS all_confirm FROM c""",
+    "filings",
+)
+def _(f):
+    both = bootstrap(f, ["entity"], BOOTS).withColumn("clusters", F.lit("issuer")).unionByName(bootstrap(f, ["cycle"], BOOTS).withColumn("clusters", F.lit("cycle")))
+    return rounded_all(K.bootstrap_verdict(both, by="clusters"), 6)
 
 
 @query("h15_feature_rank_correlation", f"WITH {SCORED}, ic AS ({ranks_sql('s', 'rev', 'lnv', 'date, grp')}) SELECT 'rev|lnv' AS cell, count(ic) AS dates, round(avg(ic), 5) + 0.0 AS mean, round(stddev_samp(ic), 5) AS std, round(min(ic), 5) AS min, round(max(ic), 5) AS max FROM ic", "valid")
