@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that register queries.
-MODULES = ("core", "features", "models", "checks", "sources")
+MODULES = ("core", "features", "models", "vintages", "checks", "sources")
 
 
 def _registry():
