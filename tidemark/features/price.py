@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import complete, is_halted, safe_ln, sdiv
 from tidemark.keys import P, PanelKeys
+from tidemark.operators import sliding
 from tidemark.operators import windows as R
 from tidemark.operators.sessions import valid_session_panel
 
@@ -99,19 +100,21 @@ def price_features(valid: DataFrame, *, mask: bool = True, keys: PanelKeys = P)
     rows = R.rolling_regression(rows, "ret", "mkt", 252, keys).drop("slope", "intercept", "n_pairs")
     if mask:
         rows = rows.withColumn("_events", R.cumulative_events("event", keys))
+    rows = sliding.order_statistics(rows, {"_high": ("max", "close", 251, 0), "_turn": ("median", "turnover", 60, 1)}, keys)
     path = keys.path()
     lag = lambda n: F.lag("close", n).over(path)
-    resid = keys.back(252, 21)
+    there, square = F.col("residual").isNotNull().cast("int"), F.col("residual") * F.col("residual")
+    rows = sliding.frame_sums(rows, {"_n_mom": (there, 252, 21), "_s_mom": ("residual", 252, 21), "_n_long": (there, 125, 0), "_n_vol": (there, 59, 0), "_s_vol": ("residual", 59, 0), "_q_vol": (square, 59, 0)}, keys)
     quiet = ((F.col("ret") == 0) | (F.col("volume") == 0)).cast("double")
     features = {
         "reversal_5d": (complete("ret", -F.sum("ret").over(keys.back(4)), keys.back(4), 5), (4, 0)),
         "mom_6_1": (F.ln(sdiv(lag(21), lag(126))), (252, 21)),
         "mom_12_1": (F.ln(sdiv(lag(21), lag(252))), (252, 21)),
-        "resid_mom_12_1": (complete("residual", F.sum("residual").over(resid), resid, 232), (252, 21)),
-        "near_52w_high": (sdiv("close", F.max("close").over(keys.back(251))) - 1, (251, 0)),
+        "resid_mom_12_1": (F.when(F.col("_n_mom") == 232, F.col("_s_mom")), (252, 21)),
+        "near_52w_high": (sdiv("close", "_high") - 1, (251, 0)),
         "max_ret_20d": (F.max("simple").over(keys.back(19)), (19, 0)),
-        "idio_vol_60d": (F.when(F.count("residual").over(keys.back(125)) == 126, F.stddev_samp("residual").over(keys.back(59))), (59, 0)),
-        "turnover_shock": (safe_ln(sdiv("turnover", F.percentile("turnover", F.lit(0.5)).over(keys.back(60, 1)))), (60, 1)),
+        "idio_vol_60d": (F.when(F.col("_n_long") == 126, sliding.deviation(F.col("_n_vol"), F.col("_s_vol"), F.col("_q_vol"))), (59, 0)),
+        "turnover_shock": (safe_ln(sdiv("turnover", "_turn")), (60, 1)),
         "zero_return_ratio": (F.avg(F.coalesce(quiet, F.lit(0.0))).over(keys.back(19)), (19, 0)),
         "amihud_20d": (F.avg(sdiv(F.abs("ret"), "turnover")).over(keys.back(19)), None),
     }
@@ -200,9 +203,9 @@ def filing_activity(universe: DataFrame, filings: DataFrame, calendar: DataFrame
     counts = filings.groupBy(F.col(keys.entity), F.col(session).alias(keys.date)).agg(F.count("*").alias("n_all"), *(F.count_if(c).alias(f"n_{k}") for k, c in classes.items()))
     names = ["n_all", *(f"n_{k}" for k in classes)]
     rows = universe.select(*keys.all).join(counts, [keys.entity, keys.date], "left").fillna(0, names)
-    rows = rows.withColumns({f"{c}_{n}": F.sum(c).over(keys.back(n - 1)) for c in names for n in (60, 120)})
-    med, full = F.percentile("n_all_60", F.lit(0.5)).over(keys.back(250, 1)), F.count("n_all_60").over(keys.back(250, 1)) == 250
-    rows = rows.withColumn("burst", F.when(full & (med > 0), sdiv("n_all_60", med)))
+    rows = sliding.frame_sums(rows, {f"{c}_{n}": (c, n - 1, 0) for c in names for n in (60, 120)} | {f"_{c}_250": (c, 249, 0) for c in names} | {"_before": (F.lit(1), 250, 1)}, keys)
+    rows = sliding.order_statistics(rows, {"_med": ("median", "n_all_60", 250, 1)}, keys)
+    rows = rows.withColumn("burst", F.when((F.col("_before") == 250) & (F.col("_med") > 0), sdiv("n_all_60", "_med")))
     for k in classes:
-        rows = rows.withColumn(f"{k}_ratio_250", sdiv(F.sum(f"n_{k}").over(keys.back(249)), F.sum("n_all").over(keys.back(249))))
-    return rows
+        rows = rows.withColumn(f"{k}_ratio_250", sdiv(f"_n_{k}_250", "_n_all_250"))
+    return rows.drop("_before", "_med", *(f"_{c}_250" for c in names))

@@ -99,6 +99,11 @@ def formation_filter(
     return rows.select(*keys, F.col(feature).alias("feature_value"), *targets)
 
 
+def sample_policy(df: DataFrame, share: float, threshold: int, seed: int = 7) -> DataFrame:
+    """all rows up to the threshold, beyond it a repeatable sample of about that share; the count stops at the threshold."""
+    return df.sample(share, seed=seed) if df.limit(threshold + 1).count() > threshold else df
+
+
 def select_features(df: DataFrame, drop: Iterable[str], prefixes: Sequence[str] = (), pinned: Sequence[str] | None = None) -> list[str]:
     """numeric and boolean columns without keys, labels and helpers; a pinned list overrides."""
     if pinned is not None:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import complete, sdiv
 from tidemark.keys import P, PanelKeys
+from tidemark.operators import sliding
 
 AGGREGATES = {"sum": F.sum, "avg": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp, "median": lambda x: F.percentile(x, F.lit(0.5)), "count": F.count}
 
@@ -29,11 +30,7 @@ def rolling_prior(agg: str, x: str, first: int, last: int = 1, keys: PanelKeys =
 
 def rolling_regression(df: DataFrame, y: str, x: str, n: int, keys: PanelKeys = P) -> DataFrame:
     """Slope, intercept and pairs of y on x over the n prior rows, and the current row's residual; NULL below n pairs."""
-    w = keys.back(n, 1)
-    out = df.withColumns({"_s": F.regr_slope(y, x).over(w), "_i": F.regr_intercept(y, x).over(w), "n_pairs": F.regr_count(y, x).over(w)})
-    full = F.col("n_pairs") == n
-    out = out.withColumns({"slope": F.when(full, F.col("_s")), "intercept": F.when(full, F.col("_i"))}).drop("_s", "_i")
-    return out.withColumn("residual", F.col(y) - (F.col("intercept") + F.col("slope") * F.col(x)))
+    return sliding.regression(df, y, x, n, keys)
 
 
 def rolling_median(x: str, n: int, last: int = 0, keys: PanelKeys = P) -> Column:

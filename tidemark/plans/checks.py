@@ -337,11 +337,11 @@ def _(f):
     return Q.recover_delisted(f.snapshots, f.table("supplier").filter("s_suppkey % 4 = 0").select(F.col("s_suppkey").alias("entity")))
 
 
-@query("q19_missing_sessions", "SELECT e.entity, e.grp, c.date FROM (SELECT entity, grp, min(date) AS f FROM bars WHERE entity < 10 GROUP BY 1, 2) e JOIN calendar c ON c.grp = e.grp AND c.date >= e.f WHERE (e.entity, c.date) NOT IN (SELECT (entity, date) FROM bars WHERE entity < 10)", "bars calendar")
+@query("q19_missing_sessions", "SELECT e.entity, e.grp, c.date FROM (SELECT entity, grp, min(date) AS f FROM bars GROUP BY 1, 2) e JOIN calendar c ON c.grp = e.grp AND c.date >= e.f ANTI JOIN bars b ON b.entity = e.entity AND b.grp = e.grp AND b.date = c.date", "bars calendar")
 def _(f):
     from tidemark.operators.sessions import missing_sessions
 
-    return missing_sessions(f.bars.filter("entity < 10"), f.bars)
+    return missing_sessions(f.bars, f.bars)
 
 
 @query("q19_missing_sessions_all", "SELECT e.entity, e.grp, c.date FROM (SELECT entity, grp, min(date) AS f FROM bars GROUP BY 1, 2) e JOIN calendar c ON c.grp = e.grp AND c.date >= e.f ANTI JOIN bars b ON b.entity = e.entity AND b.grp = e.grp AND b.date = c.date", "bars calendar")

@@ -14,6 +14,7 @@ from tidemark.operators import cross as C
 from tidemark.operators import joins as J
 from tidemark.operators import pit
 from tidemark.operators import sessions as S
+from tidemark.operators import sliding
 from tidemark.operators import windows as R
 from tidemark.plans.fixtures import Fixtures
 from tidemark.plans.registry import query
@@ -82,11 +83,14 @@ def _(f):
     return f.bars.join(S.trading_calendar(f.bars), ["grp", "date"]).filter(F.pmod("d_idx", F.lit(20)) == 3).select(*KEY)
 
 
-@query("f11_sample_policy", "SELECT count(*) > 0 AS sampled FROM lineitem")
+@query("f11_sample_policy", "SELECT l_returnflag, count(*) AS total, true AS share_ok FROM lineitem GROUP BY 1")
 def _(f):
-    rows = f.table("lineitem")
-    part = rows.sample(0.2, seed=7) if rows.count() > 10_000 else rows
-    return part.agg((F.count("*") > 0).alias("sampled"))
+    """The sampled share of each flag lies around a fifth, and a table below the threshold stays whole."""
+    rows = f.table("lineitem").select("l_returnflag", F.lit(1).alias("n"))
+    every, some = (d.groupBy("l_returnflag").agg(F.sum("n").alias(c)) for d, c in ((rows, "total"), (X.sample_policy(rows, 0.2, 1_000), "some")))
+    whole = X.sample_policy(f.table("region"), 0.2, 1_000).agg((F.count("*") == 5).alias("whole"))
+    share = F.col("some") / F.col("total")
+    return every.join(some, "l_returnflag").crossJoin(F.broadcast(whole)).select("l_returnflag", "total", (F.col("whole") & share.between(0.15, 0.25)).alias("share_ok"))
 
 
 @query("f12_hash_sample", "SELECT c_custkey FROM customer ORDER BY md5(CAST(c_custkey AS VARCHAR)), c_custkey LIMIT 50")
@@ -387,7 +391,9 @@ def _(f):
 
 @query("w05_rolling_prior", f"SELECT date, entity, grp, max(close) OVER ({PATH} ROWS BETWEEN 252 PRECEDING AND 1 PRECEDING) AS high252, round(sum(ret) OVER ({PATH} ROWS BETWEEN 252 PRECEDING AND 21 PRECEDING), 6) AS mom FROM valid", "valid")
 def _(f):
-    return valid(f).select(*KEY, R.rolling_prior("max", "close", 252).alias("high252"), rounded(R.rolling_prior("sum", "ret", 252, 21)).alias("mom"))
+    rows = sliding.frame_sums(valid(f), {"mom": ("ret", 252, 21), "n": (F.col("ret").isNotNull().cast("int"), 252, 21)})
+    rows = sliding.order_statistics(rows.select(*KEY, "close", F.when(F.col("n") > 0, F.col("mom")).alias("mom")), {"high252": ("max", "close", 252, 1)})
+    return rows.select(*KEY, "high252", rounded("mom").alias("mom"))
 
 
 @query(
@@ -404,7 +410,8 @@ def _(f):
 
 @query("w07_rolling_median", f"SELECT date, entity, grp, round(median(turnover) OVER ({PATH} ROWS BETWEEN 60 PRECEDING AND 1 PRECEDING), 3) AS med FROM valid", "valid")
 def _(f):
-    return valid(f).select(*KEY, rounded(R.rolling_median("turnover", 60, 1), 3).alias("med"))
+    rows = sliding.order_statistics(valid(f).select(*KEY, "turnover"), {"med": ("median", "turnover", 60, 1)})
+    return rows.select(*KEY, rounded("med", 3).alias("med"))
 
 
 @query("w08_rolling_zscore", f"SELECT date, entity, grp, round((volume - avg(volume) OVER w) / nullif(stddev_samp(volume) OVER w, 0), 5) AS z FROM valid WINDOW w AS ({PATH} ROWS 19 PRECEDING)", "valid")

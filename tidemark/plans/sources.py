@@ -167,11 +167,15 @@ def _(f):
     return PS.clip_window_with_drift_check(f.bars, ["high", "low"], "date", "1998-01-01", "1998-06-30", ["entity"])
 
 
-@query("s20_merge_with_retention", "SELECT c_custkey AS id, CASE WHEN c_custkey < 1000 THEN c_nationkey ELSE 99 END AS first_seen, CASE WHEN c_custkey % 2 = 0 THEN 'new' WHEN c_custkey < 1000 THEN c_mktsegment END AS listed, CASE WHEN c_custkey >= 500 THEN -1.0 ELSE c_acctbal END AS other FROM (SELECT *, c_custkey >= 500 AS u FROM customer) WHERE c_custkey < 1000 AND NOT u OR u AND (c_custkey >= 1000 OR c_custkey < 1000)")
+@query(
+    "s20_merge_with_retention",
+    """SELECT c_custkey AS id, CASE WHEN t THEN c_nationkey ELSE 99 END AS first_seen, CASE WHEN u AND c_custkey % 2 = 0 THEN 'new' WHEN t THEN c_mktsegment END AS listed, CASE WHEN u THEN -1.0 ELSE c_acctbal END AS other
+    FROM (SELECT *, c_custkey % 3 <> 0 AS t, c_custkey % 4 <> 1 AS u FROM customer) WHERE t OR u""",
+)
 def _(f):
     c = f.table("customer")
-    target = c.filter("c_custkey < 1000").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("first_seen"), F.when(F.pmod("c_custkey", F.lit(2)) == 0, F.when(F.col("c_custkey") < 500, F.lit("new")).otherwise(F.lit("old"))).otherwise(F.col("c_mktsegment")).alias("listed"), F.col("c_acctbal").alias("other"))
-    updates = c.filter("c_custkey >= 500").select(F.col("c_custkey").alias("id"), F.lit(99).alias("first_seen"), F.when(F.pmod("c_custkey", F.lit(2)) == 0, "new").alias("listed"), F.lit(-1.0).alias("other"))
+    target = c.filter("c_custkey % 3 <> 0").select(F.col("c_custkey").alias("id"), F.col("c_nationkey").alias("first_seen"), F.col("c_mktsegment").alias("listed"), F.col("c_acctbal").alias("other"))
+    updates = c.filter("c_custkey % 4 <> 1").select(F.col("c_custkey").alias("id"), F.lit(99).alias("first_seen"), F.when(F.pmod("c_custkey", F.lit(2)) == 0, "new").alias("listed"), F.lit(-1.0).alias("other"))
     return S.merge_with_retention(target, updates, ["id"], keep_old=["first_seen"], new_if_known=["listed"])
 
 
