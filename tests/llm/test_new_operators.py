@@ -164,14 +164,19 @@ def test_curve_visits_neighbours_and_boxes_rule_out_centroids():
     order = np.argsort(centroids.hilbert(cells, 3))
     assert (np.abs(np.diff(cells[order], axis=0)).sum(1) == 1).all()
     rng = np.random.default_rng(1)
-    centers, seen = rng.integers(-50, 50, (16, 4)), []
-    for _ in range(50):
-        x = rng.integers(-50, 50, 4) + rng.integers(0, 6, (30, 4))
-        among = centroids.candidates(x.min(0), x.max(0), centers)
-        seen.append(len(among))
-        full = ((x[:, None] - centers) ** 2).sum(2)
-        assert (among[centroids.nearest(x, centers[among])[0]] == full.argmin(1)).all()
-    assert np.mean(seen) < 6
+    centers, seen = rng.integers(-50, 50, (16, 12)), []
+    for axes in (12, 5):
+        frame = centroids.Frame(rng.normal(size=12), np.linalg.qr(rng.normal(size=(12, 12)))[0][:, :axes])
+        for _ in range(200):
+            x = rng.integers(-50, 50, 12) + rng.integers(0, 1 + rng.integers(0, 30), (30, 12))
+            along, rest = frame.coordinates(x)
+            among = centroids.candidates(along.min(0), along.max(0), rest.max(), centers, frame)
+            seen.append(len(among))
+            full = ((x[:, None] - centers) ** 2).sum(2)
+            assert (among[centroids.nearest(x, centers[among])[0]] == full.argmin(1)).all()
+    assert min(seen) == 1 and np.mean(seen[:200]) < 12
+    same = np.repeat(centers[:1], 3, 0)  # equal centroids all stay, and the first wins
+    assert centroids.candidates(along.min(0), along.max(0), rest.max(), same, frame).tolist() == [0, 1, 2]
 
 
 # 12 spelling variants

@@ -1,10 +1,10 @@
 """Centroid clustering over zone maps in the order of a space-filling curve.
 
 Vectors become integers; a Hilbert curve through their leading principal axes orders them, and neighbours on the curve
-go into blocks that are written once, each with its least and greatest value in every component. A pass over the blocks
-bounds the distance of each block's box to every centroid from below and above: a centroid whose least distance exceeds
-another's greatest can't be nearest to any member. The others are compared exactly, a block at once. Passes shuffle only
-sums by cluster and component.
+go into blocks that are written once, each with the box that holds it: the least and greatest coordinate along each of these
+axes, and the greatest distance from the space that they span. A pass over the blocks bounds by how much any point of the
+box can be nearer to a centroid than to the one nearest the box's middle; if it can't, no member is assigned to it. The
+others are compared exactly, a block at once. Passes shuffle only sums by cluster and component.
 """
 
 from __future__ import annotations
@@ -84,9 +84,23 @@ def principal_axes(rows: DataFrame, dims: int) -> tuple[np.ndarray, np.ndarray,
     return mean, axes[:, lead], np.sqrt(np.maximum(values[lead], 1e-9))
 
 
-def zone_map(rows: DataFrame, dims: int) -> DataFrame:
-    """One row for each block of up to BLOCK neighbours on the curve: ids, their components (4 bytes each), lo and hi."""
+class Frame:
+    """Leading axes through the mean, and coordinates in them."""
+
+    def __init__(self, mean: np.ndarray, axes: np.ndarray) -> None:
+        self.mean, self.axes = mean, axes
+
+    def coordinates(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Coordinates along the axes, and the distance from their space with what rounding may add to it."""
+        centred = x - self.mean
+        along, square = centred @ self.axes, (centred * centred).sum(1)
+        return along, np.sqrt(np.maximum(square - (along * along).sum(1), 0) + 1e-12 * square)
+
+
+def zone_map(rows: DataFrame, dims: int) -> tuple[DataFrame, Frame]:
+    """One row for each block of up to BLOCK neighbours on the curve: ids, their components (4 bytes each), lo, hi and rest."""
     mean, axes, spread = principal_axes(rows, dims)
+    frame = Frame(mean, axes)
     top = (1 << CURVE_BITS) - 1
 
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -104,19 +118,31 @@ def zone_map(rows: DataFrame, dims: int) -> DataFrame:
             x, ids, out = matrix(batch.column(1), dims), batch.column(0), []
             for k in range(0, batch.num_rows, BLOCK):
                 part = x[k : k + BLOCK]
-                out.append((ids.slice(k, BLOCK).to_pylist(), part.astype("<i4").tobytes(), part.min(0).tolist(), part.max(0).tolist()))
-            kinds = [pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+                along, rest = frame.coordinates(part)
+                out.append((ids.slice(k, BLOCK).to_pylist(), part.astype("<i4").tobytes(), along.min(0).tolist(), along.max(0).tolist(), float(rest.max())))
+            kinds = [pa.list_(pa.int64()), pa.binary(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64()]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["ids", "q", "lo", "hi"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["ids", "q", "lo", "hi", "rest"])
+
+    return ordered.mapInArrow(blocks, "ids array<long>, q binary, lo array<double>, hi array<double>, rest double"), frame
 
-    return ordered.mapInArrow(blocks, "ids array<long>, q binary, lo array<long>, hi array<long>")
 
+def candidates(lo: np.ndarray, hi: np.ndarray, rest: float, centroids: np.ndarray, frame: Frame) -> np.ndarray:
+    """Numbers of the centroids that can be nearest to a point of the box.
 
-def candidates(lo: np.ndarray, hi: np.ndarray, centroids: np.ndarray) -> np.ndarray:
-    """Numbers of the centroids that can be nearest to a point of the box: least distance not above the least greatest one."""
-    gap = np.maximum(np.maximum(lo - centroids, centroids - hi), 0)
-    far = np.maximum(np.abs(centroids - lo), np.abs(hi - centroids))
-    return np.flatnonzero((gap * gap).sum(1) <= (far * far).sum(1).min())
+    The difference of a point's squared distances to two centroids is linear in the point, so its least value over the box is
+    taken axis by axis; off the axes it is bounded by lengths. Rounding is on the side of keeping a centroid.
+    """
+    c = centroids - frame.mean
+    along, squares = c @ frame.axes, (c * c).sum(1)
+    middle = (lo + hi) / 2
+    pivot = int((squares - 2 * along @ middle).argmin())
+    apart = c - c[pivot]
+    step = along - along[pivot]
+    off = np.sqrt(np.maximum((apart * apart).sum(1) - (step * step).sum(1), 0) + 1e-12 * squares.max())
+    most = np.maximum(lo * step, hi * step).sum(1) + rest * off
+    slack = 1e-9 * (squares.max() + np.maximum(lo * lo, hi * hi).sum() + rest * rest) + 1e-6
+    return np.flatnonzero(squares - squares[pivot] - 2 * most <= slack)
 
 
 def nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -131,24 +157,24 @@ def nearest(x: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return best, d[np.arange(len(x)), best]
 
 
-def _assigned(batch: pa.RecordBatch, centroids: np.ndarray) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray]]:
+def _assigned(batch: pa.RecordBatch, centroids: np.ndarray, frame: Frame) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray]]:
     """For each block: ids, components, number of the nearest centroid and squared distance."""
     dims = centroids.shape[1]
-    for ids, q, lo, hi in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+    for ids, q, lo, hi, rest in zip(*(batch.column(k).to_pylist() for k in range(5)), strict=True):
         x = np.frombuffer(q, "<i4").astype(np.int64).reshape(-1, dims)
-        among = candidates(np.array(lo), np.array(hi), centroids)
+        among = candidates(np.array(lo), np.array(hi), rest, centroids, frame)
         best, d = nearest(x, centroids[among])
         yield ids, x, among[best], d
 
 
-def update(blocks: DataFrame, centroids: np.ndarray) -> np.ndarray:
+def update(blocks: DataFrame, centroids: np.ndarray, frame: Frame) -> np.ndarray:
     """Centroids after one round: exact floors of the means of their vectors; those without a vector stay."""
     k, dims = centroids.shape
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((k, dims + 1), np.int64)
         for batch in batches:
-            for _, x, cluster, _ in _assigned(batch, centroids):
+            for _, x, cluster, _ in _assigned(batch, centroids, frame):
                 for c in np.unique(cluster):
                     mine = x[cluster == c]
                     total[c, 0] += len(mine)
@@ -180,13 +206,14 @@ def cluster(vectors: DataFrame, *, id_col: str = "vec_id", vector_col: str = "em
         return spark.createDataFrame([], ", ".join([schema, *names]))
     centroids = np.array([r.q for r in first], np.int64)
     tables = Tables(spark)
-    blocks = tables.keep(zone_map(rows, dims))
+    blocks, frame = zone_map(rows, dims)
+    blocks = tables.keep(blocks)
     for _ in range(rounds):
-        centroids = update(blocks, centroids)
+        centroids = update(blocks, centroids, frame)
 
     def final(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, _, number, d in _assigned(batch, centroids):
+            for ids, _, number, d in _assigned(batch, centroids, frame):
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(number.astype(np.int32)), pa.array(d)], names=["vec_id", "cluster", "distance"])
 
     table = tables.keep(blocks.mapInArrow(final, schema), instead_of=(blocks,))
