@@ -160,9 +160,9 @@ def permute_cross_section(long: DataFrame, n: int, *, seed: str, keys: PanelKeys
 
 
 def empirical_p(observed: DataFrame, null: DataFrame, *, by: Sequence[str] = ("cell",), stat: str = "t") -> DataFrame:
-    """(1 + replicates at least as extreme) / (1 + replicates)."""
+    """(1 + replicates at least as extreme) / (1 + replicates); equal statistics count, whatever rounding does to them."""
     n = null.select(*by, F.abs(stat).alias("_t"))
-    out = observed.join(n, list(by), "left").groupBy(*by).agg(F.count("_t").alias("replicates"), F.count_if(F.col("_t") >= F.abs(F.col(stat))).alias("extreme"))
+    out = observed.join(n, list(by), "left").groupBy(*by).agg(F.count("_t").alias("replicates"), F.count_if(F.col("_t") >= F.abs(F.col(stat)) - 1e-9).alias("extreme"))
     return out.withColumn("p", (F.col("extreme") + 1) / (F.col("replicates") + 1))
 
 

@@ -338,7 +338,7 @@ def permutations(f: Fixtures, n: int) -> DataFrame:
     op AS (SELECT cell, t, {normal_sql('t')} AS normal_p FROM o), {bh_sql('seen', 'op', 'normal_p')}, zp AS (SELECT rep, cell, {normal_sql('t')} AS normal_p FROM z), {bh_sql('scans', 'zp', 'normal_p', 'rep')},
     found AS (SELECT count(*) FILTER (q <= 0.1) AS discoveries FROM seen), reps AS (SELECT rep, count(*) FILTER (q <= 0.1) AS k FROM scans GROUP BY rep),
     chance AS (SELECT discoveries, (count(*) FILTER (k >= discoveries) + 1) / (count(k) + 1)::DOUBLE AS count_p FROM found, reps GROUP BY discoveries),
-    emp AS (SELECT cell, count(z.t) AS replicates, count(*) FILTER (abs(z.t) >= abs(o.t)) AS extreme, (count(*) FILTER (abs(z.t) >= abs(o.t)) + 1) / (count(z.t) + 1)::DOUBLE AS p FROM o LEFT JOIN z USING (cell) GROUP BY cell), {bh_sql('eq', 'emp', 'p')}
+    emp AS (SELECT cell, count(z.t) AS replicates, count(*) FILTER (abs(z.t) >= abs(o.t) - 1e-9) AS extreme, (count(*) FILTER (abs(z.t) >= abs(o.t) - 1e-9) + 1) / (count(z.t) + 1)::DOUBLE AS p FROM o LEFT JOIN z USING (cell) GROUP BY cell), {bh_sql('eq', 'emp', 'p')}
     SELECT cell, replicates, extreme, round(eq.p, 6) AS p, round(eq.q, 6) AS empirical_q, round(normal_p, 6) AS normal_p, round(seen.q, 6) AS q, discoveries, round(count_p, 6) AS count_p FROM eq JOIN seen USING (cell), chance""",
     "valid bars",
 )
@@ -377,7 +377,7 @@ def placebo(f: Fixtures, n: int) -> DataFrame:
     pic AS ({ranks_sql('pl', 'x', 'y', 'rep, cell, date, grp').replace('>= 5', '>= 2')}),
     pd AS (SELECT rep, cell, d_idx, ic FROM (SELECT rep, cell, date, sum(ic * n) / sum(n) AS ic FROM pic WHERE ic IS NOT NULL GROUP BY ALL) JOIN days USING (date)),
     {nw_sql('o', 'cd', 'cell')}, {nw_sql('z', 'pd', 'rep, cell')}
-    SELECT cell, count(z.t) AS replicates, count(*) FILTER (abs(z.t) >= abs(o.t)) AS extreme, round((count(*) FILTER (abs(z.t) >= abs(o.t)) + 1) / (count(z.t) + 1)::DOUBLE, 6) AS p FROM o LEFT JOIN z USING (cell) WHERE cell = 'rev:5' GROUP BY cell""",
+    SELECT cell, count(z.t) AS replicates, count(*) FILTER (abs(z.t) >= abs(o.t) - 1e-9) AS extreme, round((count(*) FILTER (abs(z.t) >= abs(o.t) - 1e-9) + 1) / (count(z.t) + 1)::DOUBLE, 6) AS p FROM o LEFT JOIN z USING (cell) WHERE cell = 'rev:5' GROUP BY cell""",
     "valid bars",
 )
 def _(f):
