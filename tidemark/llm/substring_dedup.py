@@ -5,7 +5,8 @@ suffixes are sorted by Spark's disk-backed shuffle: each window of `length` byte
 hash is least (leftmost among equals), so equal windows are owned by equal grams at the same place, and about one
 position in seventy is an owner. Owners are grouped by gram (the first common prefix), then by the whole text of the
 windows that they own; what is common to whole groups is settled there. From the remaining owners the common part is
-induced window by window. Matching is exact up to collisions of two independent 64-bit hashes.
+induced window by window. Matching is exact up to equal pairs of 64-bit hashes; both come from one
+polynomial modulo 2^64, so they aren't independent on byte strings made against it (of the Thue-Morse kind).
 """
 
 from __future__ import annotations
