@@ -81,6 +81,7 @@ def fin_scan_features(panel: DataFrame, facts: DataFrame, *, ok: Column, cap: st
     per_asset = lambda x: F.when(F.col("_assets") > 0, x / F.col("_assets"))
     rows = rows.withColumns({
         "negative_equity": F.coalesce(F.col("total_equity") <= 0, F.lit(False)),
+        # The names of the two sources.
         "gross_profit_source": F.when(F.col("gross_profit").isNotNull(), "direct").when(F.col("_gross").isNotNull(), "revenue_minus_cogs_fallback"),
         "log_mcap": F.when(priced, F.ln(cap)),
         **{k: F.when(priced & (F.col("total_equity") > 0 if x == "total_equity" else F.lit(True)), F.col(x) / F.col(cap)) for k, x in VALUE_PARTS.items()},

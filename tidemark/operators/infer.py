@@ -18,6 +18,7 @@ from tidemark.lineage import checkpoint
 from tidemark.operators.aggregates import guarded_corr
 from tidemark.operators.cross import average_rank, distinct_ranks
 from tidemark.operators.model import rank_ic
+from tidemark.operators.sessions import next_session
 
 
 def hypothesis_registry(families: DataFrame, available: DataFrame) -> DataFrame:
@@ -196,6 +197,19 @@ def event_cohort_scan(events: DataFrame, x: str, y: str, *, cohort: str, group:
     return ranks.groupBy(cohort).agg(F.count("*").alias("n"), guarded_corr("_a", "_b").alias("ic")).filter(F.col("n") >= min_cohort)
 
 
+def cohort_inference(cohorts: DataFrame, sessions: DataFrame, lag: int, *, cohort: str = "cohort", window: Column, ic: str = "ic", session: str = "date") -> DataFrame:
+    """Cohorts, mean, HAC t of cohort ICs over the market's session ordinals, and the filing windows they come from.
+
+    A cohort's ordinal is that of the first session on or after its date, so two cohorts are as far apart as the market's
+    sessions between them; cohorts after the last session are left out. sessions: distinct dates, one row each.
+    """
+    numbered = sessions.select(F.col(session).alias("_s"), F.row_number().over(W.orderBy(session)).alias("d_idx"))
+    at = next_session(cohorts.select(F.col(cohort).alias("date")), sessions.select(F.col(session).alias("date")), on_or_after=True)
+    rows = cohorts.filter(F.col(ic).isNotNull()).join(at.select(F.col("date").alias(cohort), F.col("session").alias("_s")), cohort).join(numbered, "_s")
+    windows = rows.agg(F.count_distinct(window).alias("windows"))
+    return newey_west(rows, lag, by=(), ic=ic).crossJoin(F.broadcast(windows))
+
+
 def feature_rank_correlation(panel: DataFrame, pairs: Sequence[tuple[str, str]], *, keys: PanelKeys = P, min_names: int = 5) -> DataFrame:
     """Daily Spearman of feature pairs: mean, std, least and greatest."""
     long = long_cells(panel, [(f"{a}|{b}", a, b) for a, b in pairs], keys=keys)

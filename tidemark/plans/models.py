@@ -409,6 +409,20 @@ def _(f):
     return rounded_all(H.event_cohort_scan(cohorts(f), "amount", "y", cohort="cohort", group="g"))
 
 
+@query(
+    "h13_cohort_inference",
+    f"""WITH {COHORT}, {COHORT_IC}, days AS (SELECT date, row_number() OVER (ORDER BY date) AS d_idx FROM (SELECT DISTINCT date FROM bars)),
+    x AS (SELECT cohort, ic, (SELECT min(d_idx) FROM days WHERE date >= cohort) AS d_idx FROM ci WHERE ic IS NOT NULL), k AS (SELECT * FROM x WHERE d_idx IS NOT NULL), m AS (SELECT count(*) AS dates, avg(ic) AS mean, count(DISTINCT date_trunc('quarter', cohort)) AS windows FROM k),
+    d AS (SELECT d_idx, ic - mean AS d FROM k, m), v AS (SELECT (SELECT sum(d * d) FROM d) + 2 * coalesce((SELECT sum((1 - (b.d_idx - a.d_idx) / 61.0) * a.d * b.d) FROM d a JOIN d b ON b.d_idx > a.d_idx AND b.d_idx <= a.d_idx + 60), 0) AS v)
+    SELECT dates AS cohorts, round(mean, 5) + 0.0 AS mean, round(CASE WHEN v > 0 THEN mean * dates / sqrt(v) END, 3) + 0.0 AS nw_t, windows FROM m, v""",
+    "filings bars",
+)
+def _(f):
+    ics = H.event_cohort_scan(cohorts(f), "amount", "y", cohort="cohort", group="g")
+    out = H.cohort_inference(ics, f.bars.select("date").distinct(), 60, window=F.trunc("cohort", "quarter"))
+    return out.select(F.col("dates").alias("cohorts"), rounded("mean", 5).alias("mean"), rounded("nw_t", 3).alias("nw_t"), "windows")
+
+
 @query(
     "h14_cluster_bootstrap",
     f"""WITH ids AS (SELECT entity, row_number() OVER (ORDER BY entity) - 1 AS no FROM (SELECT DISTINCT entity FROM filings)), nt AS (SELECT count(*) AS total FROM ids),
