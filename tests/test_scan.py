@@ -92,3 +92,12 @@ def test_screen_asks_only_gates_that_apply(spark):
     )
     out = {r.cell: (r.screen_pass, r.failed_gates) for r in N.screen_pass(cells, always=["found"], optional=["direction"], required={"delay": "needs"}).collect()}
     assert out == {1: (True, []), 2: (False, ["isolated_clear"]), 3: (False, ["direction", "delay"]), 4: (False, ["found"]), 5: (False, [])}
+
+
+def test_quantile_report_counts_both_edges_and_skips_small_dates(spark):
+    from tidemark.operators.model import quantile_report
+
+    rows = [(START, float(i), float(i) - 6) for i in range(1, 11)] + [(days(2)[1], 1.0, 100.0)] * 4 + [(START, None, 9.0), (START, 1.0, None)]
+    (r,) = quantile_report(spark.createDataFrame(rows, "date date, s double, y double"), "s", "y").collect()
+    # Places 0.8, 0.9 and 1.0 are the top fifth, 0.1 and 0.2 the bottom one.
+    assert (r.dates, r.top_decile, r.top_minus_bottom, r.hit_ratio_top) == (1, 3.5, 3.0 - -4.5, 1.0)

@@ -101,6 +101,16 @@ def ic_report(daily: DataFrame, by: Sequence[str] = (), ic: str = "ic") -> DataF
     return out.withColumns({"icir": sdiv("mean", "std"), "t": sdiv(F.col("mean") * F.sqrt("dates"), "std")})
 
 
+def quantile_report(df: DataFrame, score: str, label: str, *, n: int = 5, date: str = "date") -> DataFrame:
+    """Means over dates of the top decile's label, of the top n-th less the bottom n-th, and of the top n-th's share above
+    zero. Dates with fewer than n names are left out; places are average ranks by names, and both edges count."""
+    pairs = df.filter(F.col(score).isNotNull() & F.col(label).isNotNull())
+    p = pairs.select(date, F.col(label).alias("_y"), (C.average_rank(score, [date]) / F.count("*").over(W.partitionBy(date))).alias("_p"))
+    y, top = F.col("_y"), F.col("_p") >= 1 - 1 / n
+    each = p.groupBy(date).agg(F.count("*").alias("_n"), F.avg(F.when(F.col("_p") >= 0.9, y)).alias("_d"), F.avg(F.when(top, y)).alias("_t"), F.avg(F.when(F.col("_p") <= 1 / n, y)).alias("_b"), F.avg(F.when(top, (y > 0).cast("double"))).alias("_h"))
+    return each.filter(F.col("_n") >= n).agg(F.count("*").alias("dates"), F.avg("_d").alias("top_decile"), (F.avg("_t") - F.avg("_b")).alias("top_minus_bottom"), F.avg("_h").alias("hit_ratio_top"))
+
+
 def turnover(members: DataFrame, order: str, entity: str = "entity") -> DataFrame:
     """1 - overlap / larger size of the memberships of consecutive grid dates."""
     sizes = members.groupBy(order).agg(F.count("*").alias("size"))

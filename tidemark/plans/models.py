@@ -118,6 +118,17 @@ def _(f):
     return out.select("dates", *(rounded(c, d).alias(c) for c, d in (("mean", 5), ("std", 5), ("icir", 4), ("t", 3), ("hit_ratio", 5))))
 
 
+@query(
+    "m10_quantile_report",
+    f"""WITH {SCORED}, p AS (SELECT date, excess AS y, (rank() OVER (PARTITION BY date ORDER BY rev) + (count(*) OVER (PARTITION BY date, rev) - 1) / 2.0) / count(*) OVER (PARTITION BY date) AS p FROM s WHERE rev IS NOT NULL AND excess IS NOT NULL),
+    d AS (SELECT date, avg(y) FILTER (p >= 0.9) AS d, avg(y) FILTER (p >= 0.8) AS t, avg(y) FILTER (p <= 0.2) AS b, avg(CASE WHEN y > 0 THEN 1.0 ELSE 0.0 END) FILTER (p >= 0.8) AS h FROM p GROUP BY date HAVING count(*) >= 5)
+    SELECT count(*) AS dates, round(avg(d), 6) + 0.0 AS top_decile, round(avg(t) - avg(b), 6) + 0.0 AS top_minus_bottom, round(avg(h), 6) AS hit_ratio_top FROM d""",
+    "valid",
+)
+def _(f):
+    return rounded_all(M.quantile_report(scored(f), "rev", "excess"), 6)
+
+
 TOP = "g AS (SELECT date, CAST((row_number() OVER (ORDER BY date) - 1) // 20 AS INTEGER) AS grid_idx, (row_number() OVER (ORDER BY date) - 1) % 20 AS m FROM (SELECT DISTINCT date FROM valid)), h AS (SELECT grid_idx, date, entity FROM (SELECT grid_idx, v.date, entity, row_number() OVER (PARTITION BY v.date ORDER BY turnover DESC, entity) AS r FROM valid v JOIN g ON g.date = v.date AND m = 0) WHERE r <= 5)"
 TURNOVER = "t AS (SELECT a.grid_idx, 1 - count(b.entity) / greatest(max(a.n), max(a.pn))::DOUBLE AS turnover FROM (SELECT h.*, s.n, p.n AS pn FROM h JOIN (SELECT grid_idx, count(*) AS n FROM h GROUP BY 1) s USING (grid_idx) JOIN (SELECT grid_idx + 1 AS grid_idx, count(*) AS n FROM h GROUP BY 1) p USING (grid_idx)) a LEFT JOIN h b ON b.grid_idx = a.grid_idx - 1 AND b.entity = a.entity GROUP BY a.grid_idx)"
 
