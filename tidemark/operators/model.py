@@ -143,48 +143,6 @@ def tag_holdout(df: DataFrame, *, embargo: int, holdout: int, date: str = "date"
     return tagged.filter("role is not null").drop("_h", "_t")
 
 
-def train_walk_forward(tagged: DataFrame, features: Sequence[str], label: str, *, grid: Sequence[dict], held: DataFrame | None = None, keys: PanelKeys = P) -> DataFrame:
-    """Fit each parameter set on each fold's training rows and report its mean validation IC; with `held` (rows of
-    tag_holdout) also fit the best set (mean over folds of the mean IC; the first of equals) and score the holdout, once.
-
-    grid: dicts of kind ('linear' with regParam, elasticNetParam; 'boosted' with maxIter, maxDepth). The models are
-    Spark's own, so training is distributed; a fit for each fold and parameter set is what the method asks for.
-    Result: role (valid, holdout), params, fold (NULL for the holdout), mean_ic, cross_sections, best.
-    """
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor, LinearRegression
-
-    def assembled(df: DataFrame) -> DataFrame:
-        return VectorAssembler(inputCols=list(features), outputCol="_x").transform(df.filter(F.col(label).isNotNull()).fillna(0.0, list(features)))
-
-    def ics(train: DataFrame, other: DataFrame, params: dict) -> DataFrame:
-        own = {k: v for k, v in params.items() if k != "kind"}
-        model = (GBTRegressor(seed=7, **own) if params["kind"] == "boosted" else LinearRegression(**own)).setFeaturesCol("_x").setLabelCol(label).setPredictionCol("score")
-        return rank_ic(model.fit(train).transform(other), "score", label, by=keys.cross)
-
-    def report(rows: DataFrame, role: str) -> DataFrame:
-        return rows.groupBy("params", "fold").agg(F.avg("ic").alias("mean_ic"), F.count("ic").alias("cross_sections")).withColumn("role", F.lit(role))
-
-    rows = assembled(tagged)
-    folds = [r.fold for r in tagged.select("fold").distinct().orderBy("fold").collect()]
-    out = None
-    for i, params in enumerate(grid):
-        for fold in folds:
-            own = rows.filter(F.col("fold") == fold)
-            ic = ics(own.filter("role = 'train'"), own.filter("role = 'valid'"), params).withColumns({"fold": F.lit(fold), "params": F.lit(i)})
-            out = ic if out is None else out.unionByName(ic)
-    # A row for each parameter set and fold: the choice is made from that small table.
-    reports = tagged.sparkSession.createDataFrame(report(out, "valid").collect(), "params int, fold int, mean_ic double, cross_sections long, role string")
-    means = reports.groupBy("params").agg(F.avg("mean_ic").alias("m")).filter("m is not null")
-    best = means.orderBy(F.desc("m"), "params").select("params").first()
-    best = best.params if best else None
-    if held is not None and best is not None:
-        rows = assembled(held)
-        ic = ics(rows.filter("role = 'train'"), rows.filter("role = 'holdout'"), grid[best])
-        reports = reports.unionByName(report(ic.withColumns({"fold": F.lit(None).cast("int"), "params": F.lit(best)}), "holdout"))
-    return reports.select("role", "params", "fold", "mean_ic", "cross_sections", F.col("params").eqNullSafe(F.lit(best)).alias("best"))
-
-
 def realized_summary(picked: DataFrame, label: str, by: Sequence[str] = (), entity: str = "entity") -> DataFrame:
     """Names, known labels, their mean and hit ratio."""
     return picked.groupBy(*by).agg(F.countDistinct(entity).alias("names"), F.count(label).alias("known"), F.avg(label).alias("mean"), F.avg((F.col(label) > 0).cast("double")).alias("hit_ratio"))

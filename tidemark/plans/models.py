@@ -12,6 +12,7 @@ from tidemark.operators import infer as H
 from tidemark.operators import model as M
 from tidemark.operators import replicates as K
 from tidemark.operators import sessions as S
+from tidemark.operators import walkforward as WF
 from tidemark.operators import windows as R
 from tidemark.plans.core import KEY, PATH, valid
 from tidemark.plans.features import rounded_all
@@ -151,12 +152,38 @@ def _(f):
     return rounded_all(out.select("grid_idx", "n_scored", "n_held", "gross", "net"))
 
 
+def held_out(f: Fixtures) -> DataFrame:
+    return WF.holdout_fold(f.bars, embargo=20, holdout=200)
+
+
 @query("m13_train_walk_forward")
 def _(f):
-    rows = scored(f).select(*KEY, "rev", "lnv", "excess")
     grid = [{"kind": "linear", "regParam": 0.1, "elasticNetParam": 0.0}, {"kind": "linear", "regParam": 0.1, "elasticNetParam": 0.5}, {"kind": "boosted", "maxIter": 3, "maxDepth": 3}]
-    held = M.tag_holdout(rows, embargo=20, holdout=200, calendar=f.bars)
-    return M.train_walk_forward(M.tag_folds(rows, folds(f)), ["rev", "lnv"], "excess", grid=grid, held=held)
+    return WF.train_walk_forward(scored(f), folds(f), ["rev", "lnv"], "excess", grid=grid, holdout=held_out(f))
+
+
+RIDGES = (0.001, 0.1, 10.0)
+# Two features have a closed form: slopes on data divided by their spread solve a system of two equations.
+RIDGE = f"""fa AS (SELECT * FROM folds UNION ALL SELECT -1, t.date, a.date, b.date FROM d t JOIN d a ON t.i = t.n - 220 AND a.i = a.n - 199 JOIN d b ON b.i = b.n),
+    rg AS (SELECT unnest({list(range(len(RIDGES)))}) AS params, unnest({list(RIDGES)}) AS lam)"""
+SLOPES = "((1 + lam / sy) * r1 - r12 * r2) / ((1 + lam / sy) ** 2 - r12 ** 2) * sy / s1 AS b1, ((1 + lam / sy) * r2 - r12 * r1) / ((1 + lam / sy) ** 2 - r12 ** 2) * sy / s2 AS b2"
+MOMENTS = "corr(x1, y) AS r1, corr(x2, y) AS r2, corr(x1, x2) AS r12, stddev_pop(x1) AS s1, stddev_pop(x2) AS s2, stddev_pop(y) AS sy"
+
+
+@query(
+    "m13_ridge_walk_forward",
+    f"""WITH {SCORED}, {FOLDS}, {RIDGE}, xy AS (SELECT date, grp, coalesce(rev, 0) AS x1, coalesce(lnv, 0) AS x2, excess AS y FROM s WHERE excess IS NOT NULL),
+    mo AS (SELECT fold, {MOMENTS} FROM xy JOIN fa ON date <= train_end GROUP BY fold), co AS (SELECT fold, params, {SLOPES} FROM mo, rg),
+    sc AS (SELECT fa.fold, params, date, grp, b1 * x1 + b2 * x2 AS score, y FROM xy JOIN fa ON date BETWEEN valid_start AND valid_end JOIN co ON co.fold = fa.fold),
+    i AS ({ranks_sql("sc", "score", "y", "fold, params, date, grp")}), m AS (SELECT fold, params, avg(ic) AS mean_ic, count(ic) AS cross_sections FROM i GROUP BY 1, 2),
+    b AS (SELECT params AS best FROM m WHERE fold >= 0 GROUP BY 1 ORDER BY round(avg(mean_ic), 9) DESC, 1 LIMIT 1)
+    SELECT CASE WHEN fold < 0 THEN 'holdout' ELSE 'valid' END AS role, CAST(params AS INTEGER) AS params, CAST(nullif(fold, -1) AS INTEGER) AS fold, round(mean_ic, 6) + 0.0 AS mean_ic, cross_sections, params = best AS best FROM m, b WHERE fold >= 0 OR params = best""",
+    "valid",
+)
+def _(f):
+    grid = [{"kind": "linear", "regParam": r} for r in RIDGES]
+    out = WF.train_walk_forward(scored(f), folds(f), ["rev", "lnv"], "excess", grid=grid, holdout=held_out(f))
+    return out.withColumn("mean_ic", rounded("mean_ic", 6))
 
 
 @query("m14_realized_summary", f"WITH {SCORED}, k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY date ORDER BY turnover DESC, entity) AS r FROM s) WHERE r <= 3) SELECT date, count(DISTINCT entity) AS names, count(fwd) AS known, round(avg(fwd), 5) + 0.0 AS mean, round(avg(CASE WHEN fwd > 0 THEN 1.0 WHEN fwd IS NOT NULL THEN 0 END), 5) AS hit_ratio FROM k GROUP BY date", "valid")
@@ -210,6 +237,36 @@ def scan_daily(f: Fixtures) -> DataFrame:
 FWD = ", ".join(f"lead(close, {h}) OVER p / close - 1 AS f{h}" for h in HORIZONS)
 EXC = ", ".join(f"f{h} - avg(f{h}) OVER (PARTITION BY date, grp) AS e{h}" for h in HORIZONS)
 LONG = " UNION ALL ".join(f"SELECT '{c}' AS cell, date, entity, grp, {x} AS x, {y} AS y FROM sp" for c, x, y in CELLS)
+GATE_ROWS = " UNION ALL ".join(f"SELECT date, entity, grp, coalesce(rev, 0) AS x1, coalesce(lnv, 0) AS x2, {h} AS horizon, e{h} AS y, f{h} AS z FROM sp" for h in (5, 10))
+
+
+@query(
+    "m16_candidate_gate",
+    f"""WITH {SCORED}, {FOLDS}, sf AS (SELECT *, {FWD} FROM s WINDOW p AS (PARTITION BY entity, grp ORDER BY date)), sp AS (SELECT *, {EXC} FROM sf), {RIDGE}, lg AS ({GATE_ROWS}),
+    mo AS (SELECT fold, horizon, {MOMENTS} FROM lg JOIN folds ON date <= train_end WHERE y IS NOT NULL GROUP BY 1, 2),
+    co AS (SELECT 'both' AS variant, fold, horizon, params, {SLOPES} FROM mo, rg UNION ALL SELECT 'rev', fold, horizon, params, r1 / (1 + lam / sy) * sy / s1, 0.0 FROM mo, rg),
+    sc AS (SELECT variant, horizon, params, folds.fold, date, entity, grp, b1 * x1 + b2 * x2 AS score, y, z FROM lg JOIN folds ON date BETWEEN valid_start AND valid_end JOIN co USING (fold, horizon)),
+    i AS ({ranks_sql("sc", "score", "y", "variant, horizon, params, fold, date, grp")}), fm AS (SELECT variant, horizon, params, fold, avg(ic) AS ic FROM i GROUP BY ALL HAVING count(ic) > 0),
+    pm AS (SELECT variant, horizon, params, avg(ic) AS mean_ic FROM fm GROUP BY ALL), b AS (SELECT * FROM pm QUALIFY row_number() OVER (PARTITION BY variant, horizon ORDER BY round(mean_ic, 9) DESC, params) = 1),
+    bf AS (SELECT fm.* FROM fm JOIN b USING (variant, horizon, params)),
+    fc AS (SELECT a.variant, a.horizon, count(*) FILTER (a.ic > 0) AS positive_folds, count(*) FILTER (a.ic > u.ic) AS better_folds FROM bf a LEFT JOIN bf u ON u.variant = 'rev' AND u.horizon = a.horizon AND u.fold = a.fold GROUP BY 1, 2),
+    g AS (SELECT horizon, date, CAST(n / horizon AS INTEGER) AS g FROM (SELECT horizon, date, row_number() OVER (PARTITION BY horizon ORDER BY date) - 1 AS n FROM (SELECT DISTINCT horizon, date FROM sc)) WHERE n % horizon = 0),
+    ch AS (SELECT sc.*, g FROM sc JOIN b USING (variant, horizon, params) JOIN g USING (horizon, date)),
+    tk AS (SELECT * FROM ch QUALIFY row_number() OVER (PARTITION BY variant, horizon, date ORDER BY score DESC, entity) <= 5),
+    al AS (SELECT variant, horizon, g, avg(z) AS a FROM ch GROUP BY ALL), ow AS (SELECT variant, horizon, g, avg(z) AS o, count(*) AS n FROM tk GROUP BY ALL),
+    ov AS (SELECT t.variant, t.horizon, t.g, count(*) AS kept FROM tk t JOIN tk u ON u.variant = t.variant AND u.horizon = t.horizon AND u.g = t.g - 1 AND u.entity = t.entity GROUP BY ALL),
+    ec AS (SELECT variant, horizon, o - a AS gross, CASE WHEN pr.n IS NOT NULL THEN 1 - coalesce(kept, 0) / greatest(ow.n, pr.n)::DOUBLE END AS turnover FROM al JOIN ow USING (variant, horizon, g) LEFT JOIN (SELECT variant, horizon, g + 1 AS g, n FROM ow) pr USING (variant, horizon, g) LEFT JOIN ov USING (variant, horizon, g)),
+    em AS (SELECT variant, horizon, avg(gross) AS gross, avg(turnover) AS turnover, avg(gross - 0.003 * coalesce(turnover, 1.0)) AS net FROM ec GROUP BY 1, 2),
+    r AS (SELECT variant, horizon, params, mean_ic, positive_folds, better_folds, gross, turnover, net, mean_ic - max(CASE WHEN variant = 'rev' THEN mean_ic END) OVER w AS delta_ic, net - max(CASE WHEN variant = 'rev' THEN net END) OVER w AS delta_net FROM b JOIN fc USING (variant, horizon) JOIN em USING (variant, horizon) WINDOW w AS (PARTITION BY horizon))
+    SELECT variant, horizon, CAST(params AS INTEGER) AS params, positive_folds, better_folds, round(mean_ic, 6) + 0.0 AS mean_ic, round(gross, 5) + 0.0 AS gross, round(turnover, 5) + 0.0 AS turnover, round(net, 5) + 0.0 AS net, round(delta_ic, 6) + 0.0 AS delta_ic, round(delta_net, 5) + 0.0 AS delta_net,
+      CASE WHEN variant <> 'rev' THEN delta_ic > 0 AND delta_net > 0 END AS passes FROM r""",
+    "valid",
+)
+def _(f):
+    out = WF.candidate_gate(scan_panel(f), folds(f), {"rev": ["rev"], "both": ["rev", "lnv"]}, {h: (f"e{h}", f"f{h}") for h in (5, 10)}, base="rev", grid=[{"regParam": r} for r in RIDGES], cost_bps=30.0, k=5)
+    return out.select("variant", "horizon", "params", "positive_folds", "better_folds", "passes", *(rounded(c, 6).alias(c) for c in ("mean_ic", "delta_ic")), *(rounded(c, 5).alias(c) for c in ("gross", "turnover", "net", "delta_net")))
+
+
 SCAN = f"""{SCORED}, sf AS (SELECT *, {FWD} FROM s WINDOW p AS (PARTITION BY entity, grp ORDER BY date)), sp AS (SELECT *, {EXC} FROM sf), lng AS ({LONG}),
     cic AS ({ranks_sql('lng', 'x', 'y', 'cell, date, grp')}), days AS (SELECT date, row_number() OVER (ORDER BY date) AS d_idx FROM (SELECT DISTINCT date FROM bars)),
     cd AS (SELECT cell, date, d_idx, ic, n FROM (SELECT cell, date, sum(ic * n) / sum(n) AS ic, CAST(sum(n) AS BIGINT) AS n FROM cic WHERE ic IS NOT NULL GROUP BY 1, 2) JOIN days USING (date)),
