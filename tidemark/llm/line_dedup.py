@@ -30,6 +30,8 @@ KEY = ["key_hi", "key_lo"]
 SLOTS = 4
 #: Keys of one shard; the number of shards follows the number of keys, so that a shard fits a task at any corpus size.
 KEYS_PER_SHARD = 200_000
+#: How many times the keys at hand shards are dealt for.
+ROOM = 3
 #: Batches in which the one-shot form inserts documents: from the second on, filters decide which keys are new.
 BATCHES = 2
 
@@ -220,6 +222,11 @@ def _grow(filters: DataFrame, new: DataFrame, counts: DataFrame, n_shards: int)
     return _written(grown.filter(F.length("filter") > 0).unionByName(_build(again, n_shards)))
 
 
+def _shards_for(n_keys: int) -> int:
+    """Shards with room for ROOM times the keys, so that they are seldom dealt anew."""
+    return max(1, -(-ROOM * n_keys // KEYS_PER_SHARD))
+
+
 def insert(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 10, fresh: bool = False) -> LineIndex:
     """The index after documents have been added; a document that it holds already changes nothing.
 
@@ -231,21 +238,21 @@ def insert(index: LineIndex, docs: DataFrame, *, id_col: str = "doc_id", text_co
     refs = _written(refs)
     if index.counts is None:  # nothing is held yet: all keys are new
         counts = _written(_count(refs))
-        n_shards = max(1, -(-counts.count() // KEYS_PER_SHARD))
+        n_shards = _shards_for(counts.count())
         return LineIndex(refs, counts, _written(_build(counts, n_shards)), n_shards)
-    rows = _written(_sift(_count(refs), index.filters, index.n_shards))
+    n_shards, filters = index.n_shards, index.filters
+    # The number of distinct keys sizes shards only, so an estimate of it will do.
+    most = index.counts.count() + refs.agg(F.approx_count_distinct("key_lo")).first()[0]
+    if most > n_shards * KEYS_PER_SHARD:  # before the batch is dealt, so that no task gets more than its share
+        n_shards = _shards_for(most)
+        filters = _written(_build(index.counts, n_shards))
+    rows = _written(_sift(_count(refs), filters, n_shards))
     maybe, unknown = rows.filter("maybe").drop("maybe"), rows.filter("not maybe").drop("maybe")
     merged = index.counts.unionByName(maybe).groupBy(*KEY).agg(F.sum("n_docs").alias("n_docs"), F.min("first_doc").alias("first_doc"))
     counts = _written(merged.unionByName(unknown))
-    n_keys = counts.count()
-    if n_keys > index.n_shards * KEYS_PER_SHARD:  # with room for as many again, so that keys are seldom dealt anew
-        n_shards = -(-2 * n_keys // KEYS_PER_SHARD)
-        filters = _written(_build(counts, n_shards))
-    else:
-        n_shards = index.n_shards
-        # A key that the filter took for a held one, but the exact table lacks, is new as well.
-        new = unknown.select(*KEY).unionByName(maybe.join(index.counts, KEY, "left_anti").select(*KEY))
-        filters = _grow(index.filters, new, counts, n_shards)
+    # A key that the filter took for a held one, but the exact table lacks, is new as well.
+    new = unknown.select(*KEY).unionByName(maybe.join(index.counts, KEY, "left_anti").select(*KEY))
+    filters = _grow(filters, new, counts, n_shards)
     return LineIndex(index.refs.unionByName(refs), counts, filters, n_shards)
 
 
