@@ -197,16 +197,10 @@ def _stream(f: Fixtures):
 
 @query("st1_stream_upsert", "SELECT user_id, event_type, arg_max(event_id, (ts, event_id)) AS event_id FROM events GROUP BY 1, 2")
 def _(f):
-    folder, held = scratch(f), {}
-
-    def write(df, batch_id):
-        df.write.mode("overwrite").parquet(f"{folder}/{batch_id}")
-        held["path"] = f"{folder}/{batch_id}"
-
-    read = lambda: f.spark.read.parquet(held["path"]) if held else None
+    folder = scratch(f)
     stream = _stream(f).select("user_id", "event_type", "event_id", "ts")
-    ST.stream_upsert(stream, read, write, ["user_id", "event_type"], ["ts", "event_id"], f"{folder}/checkpoint").awaitTermination()
-    return f.spark.read.parquet(held["path"]).select("user_id", "event_type", "event_id")
+    ST.stream_upsert(stream, f"{folder}/table", ["user_id", "event_type"], ["ts", "event_id"], f"{folder}/checkpoint", n_buckets=8).awaitTermination()
+    return ST.read_buckets(f.spark, f"{folder}/table").select("user_id", "event_type", "event_id")
 
 
 def _to_table(f: Fixtures, stream, mode: str):

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,16 +17,81 @@ def read_files(spark: SparkSession, path: str, schema: T.StructType, files_per_t
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(path)
 
 
-def stream_upsert(stream: DataFrame, read: Callable[[], DataFrame | None], write: Callable[[DataFrame, int], None], keys: Sequence[str], order: Sequence[str], checkpoint_dir: str):
-    """ST1: idempotent upsert of every micro-batch into a table that read() gives and write(df, batch_id) replaces.
+MANIFEST = "_bucket int, _version long, writer string, batch_id long, n_buckets int, seq long"
 
-    A batch that is delivered again changes nothing, as the last row of a key by order wins.
+
+def _manifests(spark: SparkSession, root: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(MANIFEST).parquet(f"{root}/manifest")
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None
+
+
+def _latest(manifests: DataFrame | None) -> list:
+    """Rows of the newest manifest, one for each bucket that holds rows."""
+    last = manifests.agg(F.max("seq")).first()[0] if manifests is not None else None
+    return [] if last is None else manifests.filter(F.col("seq") == last).collect()
+
+
+def _open_buckets(spark: SparkSession, root: str, rows: Sequence) -> DataFrame | None:
+    if not rows:
+        return None
+    paths = [f"{root}/data/_version={r._version}/_bucket={r._bucket}" for r in rows]
+    return spark.read.option("basePath", f"{root}/data").parquet(*paths).drop("_version", "_bucket")
+
+
+def read_buckets(spark: SparkSession, root: str) -> DataFrame | None:
+    """ST1: the table that bucketed_upsert keeps below root, as its newest manifest has it; None before the first batch."""
+    return _open_buckets(spark, root, _latest(_manifests(spark, root)))
+
+
+def _swap(spark: SparkSession, root: str, rows: Sequence[tuple], seq: int) -> None:
+    """A manifest is one file, so it is there as a whole or not at all."""
+    spark.createDataFrame(rows, MANIFEST).drop("seq").coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/seq={seq}")
+
+
+def bucketed_upsert(root: str, batch: DataFrame, batch_id: int, keys: Sequence[str], order: Sequence[str], *, n_buckets: int = 64, writer: str = "stream") -> list[int]:
+    """ST1: upsert a batch into the table below root and rewrite only the buckets (by hash of the keys) that it touches.
+
+    New versions of touched buckets are written beside the old ones; a manifest then names the version of each bucket,
+    with the batch's writer and id. A batch that the writer has delivered before changes nothing; a failure before the
+    manifest leaves the table as it was, and the batch is written anew when it comes again. The last row of a key by
+    order wins, the batch's over the table's on ties; NULL keys are a key of their own; an empty batch writes nothing.
+    One writer at a time; a stream with a new checkpoint numbers its batches anew and needs another writer name.
+    Versions that no manifest needs stay until their folders are deleted. Only numbers of buckets come to the driver.
+    Result: the buckets written.
     """
+    spark, manifests = batch.sparkSession, _manifests(batch.sparkSession, root)
+    held = _latest(manifests)
+    if held and held[0].n_buckets != n_buckets:
+        raise ValueError(f"{root} has {held[0].n_buckets} buckets, not {n_buckets}")
+    if manifests is not None and not manifests.filter((F.col("writer") == writer) & (F.col("batch_id") >= batch_id)).isEmpty():
+        return []
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(n_buckets)).cast("int").alias("_bucket")
+    touched = sorted(r._bucket for r in batch.select(bucket).distinct().collect())
+    if not touched:
+        return []
+    old = _open_buckets(spark, root, [r for r in held if r._bucket in touched])
+    merged = upsert(batch.limit(0) if old is None else old, batch, keys, [F.col(c) for c in order])
+    seq = held[0].seq + 1 if held else 0
+    merged.select("*", bucket).hint("rebalance", "_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{root}/data/_version={seq}")
+    versions = {r._bucket: r._version for r in held} | dict.fromkeys(touched, seq)
+    _swap(spark, root, [(b, v, writer, batch_id, n_buckets, seq) for b, v in sorted(versions.items())], seq)
+    return touched
+
+
+def stream_upsert(stream: DataFrame, root: str, keys: Sequence[str], order: Sequence[str], checkpoint_dir: str, *, n_buckets: int = 64, writer: str = "stream"):
+    """ST1: idempotent upsert of every micro-batch into the table below root, which read_buckets reads: what is written follows
+    the batch, not the table (see bucketed_upsert)."""
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        held = read()
-        merged = upsert(held if held is not None else batch.limit(0), batch, keys, [F.col(c) for c in order])
-        write(merged, batch_id)
+        batch.persist()
+        try:
+            bucketed_upsert(root, batch, batch_id, keys, order, n_buckets=n_buckets, writer=writer)
+        finally:
+            batch.unpersist()
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint_dir).trigger(availableNow=True).start()
 
