@@ -1,7 +1,10 @@
 """The bucketed upsert: work follows the batch, repeated and failed batches, late rows; and the stream over it."""
 
+import datetime as dt
+
 import pytest
 
+from tidemark.features.facts import metric_vintages
 from tidemark.sources.lake import upsert
 from tidemark.streaming import streams as ST
 
@@ -66,3 +69,29 @@ def test_stream_equals_batch_upsert_and_goes_on_from_its_checkpoint(spark, tmp_p
         df = spark.createDataFrame(seen, SCHEMA)
         want = upsert(df.limit(0), df, ["k"], [df.t, df.v])
         assert table(spark, root) == sorted(tuple(r) for r in want.select("k", "v", "t").collect())
+
+
+def test_numbered_vintages_equal_batch_numbering(spark, tmp_path):
+    """Files with repeated, out-of-order and too late rows, beside D22 over those that weren't too late."""
+    at = lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)
+    parts = [
+        [("a", 1, at(10), 5.0), ("a", 2, at(4), 4.0), ("b", 3, at(9), None), ("a", 1, at(10), 5.0)],
+        [("a", 4, at(7), 4.0), ("b", 5, at(30), None), ("a", 1, at(10), 5.0), ("c", 6, None, 1.0)],  # the watermark goes to hour 20
+        [("a", 7, at(15), 9.0), ("a", 8, at(25), 5.0), ("b", 9, at(29), 2.0), ("a", 4, at(7), 4.0)],  # 7 and 4 come too late
+        [("z", 10, at(90), 0.0)],
+        [("z", 11, at(200), 0.0)],
+    ]
+    schema = "k string, receipt long, at timestamp, v double"
+    kind = spark.createDataFrame([], schema).schema
+    for i, part in enumerate(parts):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = ST.read_files(spark, str(tmp_path / "in"), kind, 1)
+        out = ST.stream_numbered_vintages(stream, ["k"], receipt="receipt", value="v", event_time="at", delay="10 hours")
+        out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "marks")).outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.schema(out.schema).parquet(str(tmp_path / "out"))
+    known = spark.createDataFrame([r for i, p in enumerate(parts) for r in p if r[2] and r[1] not in (7, 11) and not (i == 2 and r[1] == 4)], schema)
+    want = metric_vintages(known, known.selectExpr("to_date(at) AS date"), keys=["k"], disclosed="at", receipt="receipt", value="v")
+    cols = ["k", "receipt", "v", "at", "vintage", "lineage", "changed"]
+    rows = lambda df: sorted(map(str, (tuple(r) for r in df.select(*cols).collect())))
+    assert rows(got) == rows(want)
+    assert {r.receipt: r.supersedes for r in got.collect()} == {2: None, 4: 1, 1: 2, 8: 3, 3: None, 9: 1, 5: 2, 10: None}

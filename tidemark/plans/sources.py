@@ -218,6 +218,18 @@ def _(f):
     return _to_table(f, ST.stream_late_vintages(twice, ["event_id"], event_time="ts", delay="60 days"), "append").select("event_id")
 
 
+@query(
+    "st2_stream_numbered_vintages",
+    """WITH v AS (SELECT user_id, event_type, event_id, ts, row_number() OVER w AS vintage, event_id % 3 AS value, lag(event_id % 3) OVER w AS before FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts, event_id))
+    SELECT user_id, event_type, event_id, CAST(vintage AS INTEGER) AS vintage, CASE WHEN vintage = 1 THEN 'original' ELSE 'revision' END AS lineage, vintage > 1 AND value IS DISTINCT FROM before AS changed, CAST(CASE WHEN vintage > 1 THEN vintage - 1 END AS INTEGER) AS supersedes
+    FROM v WHERE ts < (SELECT date_trunc('milliseconds', max(ts)) - INTERVAL 2 DAY FROM events)""",
+)
+def _(f):
+    twice = _stream(f).select("user_id", "event_type", "event_id", "ts", (F.col("event_id") % 3).alias("value"), F.explode(F.array(F.lit(0), F.lit(1)))).drop("col")
+    out = ST.stream_numbered_vintages(twice, ["user_id", "event_type"], receipt="event_id", value="value", event_time="ts", delay="2 days")
+    return _to_table(f, out, "append").drop("ts", "value")
+
+
 @query("st3_stream_daily_counts", "SELECT CAST(ts AS DATE) AS date, event_type, count(*) AS n FROM events WHERE CAST(ts AS DATE) < (SELECT CAST(max(ts) AS DATE) - 2 FROM events) GROUP BY 1, 2")
 def _(f):
     out = _to_table(f, ST.stream_daily_counts(_stream(f), ["event_type"], event_time="ts"), "append")

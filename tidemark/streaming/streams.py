@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState
 
 from tidemark.sources.lake import upsert
 
@@ -101,6 +103,52 @@ def stream_late_vintages(stream: DataFrame, keys: Sequence[str], *, event_time:
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def stream_numbered_vintages(stream: DataFrame, keys: Sequence[str], *, receipt: str, value: str, event_time: str, delay: str) -> DataFrame:
+    """ST2: vintages of each key as batch D22 numbers them, each once it can't change any more: keys, receipt, value, event
+    time, vintage (from 1 by event time, then receipt), lineage (original, revision), changed (its value differs from the
+    vintage before), supersedes (the vintage that it replaces).
+
+    A key's state is its last emitted vintage and those that wait for the watermark; a vintage leaves when the watermark is
+    beyond its time. Out-of-order rows within the delay are put in order; receipts delivered again (with the same time)
+    count once; rows behind the watermark are dropped, as are rows without a time. Of several deliveries of a receipt that
+    wait, the first one by time and value counts. The value is kept as text between batches.
+    """
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
+    rows = stream.filter(F.col(event_time).isNotNull()).withWatermark(event_time, delay)
+    rows = rows.select(*keys, event_time, F.unix_micros(F.col(event_time).cast("timestamp")).alias("_us"), F.col(receipt).cast("string").alias("_receipt"), F.col(receipt).alias("_order"), F.col(value).cast("string").alias("_value"))
+    order = kinds[receipt]
+    out = ", ".join(f"`{k}` {kinds[k]}" for k in keys) + ", _us long, _receipt string, _value string, vintage int, changed boolean"
+    held = f"n int, last string, us array<long>, receipts array<string>, places array<{order}>, texts array<string>"
+
+    def number(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        n, last, *lists = state.get if state.exists else (0, None, [], [], [], [])
+        waiting = list(zip(*lists, strict=True))
+        if not state.hasTimedOut:
+            for f in frames:
+                texts = [None if pd.isna(v) else v for v in f["_value"]]
+                waiting += zip(f["_us"].tolist(), f["_receipt"].tolist(), f["_order"].tolist(), texts, strict=True)
+        waiting.sort(key=lambda r: (r[0], r[2], r[3] is not None, r[3] or ""))
+        once: dict[str, tuple] = {}
+        for r in waiting:
+            once.setdefault(r[1], r)
+        now = state.getCurrentWatermarkMs()
+        ready = [r for r in once.values() if r[0] < now * 1000]
+        waiting = [r for r in once.values() if r[0] >= now * 1000]
+        found = []
+        for us, name, _, text in ready:
+            n += 1
+            found.append((*key, us, name, text, n, n > 1 and text != last))
+            last = text
+        state.update((n, last, *([r[i] for r in waiting] for i in range(4))))
+        if waiting:
+            state.setTimeoutTimestamp(max(waiting[0][0] // 1000, now))
+        if found:
+            yield pd.DataFrame(found, columns=[*keys, "_us", "_receipt", "_value", "vintage", "changed"])
+
+    numbered = rows.groupBy(*keys).applyInPandasWithState(number, out, held, "append", "EventTimeTimeout")
+    return numbered.select(*keys, F.col("_receipt").cast(order).alias(receipt), F.col("_value").cast(kinds[value]).alias(value), F.timestamp_micros("_us").alias(event_time), "vintage", F.when(F.col("vintage") == 1, "original").otherwise("revision").alias("lineage"), "changed", F.when(F.col("vintage") > 1, F.col("vintage") - 1).alias("supersedes"))
+
+
 def stream_daily_counts(stream: DataFrame, by: Sequence[str], *, event_time: str, delay: str = "2 days", width: str = "1 day") -> DataFrame:
     """ST3: rows by class in tumbling windows of event time; late rows count until the watermark has passed."""
     return stream.withWatermark(event_time, delay).groupBy(F.window(event_time, width), *by).agg(F.count("*").alias("n")).select(F.to_date("window.start").alias("date"), *by, "n")
