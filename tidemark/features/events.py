@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.exprs import sdiv
 from tidemark.keys import P, PanelKeys
 from tidemark.operators import pit
+from tidemark.operators.sessions import with_next_session
 
 #: Sessions after an event between which returns are measured.
 EVENT_BUCKETS = ((0, 3), (3, 5), (5, 10), (10, 20), (20, 40), (40, 60))
@@ -188,3 +189,43 @@ def event_study(events: DataFrame, sessions: DataFrame, revisions: DataFrame, *,
         joined = joined.withColumn(f"excess_{a}_{b}", F.col(f"raw_{a}_{b}") - F.col(f"bench_{a}_{b}"))
         clean = clean & F.col(f"raw_{a}_{b}").isNotNull() & ~F.col(f"hit_{a}_{b}")
     return joined.withColumn("primary", clean).drop("_r")
+
+
+def payout_positions(dividends: DataFrame, shares: DataFrame, buybacks: DataFrame, calendar: DataFrame, *, by: str = "entity", max_times: float = 100.0, unit: float = 1.0, session: str = "date") -> DataFrame:
+    """Each year's dividends and twelve-month buyback, with the session from which both are known.
+
+    dividends: entity, year, item ('total' in `unit`s or 'dps'), stock ('common', 'unsplit'; other classes don't count),
+    disclosed, receipt, value, text. An item's winner is a common share's row before an unsplit one, then the first
+    disclosed, then the least receipt, then the greatest value. A total counts if it is >= 0 and at most max_times what
+    the DPS implies; a total of '-' is zero; else DPS times the shares outside the treasury; a DPS of '-' is zero.
+    shares: entity, year, issued, treasury. buybacks: entity, year, basis ('C', 'S'), ttm, available_from; consolidated
+    before separate, value and day from the same basis; a negative acquisition is no quantity of this feature.
+    A source is known on the first session after its disclosure, and the payout when the later of its known parts is. Of
+    several years known from one session the latest stays; positions without any day stay as the latest year, too.
+    Nulls: an unknown stock class counts as unsplit; rows without entity or year are left out.
+    """
+    keys = [by, "year"]
+    rank = F.when(F.col("stock") == "common", 0).when(F.coalesce("stock", F.lit("unsplit")) == "unsplit", 1)
+    # The least struct wins; a missing day comes last, a missing value after all others.
+    order = F.struct(rank.alias("rank"), F.col("disclosed").isNull().alias("undated"), "disclosed", "receipt", F.col("value").isNull().alias("unvalued"), (-F.col("value")).alias("_v"), "text")
+    won = dividends.filter(rank.isNotNull() & F.col(by).isNotNull() & F.col("year").isNotNull()).groupBy(*keys).agg(*(F.min(F.when(F.col("item") == i, order)).alias(i) for i in ("total", "dps")))
+    part = lambda i, c: -F.col(i)["_v"] if c == "value" else F.col(i)[c]
+    held = shares.groupBy(*keys).agg(F.max("issued").alias("issued"), F.max("treasury").alias("treasury"))
+    rows = won.join(held, keys, "left")
+    implied = part("dps", "value") * (F.col("issued") - F.coalesce("treasury", F.lit(0)))
+    direct = part("total", "value") * unit
+    usable = F.coalesce((direct >= 0) & (implied.isNull() | (implied <= 0) | (direct <= max_times * implied)), F.lit(False))
+    dash = lambda i: F.coalesce(F.trim(part(i, "text")) == "-", F.lit(False))
+    cash = F.when(usable, direct).when(dash("total"), 0.0).when(implied.isNotNull(), implied).when(dash("dps"), 0.0)
+    source = F.when(usable | dash("total"), "direct_total").when(part("dps", "value").isNotNull() | dash("dps"), "dps_proxy")
+    rows = rows.select(*keys, cash.alias("dividends"), source.alias("dividend_source"), F.coalesce(part("total", "disclosed"), part("dps", "disclosed")).alias("_disclosed"))
+    rows = with_next_session(rows, calendar, date="_disclosed", session=session, out="dividend_available_from").drop("_disclosed")
+
+    whole = buybacks.filter("ttm is not null").groupBy(*keys).agg(*(F.max(F.when(F.col("basis") == b, F.struct("ttm", "available_from"))).alias(b) for b in "CS"))
+    whole = whole.select(*keys, F.coalesce("C", "S").alias("_b")).filter("_b.ttm >= 0").select(*keys, F.col("_b.ttm").alias("buyback"), F.col("_b.available_from").alias("buyback_available_from"))
+    rows = rows.join(whole, keys, "left").withColumns({
+        "payout": F.when(F.col("dividends").isNotNull() | F.col("buyback").isNotNull(), F.coalesce("dividends", F.lit(0.0)) + F.coalesce("buyback", F.lit(0.0))),
+        "payout_available_from": F.greatest("dividend_available_from", "buyback_available_from"),
+    })
+    latest = W.partitionBy(by, "payout_available_from")
+    return rows.withColumn("_y", F.max("year").over(latest)).filter("year = _y").drop("_y")

@@ -60,6 +60,10 @@ def fin_pit_features(panel: DataFrame, facts: DataFrame, *, keys: PanelKeys = P)
 SCAN_CODES = ("net_income", "controlling_net_income", "total_equity", "operating_cash_flow", "revenue", "cogs", "gross_profit", "operating_income", "total_assets", "total_assets_lag4q")
 #: Parts of the value score: what is divided by the market cap.
 VALUE_PARTS = {"book_to_market": "total_equity", "earnings_yield": "controlling_net_income", "cfo_yield": "operating_cash_flow", "sales_to_price": "revenue"}
+#: What must be known for a group of features: its day of knowledge is the latest of these.
+SCAN_KNOWN = {"value": ("total_equity", "net_income"), "profitability": ("gross_profit",), "asset_growth": ("total_assets",), "accruals": ("net_income", "operating_cash_flow", "total_assets")}
+#: Features that also come as of the entity's row before.
+SCAN_LAGGED = ("log_mcap", "value_score", "gross_profitability", "operating_profitability", "asset_growth", "accruals")
 
 
 def fin_scan_features(panel: DataFrame, facts: DataFrame, *, ok: Column, cap: str = "market_cap", min_parts: int = 2, by: Sequence[str] | None = None, clip: tuple[float, float] = (0.01, 0.99), keys: PanelKeys = P) -> DataFrame:
@@ -68,13 +72,21 @@ def fin_scan_features(panel: DataFrame, facts: DataFrame, *, ok: Column, cap: st
     The basis (consolidated if net income has that on the day, else separate) is chosen once for an entity and day and
     holds for all metrics; facts carry a `basis` of 'C' or 'S' and are known from available_from. Yields need `ok` (a
     priced, tradable row); assets are the mean of now and four quarters before. The score is the mean of at least
-    min_parts yields, each winsorized and z-scored in its cross-section.
+    min_parts yields (their number: value_parts), each winsorized and z-scored in its cross-section. For an
+    industry-neutral score put the group into the panel and into `by`; a row without a group has a cross-section with
+    the others of that kind.
+
+    <group>_available_from of SCAN_KNOWN is the day from which the group's inputs are known, <group>_age_days the days
+    since; unknown inputs are left out of it. The SCAN_LAGGED features come as <name>_lag1 too.
     """
     w = W.partitionBy(*(by or keys.cross))
     codes = [f"{b}_{c}" for c in SCAN_CODES for b in "CS"]
-    rows = pit.pit_interval_join(panel, facts.withColumn("code", F.concat_ws("_", "basis", "code")), by=[keys.entity], code="code", codes=codes, date=keys.date, order=["period_end", "is_revision"])
+    dated = sorted({c for cs in SCAN_KNOWN.values() for c in cs})
+    since = [f"{b}_{c}" for c in dated for b in "CS"]
+    rows = pit.pit_interval_join(panel, facts.withColumn("code", F.concat_ws("_", "basis", "code")), by=[keys.entity], code="code", codes=codes, date=keys.date, order=["period_end", "is_revision"], since=since)
     whole = F.col("C_net_income").isNotNull()
-    rows = rows.withColumns({c: F.when(whole, F.col(f"C_{c}")).otherwise(F.col(f"S_{c}")) for c in SCAN_CODES} | {"basis": F.when(whole, "C").when(F.col("S_net_income").isNotNull(), "S")})
+    chosen = [*SCAN_CODES, *(f"{c}_from" for c in dated)]
+    rows = rows.withColumns({c: F.when(whole, F.col(f"C_{c}")).otherwise(F.col(f"S_{c}")) for c in chosen} | {"basis": F.when(whole, "C").when(F.col("S_net_income").isNotNull(), "S")})
     priced = F.coalesce(ok & (F.col(cap) > 0), F.lit(False))
     both = (F.col("total_assets") > 0) & (F.col("total_assets_lag4q") > 0)
     rows = rows.withColumns({"_assets": F.when(both, (F.col("total_assets") + F.col("total_assets_lag4q")) / 2), "_gross": F.coalesce("gross_profit", F.col("revenue") - F.col("cogs"))})
@@ -98,7 +110,10 @@ def fin_scan_features(panel: DataFrame, facts: DataFrame, *, ok: Column, cap: st
         parts.append(F.col(f"{x}_z"))
     known = sum((p.isNotNull().cast("int") for p in parts[1:]), parts[0].isNotNull().cast("int"))
     total = sum((F.coalesce(p, F.lit(0.0)) for p in parts[1:]), F.coalesce(parts[0], F.lit(0.0)))
-    return rows.withColumn("value_score", F.when(known >= min_parts, total / known)).drop(*codes, "_assets", "_gross")
+    latest = lambda cs: F.greatest(*(f"{c}_from" for c in cs)) if len(cs) > 1 else F.col(f"{cs[0]}_from")
+    rows = rows.withColumns({"value_parts": known, "value_score": F.when(known >= min_parts, total / known)} | {f"{g}_available_from": latest(cs) for g, cs in SCAN_KNOWN.items()})
+    rows = rows.withColumns({f"{g}_age_days": F.datediff(keys.date, f"{g}_available_from") for g in SCAN_KNOWN} | {f"{c}_lag1": F.lag(c).over(keys.path()) for c in SCAN_LAGGED})
+    return rows.drop(*codes, *(f"{c}_from" for c in (*since, *dated)), "_assets", "_gross")
 
 
 def share_event_flags(facts: DataFrame, *, by: Sequence[str] = ("entity",), lag_days: int = 90) -> DataFrame:

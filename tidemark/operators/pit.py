@@ -38,15 +38,17 @@ def asof_backward(left: DataFrame, right: DataFrame, *, by: Sequence[str], left_
     return fill_forward(left, right, by=by, date=left_date, known=right_date, values=values, struct=True)
 
 
-def pit_interval_join(panel: DataFrame, facts: DataFrame, *, by: Sequence[str], code: str, codes: Sequence[str], value: str = "value", date: str = "date", known: str = "available_from", order: Sequence[str] = ()) -> DataFrame:
+def pit_interval_join(panel: DataFrame, facts: DataFrame, *, by: Sequence[str], code: str, codes: Sequence[str], value: str = "value", date: str = "date", known: str = "available_from", order: Sequence[str] = (), since: Sequence[str] = ()) -> DataFrame:
     """Every metric code's value on [available_from, next available_from), one column for each code.
 
-    Facts of one code known on the same day are first reduced to the greatest by `order` (W18's same-day collapse).
+    Facts of one code known on the same day are first reduced to the greatest by `order` (W18's same-day collapse). For
+    codes in `since` the day from which the value is known comes too, as <code>_from.
     """
     rank = F.struct(*order, value) if order else F.struct(value)
     wide = facts.filter(F.col(known).isNotNull()).groupBy(*by, known).agg(*(F.max(F.when(F.col(code) == c, rank)).alias(f"_{c}") for c in codes))
-    wide = wide.select(*by, known, *(F.col(f"_{c}")[value].alias(c) for c in codes))
-    return fill_forward(panel, wide, by=by, date=date, known=known, values=codes)
+    days = [F.when(F.col(f"_{c}")[value].isNotNull(), F.col(known)).alias(f"{c}_from") for c in since]
+    wide = wide.select(*by, known, *(F.col(f"_{c}")[value].alias(c) for c in codes), *days)
+    return fill_forward(panel, wide, by=by, date=date, known=known, values=[*codes, *(f"{c}_from" for c in since)])
 
 
 def pit_latest_eligible(panel: DataFrame, facts: DataFrame, *, by: Sequence[str], order: Sequence[str], values: Sequence[str], date: str = "date", known: str = "available_from") -> DataFrame:

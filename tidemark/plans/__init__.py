@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules that register queries.
-MODULES = ("core", "features", "models", "vintages", "scans", "checks", "sources")
+MODULES = ("core", "features", "models", "vintages", "catalogs", "scans", "checks", "sources")
 
 
 def _registry():

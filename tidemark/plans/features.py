@@ -295,31 +295,76 @@ SCAN_NAMES = ["log_mcap", *D.VALUE_PARTS, "gross_profitability", "operating_prof
 SCAN_JOINS = " ".join(pit_sql(f"{b}_{c}", f"{b}{i}") for i, c in enumerate(D.SCAN_CODES) for b in "CS")
 
 
-@query(
-    "d12_fin_scan_features",
-    f"""WITH coded AS (SELECT entity, period_end, available_from, is_revision, value, CASE WHEN (entity + year) % 3 = 0 THEN 'S' ELSE 'C' END || '_' || {list(D.SCAN_CODES)}[(4 * year + q) % {len(D.SCAN_CODES)} + 1] AS code FROM vintages),
+def scan_sql(by: str = "date, grp", *, extra: str = "", carry: str = "", join: str = "") -> str:
+    """The steps up to z: yields, their z-scores in the cross-section `by`; `extra` columns of the join are carried along."""
+    return f"""coded AS (SELECT entity, period_end, available_from, is_revision, value, CASE WHEN (entity + year) % 3 = 0 THEN 'S' ELSE 'C' END || '_' || {list(D.SCAN_CODES)}[(4 * year + q) % {len(D.SCAN_CODES)} + 1] AS code FROM vintages),
     r AS (SELECT b.date, b.entity, b.grp, b.close * b.volume AS cap, NOT (b.open = 0 AND b.high = 0 AND b.low = 0) AND b.close * b.volume > 0 AS ok, CASE WHEN C0.value IS NOT NULL THEN 'C' WHEN S0.value IS NOT NULL THEN 'S' END AS basis,
-      {", ".join(f"CASE WHEN C0.value IS NOT NULL THEN C{i}.value ELSE S{i}.value END AS {c}" for i, c in enumerate(D.SCAN_CODES))} FROM bars b {SCAN_JOINS}),
+      {", ".join(f"CASE WHEN C0.value IS NOT NULL THEN C{i}.value ELSE S{i}.value END AS {c}" for i, c in enumerate(D.SCAN_CODES))} {extra} FROM bars b {SCAN_JOINS} {join}),
     a AS (SELECT *, CASE WHEN total_assets > 0 AND total_assets_lag4q > 0 THEN (total_assets + total_assets_lag4q) / 2 END AS assets, coalesce(gross_profit, revenue - cogs) AS gross FROM r),
-    p AS (SELECT date, entity, grp, basis, coalesce(total_equity <= 0, false) AS negative_equity, CASE WHEN gross_profit IS NOT NULL THEN 'direct' WHEN gross IS NOT NULL THEN 'revenue_minus_cogs_fallback' END AS gross_profit_source,
+    p AS (SELECT date, entity, grp, {carry} basis, coalesce(total_equity <= 0, false) AS negative_equity, CASE WHEN gross_profit IS NOT NULL THEN 'direct' WHEN gross IS NOT NULL THEN 'revenue_minus_cogs_fallback' END AS gross_profit_source,
       CASE WHEN ok THEN ln(cap) END AS log_mcap, CASE WHEN ok AND total_equity > 0 THEN total_equity / cap END AS book_to_market, CASE WHEN ok THEN controlling_net_income / cap END AS earnings_yield,
       CASE WHEN ok THEN operating_cash_flow / cap END AS cfo_yield, CASE WHEN ok THEN revenue / cap END AS sales_to_price, CASE WHEN assets > 0 THEN gross / assets END AS gross_profitability,
       CASE WHEN assets > 0 THEN operating_income / assets END AS operating_profitability, CASE WHEN total_assets_lag4q > 0 THEN total_assets / total_assets_lag4q - 1 END AS asset_growth,
       CASE WHEN assets > 0 THEN (net_income - operating_cash_flow) / assets END AS accruals FROM a),
-    k AS (SELECT *, {", ".join(f"CASE WHEN {x} IS NOT NULL THEN least(greatest({x}, quantile_cont({x}, 0.01) OVER w), quantile_cont({x}, 0.99) OVER w) END AS k{i}" for i, x in enumerate(D.VALUE_PARTS))} FROM p WINDOW w AS (PARTITION BY date, grp)),
-    z AS (SELECT *, {", ".join(f"(k{i} - avg(k{i}) OVER w) / nullif(stddev_samp(k{i}) OVER w, 0) AS z{i}" for i in range(4))} FROM k WINDOW w AS (PARTITION BY date, grp))
+    k AS (SELECT *, {", ".join(f"CASE WHEN {x} IS NOT NULL THEN least(greatest({x}, quantile_cont({x}, 0.01) OVER w), quantile_cont({x}, 0.99) OVER w) END AS k{i}" for i, x in enumerate(D.VALUE_PARTS))} FROM p WINDOW w AS (PARTITION BY {by})),
+    z AS (SELECT *, {", ".join(f"(k{i} - avg(k{i}) OVER w) / nullif(stddev_samp(k{i}) OVER w, 0) AS z{i}" for i in range(4))} FROM k WINDOW w AS (PARTITION BY {by}))"""
+
+
+def scan_features(f: Fixtures, **options) -> DataFrame:
+    basis = F.when(F.pmod(F.col("entity") + F.col("year"), F.lit(3)) == 0, "S").otherwise("C")
+    code = F.element_at(F.array(*map(F.lit, D.SCAN_CODES)), (F.pmod(4 * F.col("year") + F.col("q"), F.lit(len(D.SCAN_CODES))) + 1).cast("int"))
+    bars = options.pop("bars", f.bars).withColumn("market_cap", F.col("close") * F.col("volume"))
+    return D.fin_scan_features(bars, f.vintages.withColumns({"basis": basis, "code": code}), ok=~is_halted(), **options)
+
+
+@query(
+    "d12_fin_scan_features",
+    f"""WITH {scan_sql()}
     SELECT date, entity, grp, basis, negative_equity, gross_profit_source, {", ".join(f"round({c}, 5) + 0.0 AS {c}" for c in SCAN_NAMES)},
       round(CASE WHEN {" + ".join(f"(z{i} IS NOT NULL)::INT" for i in range(4))} >= 2 THEN list_avg([z0, z1, z2, z3]) END, 4) + 0.0 AS value_score FROM z""",
     "bars vintages",
 )
 def _(f):
-    basis = F.when(F.pmod(F.col("entity") + F.col("year"), F.lit(3)) == 0, "S").otherwise("C")
-    code = F.element_at(F.array(*map(F.lit, D.SCAN_CODES)), (F.pmod(4 * F.col("year") + F.col("q"), F.lit(len(D.SCAN_CODES))) + 1).cast("int"))
-    bars = f.bars.withColumn("market_cap", F.col("close") * F.col("volume"))
-    out = D.fin_scan_features(bars, f.vintages.withColumns({"basis": basis, "code": code}), ok=~is_halted())
+    out = scan_features(f)
     return out.select(*KEY, "basis", "negative_equity", "gross_profit_source", *(rounded(c, 5).alias(c) for c in SCAN_NAMES), rounded("value_score", 4).alias("value_score"))
 
 
+DATED = sorted({c for cs in D.SCAN_KNOWN.values() for c in cs})
+DATED_SQL = ", " + ", ".join(f"CASE WHEN C0.value IS NOT NULL THEN C{i}.available_from ELSE S{i}.available_from END AS {c}_from" for c in DATED for i in [D.SCAN_CODES.index(c)])
+SINCE_SQL = {g: f"greatest({', '.join(f'{c}_from' for c in cs)})" for g, cs in D.SCAN_KNOWN.items()}
+PARTS_SQL = " + ".join(f"(z{i} IS NOT NULL)::INT" for i in range(4))
+
+
+@query(
+    "d12_fin_scan_availability",
+    f"""WITH {scan_sql(extra=DATED_SQL, carry=", ".join(f"{c}_from" for c in DATED) + ",")}, s AS (SELECT *, {PARTS_SQL} AS value_parts, CASE WHEN {PARTS_SQL} >= 2 THEN list_avg([z0, z1, z2, z3]) END AS value_score FROM z)
+    SELECT date, entity, grp, value_parts, {", ".join(f"{x} AS {g}_available_from, CAST(date - {x} AS INTEGER) AS {g}_age_days" for g, x in SINCE_SQL.items())},
+      {", ".join(f"round(lag({c}) OVER ({PATH}), 4) + 0.0 AS {c}_lag1" for c in D.SCAN_LAGGED)} FROM s""",
+    "bars vintages",
+)
+def _(f):
+    out = scan_features(f)
+    return out.select(*KEY, "value_parts", *(f"{g}_{x}" for g in D.SCAN_KNOWN for x in ("available_from", "age_days")), *(rounded(f"{c}_lag1", 4).alias(f"{c}_lag1") for c in D.SCAN_LAGGED))
+
+
+INDUSTRY = """i0 AS (SELECT s_suppkey, lpad(CAST(s_nationkey AS VARCHAR), 2, '0') AS p FROM supplier), i1 AS (SELECT *, left(p, 1) AS s, count(*) OVER (PARTITION BY p) AS np FROM i0),
+    i2 AS (SELECT *, count(*) FILTER (np < 4) OVER (PARTITION BY s) AS ns FROM i1),
+    ind AS (SELECT s_suppkey AS entity, CASE WHEN np >= 4 THEN p WHEN ns >= 4 THEN 'S:' || s ELSE 'OTHER' END AS industry_group FROM i2)"""
+
+
+@query(
+    "d12_fin_scan_industry_neutral",
+    f"""WITH {INDUSTRY}, {scan_sql("date, grp, industry_group", extra=", ind.industry_group", carry="industry_group,", join="LEFT JOIN ind ON ind.entity = b.entity")}
+    SELECT date, entity, grp, industry_group, {PARTS_SQL} AS value_parts, round(CASE WHEN {PARTS_SQL} >= 2 THEN list_avg([z0, z1, z2, z3]) END, 4) + 0.0 AS value_score FROM z""",
+    "bars vintages",
+)
+def _(f):
+    suppliers = f.table("supplier").select(F.col("s_suppkey").alias("entity"), F.concat(F.lpad(F.col("s_nationkey").cast("string"), 2, "0"), F.lit("x")).alias("code"))
+    groups = D.industry_groups(suppliers, "code", min_size=4, sections=F.substring("code", 1, 1)).select("entity", "industry_group")
+    out = scan_features(f, bars=f.bars.join(groups, "entity", "left"), by=[*P.cross, "industry_group"])
+    return out.select(*KEY, "industry_group", "value_parts", rounded("value_score", 4).alias("value_score"))
+
+
 def yearly(f: Fixtures) -> DataFrame:
     return f.vintages.filter("q = 4 and not is_revision").select("entity", "year", "period_end", F.floor("value").cast("long").alias("issued"), F.when(F.pmod("entity", F.lit(4)) == 0, 0).otherwise(F.floor(F.col("value") / 10)).cast("long").alias("treasury"))
 

@@ -103,6 +103,19 @@ def _(f):
     return S.table_fingerprint(f.table("orders"))
 
 
+#: Columns of the portable fingerprint, in the order of their names, and how each is made text-safe.
+PRINTED = {"l_discount": "decimal(18,2)", "l_extendedprice": "decimal(18,2)", "l_linenumber": "bigint", "l_orderkey": "bigint", "l_returnflag": "string", "l_shipdate": "date"}
+
+
+@query(
+    "s12_portable_fingerprint",
+    f"""WITH t AS (SELECT {", ".join(f"CAST({c} AS {t.replace('string', 'varchar')})::VARCHAR AS {c}" for c, t in PRINTED.items())} FROM lineitem)
+    SELECT count(*) AS rows, CAST(sum(CAST('0x' || substr(md5({" || ".join(f"coalesce(length({c}) || ':' || {c}, 'N')" for c in PRINTED)}), 1, 15) AS BIGINT)::HUGEINT) AS VARCHAR) AS hash FROM t""",
+)
+def _(f):
+    return S.table_fingerprint(f.table("lineitem").select(*(F.col(c).cast(t).alias(c) for c, t in PRINTED.items())), portable=True)
+
+
 @query("s13_write_dataset", "SELECT 'bars' AS name, count(*) AS rows FROM bars UNION ALL SELECT 'valid', count(*) FROM valid", "bars valid")
 def _(f):
     return S.write_dataset({"bars": f.bars, "valid": valid(f)}, scratch(f)).select("name", "rows")

@@ -214,3 +214,49 @@ def _(f):
     out = V.event_study(surprises, valid(f).withColumn("masked", F.col("volume") % 97 == 0), f.vintages.filter("is_revision").select("entity", "year", "q", "available_from"))
     out = out.withColumns({"change": rounded("change", 4), "sue": rounded("sue", 4)})
     return out.select("entity", "seq", "available_from", "change", "history", "sue", *(rounded(c, 6).alias(c) if c[0] != "h" else F.col(c) for c in bucket_columns(("raw", "excess", "hit"))), "revised", "primary")
+
+
+# D15
+
+SPLIT = """dv AS (SELECT entity, year, 'total' AS item, CASE WHEN entity % 4 = 0 THEN 'common' WHEN entity % 4 = 1 THEN 'unsplit' WHEN entity % 4 = 3 THEN CASE WHEN is_revision THEN 'common' ELSE 'preferred' END END AS stock,
+      CASE WHEN entity % 7 <> 0 THEN available_from END AS disclosed, year * 10 + CASE WHEN is_revision THEN 1 ELSE 0 END AS receipt,
+      CASE WHEN entity % 3 <> 0 THEN round(value) * CASE WHEN entity % 11 = 0 THEN 1000000 ELSE 1 END END AS value, CASE WHEN entity % 6 = 0 THEN '-' END AS text FROM vintages WHERE q = 4
+    UNION ALL SELECT entity, year, 'dps', 'common', available_from, year * 10 + CASE WHEN is_revision THEN 1 ELSE 0 END, CASE WHEN entity % 9 <> 0 THEN 0.5 END, CASE WHEN entity % 9 = 0 THEN '-' END FROM vintages WHERE q = 4 AND entity % 10 <> 1),
+    sh AS (SELECT entity, year, CAST(floor(value) AS BIGINT) AS issued, CASE WHEN entity % 4 <> 0 THEN CAST(floor(value / 10) AS BIGINT) END AS treasury FROM vintages WHERE q = 4 AND NOT is_revision AND entity % 8 <> 5),
+    bb AS (SELECT entity, year, 'S' AS basis, round(value / 100) * CASE WHEN entity % 5 = 0 THEN -1 ELSE 1 END AS ttm, available_from FROM vintages WHERE q = 4 AND NOT is_revision AND entity % 3 <> 1
+      UNION ALL SELECT entity, year, 'C', round(value / 50), available_from + 400 FROM vintages WHERE q = 4 AND NOT is_revision AND entity % 2 = 0)"""
+
+
+def dividend_rows(f: Fixtures) -> DataFrame:
+    e = F.col("entity")
+    kind = F.when(e % 4 == 0, "common").when(e % 4 == 1, "unsplit").when(e % 4 == 3, F.when(F.col("is_revision"), "common").otherwise("preferred"))
+    rows = f.vintages.filter("q = 4").withColumn("receipt", F.col("year") * 10 + F.col("is_revision").cast("int"))
+    total = F.when(e % 3 != 0, F.floor(F.col("value") + 0.5) * F.when(e % 11 == 0, 1_000_000.0).otherwise(1.0))
+    direct = rows.select("entity", "year", F.lit("total").alias("item"), kind.alias("stock"), F.when(e % 7 != 0, F.col("available_from")).alias("disclosed"), "receipt", total.alias("value"), F.when(e % 6 == 0, "-").alias("text"))
+    dps = rows.filter("entity % 10 <> 1").select("entity", "year", F.lit("dps").alias("item"), F.lit("common").alias("stock"), F.col("available_from").alias("disclosed"), "receipt", F.when(e % 9 != 0, 0.5).alias("value"), F.when(e % 9 == 0, "-").alias("text"))
+    return direct.unionByName(dps)
+
+
+@query(
+    "d15_payout_positions",
+    f"""WITH {SPLIT}, days AS (SELECT DISTINCT date FROM bars),
+    wn AS (SELECT *, row_number() OVER (PARTITION BY entity, year, item ORDER BY CASE WHEN stock = 'common' THEN 0 ELSE 1 END, disclosed NULLS LAST, receipt, value DESC NULLS LAST) AS n FROM dv WHERE stock IS DISTINCT FROM 'preferred'),
+    wd AS (SELECT entity, year, max(value) FILTER (item = 'total') AS total, max(text) FILTER (item = 'total') AS tt, max(disclosed) FILTER (item = 'total') AS td, max(value) FILTER (item = 'dps') AS dps, max(text) FILTER (item = 'dps') AS dt, max(disclosed) FILTER (item = 'dps') AS dd FROM wn WHERE n = 1 GROUP BY 1, 2),
+    im AS (SELECT wd.*, dps * (issued - coalesce(treasury, 0)) AS implied FROM wd LEFT JOIN sh USING (entity, year)),
+    us AS (SELECT *, coalesce(total >= 0 AND (implied IS NULL OR implied <= 0 OR total <= 100 * implied), false) AS usable FROM im),
+    dd AS (SELECT entity, year, CASE WHEN usable THEN total WHEN tt = '-' THEN 0 WHEN implied IS NOT NULL THEN implied WHEN dt = '-' THEN 0 END AS dividends,
+      CASE WHEN usable OR tt = '-' THEN 'direct_total' WHEN dps IS NOT NULL OR dt = '-' THEN 'dps_proxy' END AS dividend_source, (SELECT min(date) FROM days WHERE date > coalesce(us.td, us.dd)) AS dividend_available_from FROM us),
+    bw AS (SELECT entity, year, CASE WHEN c IS NOT NULL THEN c ELSE s END AS buyback, CASE WHEN c IS NOT NULL THEN ca ELSE sa END AS buyback_available_from FROM (
+      SELECT entity, year, max(ttm) FILTER (basis = 'C') AS c, max(ttm) FILTER (basis = 'S') AS s, max(available_from) FILTER (basis = 'C') AS ca, max(available_from) FILTER (basis = 'S') AS sa FROM bb GROUP BY 1, 2) WHERE coalesce(c, s) >= 0),
+    po AS (SELECT dd.*, buyback, buyback_available_from, CASE WHEN dividends IS NOT NULL OR buyback IS NOT NULL THEN coalesce(dividends, 0) + coalesce(buyback, 0) END AS payout, greatest(dividend_available_from, buyback_available_from) AS payout_available_from FROM dd LEFT JOIN bw USING (entity, year))
+    SELECT entity, year, round(dividends, 2) AS dividends, dividend_source, dividend_available_from, buyback, buyback_available_from, round(payout, 2) AS payout, payout_available_from
+    FROM po QUALIFY row_number() OVER (PARTITION BY entity, payout_available_from ORDER BY year DESC) = 1""",
+    "vintages bars",
+)
+def _(f):
+    first, e = f.vintages.filter("q = 4 and not is_revision"), F.col("entity")
+    shares = first.filter("entity % 8 <> 5").select("entity", "year", F.floor("value").cast("long").alias("issued"), F.when(e % 4 != 0, F.floor(F.col("value") / 10).cast("long")).alias("treasury"))
+    separate = first.filter("entity % 3 <> 1").select("entity", "year", F.lit("S").alias("basis"), (F.floor(F.col("value") / 100 + 0.5) * F.when(e % 5 == 0, -1.0).otherwise(1.0)).alias("ttm"), "available_from")
+    whole = first.filter("entity % 2 = 0").select("entity", "year", F.lit("C").alias("basis"), F.floor(F.col("value") / 50 + 0.5).cast("double").alias("ttm"), F.date_add("available_from", 400).alias("available_from"))
+    out = V.payout_positions(dividend_rows(f), shares, separate.unionByName(whole), f.bars.select("date"))
+    return out.select("entity", "year", rounded("dividends", 2).alias("dividends"), "dividend_source", "dividend_available_from", "buyback", "buyback_available_from", rounded("payout", 2).alias("payout"), "payout_available_from")

@@ -129,9 +129,21 @@ def prune_missing(target: DataFrame, source: DataFrame, keys: Sequence[str]) ->
     return target.join(source.select(*keys), list(keys), "left_semi")
 
 
-def table_fingerprint(df: DataFrame) -> DataFrame:
-    """Rows and a content hash that row order doesn't change; partial sums are exact decimals."""
-    row = F.xxhash64(*(F.col(c) for c in sorted(df.columns)))
+def table_fingerprint(df: DataFrame, *, portable: bool = False) -> DataFrame:
+    """Rows and a content hash that row order doesn't change; partial sums are exact decimals.
+
+    portable: a hash that other engines can repeat: of each row the first 60 bits of the md5 of its columns in the order
+    of their names, each as '<characters>:<text>', NULL as 'N'. Floating and nested columns print differently from engine
+    to engine, so they are an error there: cast them to decimals or text first. An empty table has a NULL hash.
+    """
+    if portable:
+        if odd := [c for c, t in df.dtypes if t in ("float", "double", "binary", "timestamp") or t.startswith(("array", "map", "struct"))]:
+            raise ValueError(f"no portable text for {odd}")
+        text = lambda c: F.col(c).cast("string")
+        parts = [F.coalesce(F.concat(F.length(text(c)).cast("string"), F.lit(":"), text(c)), F.lit("N")) for c in sorted(df.columns)]
+        row = F.conv(F.substring(F.md5(F.concat(*parts).cast("binary")), 1, 15), 16, 10)
+    else:
+        row = F.xxhash64(*(F.col(c) for c in sorted(df.columns)))
     return df.agg(F.count("*").alias("rows"), F.sum(row.cast("decimal(38,0)")).cast("string").alias("hash"))
 
 
