@@ -30,7 +30,9 @@ def source_targets(sizes: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, shar
     """(source, source_size) -> also target: weighted shares of share * all words, none above max_epochs * its size.
 
     Excess is shared again by weight until none is above; that fixed point is min(level * weight, cap) with one level
-    for all sources, found over the sources ordered by cap / weight.
+    for all sources, found over the sources ordered by cap / weight. If the sources before one are at their caps and the
+    rest share by weight, the level rises from source to source while it is above cap / weight and falls from the first
+    source on where it isn't: that first one, the greatest of these levels, is the fixed point.
     """
     by_name = W.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.pmod(F.row_number().over(by_name) - 1, F.lit(len(weights))) + 1).cast("int"))
@@ -44,7 +46,7 @@ def source_targets(sizes: DataFrame, *, weights: tuple[int, ...] = WEIGHTS, shar
         F.coalesce(F.sum("cap").over(by_ratio.rowsBetween(W.unboundedPreceding, -1)), F.lit(0.0)).alias("capped"),
         F.sum("weight").over(by_ratio.rowsBetween(0, W.unboundedFollowing)).alias("open_weight"),
     ).withColumn("level", (F.lit(float(share)) * F.col("all_words") - F.col("capped")) / F.col("open_weight"))
-    found = levels.withColumn("found", F.min(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything))
+    found = levels.withColumn("found", F.max(F.when(F.col("level") <= F.col("ratio"), F.col("level"))).over(everything))
     # Without such a level (share above max_epochs) every source gives all it may.
     return found.select("source", "source_size", F.least(F.coalesce(F.col("found") * F.col("weight"), F.col("cap")), "cap").alias("target"))
 

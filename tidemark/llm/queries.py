@@ -142,21 +142,22 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 OP6_SQL = """
-WITH rows AS (
+WITH RECURSIVE rows AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
          md5('mix:' || CAST(doc_id AS VARCHAR)) AS key FROM documents),
 sizes AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM rows GROUP BY source),
 weighed AS (
   SELECT *, CAST([5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS DOUBLE) AS weight,
          CAST(2 * source_size AS DOUBLE) AS cap, sum(source_size) OVER () AS all_words FROM sizes),
-levels AS (
-  SELECT *, cap / weight AS ratio,
-         (CAST(1.5 AS DOUBLE) * all_words
-          - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
-         / sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
-  FROM weighed),
-targets AS (
-  SELECT source, source_size, least(coalesce((SELECT min(level) FROM levels WHERE level <= ratio) * weight, cap), cap) AS target FROM levels),
+rounds AS (
+  SELECT source, source_size, weight, cap, all_words, false AS capped, 0 AS round, true AS more FROM weighed
+  UNION ALL
+  SELECT source, source_size, weight, cap, all_words, capped OR level * weight > cap, round + 1, bool_or(NOT capped AND level * weight > cap) OVER ()
+  FROM (SELECT *, (CAST(1.5 AS DOUBLE) * all_words - coalesce(sum(cap) FILTER (capped) OVER (), 0)) / sum(weight) FILTER (NOT capped) OVER () AS level FROM rounds WHERE more)),
+settled AS (
+  SELECT *, (CAST(1.5 AS DOUBLE) * all_words - coalesce(sum(cap) FILTER (capped) OVER (), 0)) / sum(weight) FILTER (NOT capped) OVER () AS level
+  FROM rounds WHERE round = (SELECT max(round) FROM rounds)),
+targets AS (SELECT source, source_size, CASE WHEN capped THEN cap ELSE level * weight END AS target FROM settled),
 budgets AS (
   SELECT *, CAST(floor(target) AS BIGINT) AS budget,
          coalesce(CAST(floor(target) AS BIGINT) // nullif(source_size, 0), 0) AS epochs FROM targets),
