@@ -95,7 +95,11 @@ class LanguageModel:
 
 
 def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> LanguageModel:
-    """Learn from rows with text and lang; the sample of each language is drawn by a hash of the id."""
+    """Learn from rows with text and lang; the sample of each language is drawn by a hash of the id.
+
+    Rows of equal id are drawn or left out together, rows without id too. Without such rows the model knows no language
+    and finds every text undetermined.
+    """
     rows = labelled.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(F.col(id_col).cast("string")).alias("h")).filter("text is not null and lang is not null")
     sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
     rate = sizes.select(F.col("lang").alias("of"), F.least(F.lit(1.0), F.lit(float(sample_docs)) / F.col("n")).alias("rate"))
@@ -136,6 +140,8 @@ def fit(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang",
 def identify(docs: DataFrame, model: LanguageModel, *, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, lang_pred, score for each row, from its whole text; no shuffle. Null texts and texts without a letter: und, 0.
 
+    Rows without id or of equal id are judged one by one; an empty table gives an empty one.
+
     keep: columns of docs to carry along in a struct `kept`, beside which the text is returned as a column of its own.
     """
     shared = docs.sparkSession.sparkContext.broadcast((model.langs, model.row_of, model.logs))

@@ -125,7 +125,11 @@ def fit_sigmoid(z: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float
 
 
 def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "quality", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> QualityModel:
-    """Learn from rows with a 0/1 label; null texts count as empty, rows without a label are left out."""
+    """Learn from rows with a 0/1 label; null texts count as empty, rows without a label are left out.
+
+    The sample is drawn by a hash of the id: rows of equal id, or without one, come together. Of one class alone the
+    score is (nearly) that class, of no rows 0.5.
+    """
     rows = labelled.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(F.col(id_col).cast("string")).alias("h")).filter("label in (0, 1)")
     sizes = {r.label: r.n for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(sizes) < 2:  # one class or none: its share for all
@@ -156,7 +160,10 @@ def fit(labelled: DataFrame, *, text_col: str = "text", label_col: str = "qualit
 
 
 def score(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, score for each row, from its whole text (null: empty); no shuffle."""
+    """doc_id, score for each row, from its whole text (null: empty); no shuffle.
+
+    Rows without id or of equal id are scored one by one; an empty table gives an empty one.
+    """
     shared = docs.sparkSession.sparkContext.broadcast((model.weights.astype(np.float32), model.slope, model.offset))
 
     def scored(batches):

@@ -129,7 +129,8 @@ def scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", min
     """doc_id, text, spans (array of kind, start, stop, found; by start, then kind as listed) for each row.
 
     Positions are code points, stop exclusive. Null and empty texts have no spans. Spans of the Markov models that
-    overlap a base span are left out. Nothing is shuffled but the samples.
+    overlap a base span are left out. Nothing is shuffled but the samples. Rows without id or of equal id are scanned one
+    by one; an empty table gives an empty one.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("text", F.when(F.instr("text", _MARK) > 0, F.replace("text", F.lit(_MARK), F.lit(_OTHER))).otherwise(F.col("text")))
