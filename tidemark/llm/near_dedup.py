@@ -5,8 +5,8 @@ trees, a representative goes to one node for each of its tokens whose hash lies
 similar sets choose a shared token with a probability that depends on their similarity alone. Every node first links
 its members to one pivot (a number of pairs linear in its size), links are confirmed on the full sets, and nodes whose
 members are connected by then are done, which settles large groups of copies. The other nodes are compared
-exhaustively if they are small or nearly connected, and branch again by further tokens if not; what doesn't shrink is
-compared in blocks. What a step has superseded is deleted.
+exhaustively if they are small or nearly connected, and branch again by further tokens if not, with all their members;
+what doesn't shrink is compared in blocks. What a step has superseded is deleted.
 A pair at the similarity limit shares a root's child in no tree with probability exp(-branching * similarity * trees).
 """
 
@@ -18,7 +18,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import Tables, few_broadcast, id_text, mix64, slices, utf8_columns
@@ -30,8 +29,6 @@ TREES, BRANCHING, DEEPER = 6, 2.5, 1.5
 STAR_ROUNDS = 2
 #: Nodes up to LEAF members are compared exhaustively; larger ones at MAX_DEPTH in blocks of BLOCK.
 LEAF, BLOCK, MAX_DEPTH = 1024, 2048, 3
-#: Large nodes that a document branches from.
-NODES = 6
 #: Nodes up to so many members are compared exhaustively too, if but few of them differ in color from the rest.
 WIDEST = 8 * LEAF
 #: Smallest hashes kept of each set; pairs with less than this share of them in common aren't looked at in full.
@@ -210,16 +207,6 @@ def _is_leaf() -> F.Column:
     return (F.col("n") <= LEAF) | ((F.col("n") <= WIDEST) & (F.col("n") * F.col("apart") <= LEAF * LEAF))
 
 
-def _first_nodes(members: DataFrame) -> DataFrame:
-    """Of the large nodes of each document the NODES first by hash.
-
-    Documents with a passage in common share many large nodes, and one is enough for a pair to meet: a pair that shares a
-    part s of its large nodes has none of these in common with a probability of about (1 - s)^NODES.
-    """
-    w = W.partitionBy("doc_id").orderBy(F.xxhash64("node"), "node")
-    return members.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= NODES).drop("k")
-
-
 def _branch(members: DataFrame, docs: DataFrame, *, shingle: int, branching: float) -> DataFrame:
     """Members (node, doc_id) of the children of nodes that are too large."""
     by_doc = members.groupBy("doc_id").agg(F.collect_set("node").alias("nodes"))
@@ -468,9 +455,8 @@ def near_duplicates(
     found = []
     for depth in range(1, MAX_DEPTH + 1):
         last = depth == MAX_DEPTH
-        small = level.filter(_is_leaf())
-        large = _first_nodes(level.filter(~_is_leaf()))
-        small = small.unionByName(large) if last else small
+        small = level if last else level.filter(_is_leaf())
+        large = level.filter(~_is_leaf())
         if not small.isEmpty():
             pairs = tables.keep(_leaf_pairs(small, texts, tables, **grown))
             found.append(tables.keep(confirmed(pairs, texts, tables, **grown), instead_of=(pairs,)))
