@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidemark.functions.exprs import sdiv
-from tidemark.operators.cross import average_rank, global_rank
+from tidemark.operators.cross import average_rank, distribution, global_rank, null_safe_join
 
 
 def dedup_prefer(df: DataFrame, keys: Sequence[str], source: str, priority: Sequence[str], then: Sequence[Column] = ()) -> DataFrame:
@@ -44,9 +44,8 @@ QUANTILES = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)
 
 
 def distribution_stats(df: DataFrame, x: str, by: Sequence[str] = ()) -> DataFrame:
-    """Count, distinct, mean, std, min, max and exact quantiles."""
-    stats = [F.count(x).alias("n"), F.countDistinct(x).alias("n_distinct"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")]
-    return df.groupBy(*by).agg(*stats, *(F.percentile(x, F.lit(q)).alias(f"p{round(q * 100):02d}") for q in QUANTILES))
+    """Count, distinct, mean, std, min, max and exact quantiles; no task holds a group's values."""
+    return distribution(df, x, QUANTILES, by).withColumnsRenamed({f"_q{i}": f"p{round(q * 100):02d}" for i, q in enumerate(QUANTILES)})
 
 
 def guarded_corr(x: Column | str, y: Column | str) -> Column:
@@ -57,6 +56,16 @@ def guarded_corr(x: Column | str, y: Column | str) -> Column:
     return F.try_divide(F.covar_samp(a, b), F.nullif(F.stddev_samp(a) * F.stddev_samp(b), F.lit(0.0)))
 
 
+def weighted_corr(df: DataFrame, x: str, y: str, weight: str, by: Sequence[str] = ()) -> DataFrame:
+    """A07 of rows that stand for `weight` pairs each: n and corr, NULL for a constant side. Sums are of deviations from the mean."""
+    a, b, w = F.col(x).cast("double"), F.col(y).cast("double"), F.col(weight)
+    flat = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
+    base = df.groupBy(*by).agg(F.sum(w).alias("_all"), (F.sum(a * w) / F.sum(w)).alias("_mx"), (F.sum(b * w) / F.sum(w)).alias("_my"), flat.alias("_flat"))
+    da, db = a - F.col("_mx"), b - F.col("_my")
+    sums = null_safe_join(df, base, by).groupBy(*by).agg(F.max("_all").alias("n"), F.bool_or("_flat").alias("_flat"), *(F.sum(p * w).alias(c) for c, p in (("_xx", da * da), ("_yy", db * db), ("_xy", da * db))))
+    return sums.select(*by, "n", F.when(~F.col("_flat"), sdiv("_xy", F.sqrt("_xx") * F.sqrt("_yy"))).alias("corr"))
+
+
 def correlation(df: DataFrame, x: str, y: str, *, by: Sequence[str] = (), method: str = "pearson", min_n: int = 1) -> DataFrame:
     """Correlation of each group with at least min_n pairs.
 
