@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from tidemark.operators import aggregates as A
+from tidemark.operators import model as M
 
 
 @pytest.fixture(scope="module")
@@ -38,3 +39,15 @@ def test_distribution_of_each_group(pairs):
 
 def test_distribution_holds_no_group_in_an_aggregate(pairs):
     assert "percentile(" not in plan_text(A.distribution_stats(pairs[1], "x", ["g"])).lower()
+
+
+def test_bounds_of_training_rows(pairs):
+    rows, df = pairs
+    r = M.fit_winsor(df, ["x", "y"], 0.02, 0.9).first()
+    for c, i in (("x", 1), ("y", 2)):
+        assert np.allclose([r[f"{c}_lo"], r[f"{c}_hi"]], np.quantile([k[i] for k in rows if k[i] is not None], [0.02, 0.9]))
+    assert M.fit_winsor(df.limit(0), ["x"]).collect()[0].asDict() == {"x_lo": None, "x_hi": None}
+
+
+def test_bounds_hold_no_column_in_an_aggregate(pairs):
+    assert "percentile(" not in plan_text(M.fit_winsor(pairs[1], ["x", "y"])).lower()

@@ -29,8 +29,8 @@ def impute(df: DataFrame, *, zero: Sequence[str] = (), median: Sequence[str] = (
 
 
 def fit_winsor(train: DataFrame, cols: Sequence[str], lo: float = 0.01, hi: float = 0.99) -> DataFrame:
-    """One row of exact bounds for each column, from the training slice only."""
-    return train.agg(*(F.percentile(c, F.lit(q)).alias(f"{c}_{n}") for c in cols for n, q in (("lo", lo), ("hi", hi))))
+    """One row of exact bounds for each column, from the training slice only; no task holds a column."""
+    return C.quantiles(train, cols, (lo, hi)).withColumnsRenamed({f"{c}_q{i}": f"{c}_{n}" for c in cols for i, n in enumerate(("lo", "hi"))})
 
 
 def apply_winsor(df: DataFrame, bounds: DataFrame, cols: Sequence[str]) -> DataFrame:
