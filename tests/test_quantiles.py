@@ -5,7 +5,12 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Window as W
+from pyspark.sql import functions as F
+
 from tidemark.operators import aggregates as A
+from tidemark.operators import cross as C
+from tidemark.operators import describe as E
 from tidemark.operators import model as M
 
 
@@ -51,3 +56,25 @@ def test_bounds_of_training_rows(pairs):
 
 def test_bounds_hold_no_column_in_an_aggregate(pairs):
     assert "percentile(" not in plan_text(M.fit_winsor(pairs[1], ["x", "y"])).lower()
+
+
+def test_association_equals_windows_over_rows(pairs):
+    _, df = pairs
+    out = E.association_study(df, "x", "y", by=["g"], k=4, min_n=2)
+    rows = df.filter("x is not null and y is not null")
+    for c in "xy":
+        rows = C.winsorize(rows, c, 0.01, 0.99, ["g"], c)
+    buckets = rows.withColumn("bucket", F.ntile(4).over(W.partitionBy("g").orderBy("x", "y"))).groupBy("g", "bucket").agg(F.count("*").alias("n"), F.avg("x").alias("mx"), F.avg("y").alias("my"))
+    want = {(r.g, r.bucket): (r.n, r.mx, r.my) for r in buckets.collect()}
+    got = {(r.g, r.bucket): (r.n, r.mean_x, r.mean_y) for r in out["buckets"].collect()}
+    assert got.keys() == want.keys() and all(got[k][0] == want[k][0] and np.allclose(got[k], want[k]) for k in want)
+    corr = {r.g: (r.n, r.corr) for r in A.correlation(rows, "x", "y", by=["g"], min_n=2).collect()}
+    seen = {r.g: (r.n, r.corr) for r in out["correlation"].collect()}
+    assert seen.keys() == corr.keys() and all(seen[k][0] == corr[k][0] and math.isclose(seen[k][1], corr[k][1]) for k in corr)
+    assert {r.g: r.n for r in out["regression"].collect()} == {r.g: r.n for r in A.simple_regression(rows, "x", "y", ["g"]).collect()}
+
+
+@pytest.mark.parametrize("name", ["buckets"])
+def test_association_holds_no_group_in_a_window(pairs, name):
+    plan = plan_text(E.association_study(pairs[1], "x", "y", by=["g"])[name]).lower()
+    assert "percentile(" not in plan and "ntile(" not in plan

@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tidemark.functions import exprs as X
 from tidemark.functions.exprs import sdiv
 from tidemark.keys import P, PanelKeys
+from tidemark.lineage import checkpoint
 from tidemark.operators import cross as C
-from tidemark.operators.aggregates import correlation, distribution_stats, guarded_corr, simple_regression
+from tidemark.operators.aggregates import distribution_stats, guarded_corr, simple_regression, weighted_corr
 from tidemark.operators.joins import calendar_month_lag
 from tidemark.operators.windows import month_end_row
 
@@ -73,15 +75,22 @@ def coverage_diagnosis(panel: DataFrame, flags: dict[str, Column], by: Sequence[
 
 
 def association_study(df: DataFrame, x: str, y: str, *, by: Sequence[str], k: int = 5, clip: tuple[float, float] = (0.01, 0.99), min_n: int = 100) -> dict[str, DataFrame]:
-    """Of winsorized pairs: correlation by group, quantile buckets with bucket means, regression."""
+    """Of winsorized pairs: correlation by group, quantile buckets with bucket means, regression.
+
+    Equal pairs are counted once and written, so rows are read once for bounds, correlation and buckets, and no task holds a group.
+    """
     rows = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
-    for c in (x, y):
-        rows = C.winsorize(rows, c, *clip, by, c)
-    bucket = F.ntile(k).over(W.partitionBy(*by).orderBy(x, y))
+    pairs = checkpoint(rows.groupBy(*by, x, y).agg(F.count("*").alias("_n")))
+    bounds = checkpoint(C.quantiles(pairs, [x, y], clip, by, "_n"))
+
+    def clipped(some: DataFrame) -> DataFrame:
+        some = C.null_safe_join(some, bounds, by)
+        return some.withColumns({c: X.clip(c, f"{c}_q0", f"{c}_q1") for c in (x, y)}).drop(*(f"{c}_q{i}" for c in (x, y) for i in (0, 1)))
+
     return {
-        "correlation": correlation(rows, x, y, by=by, min_n=min_n),
-        "buckets": rows.withColumn("bucket", bucket).groupBy(*by, "bucket").agg(F.count("*").alias("n"), F.avg(x).alias("mean_x"), F.avg(y).alias("mean_y")),
-        "regression": simple_regression(rows, x, y, by),
+        "correlation": weighted_corr(clipped(pairs), x, y, "_n", by).filter(F.col("n") >= min_n),
+        "buckets": C.bucket_totals(clipped(pairs), [x, y], k, by, "_n").withColumnsRenamed({f"mean_{x}": "mean_x", f"mean_{y}": "mean_y"}),
+        "regression": simple_regression(clipped(rows), x, y, by),
     }
 
 
