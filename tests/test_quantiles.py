@@ -74,7 +74,13 @@ def test_association_equals_windows_over_rows(pairs):
     assert {r.g: r.n for r in out["regression"].collect()} == {r.g: r.n for r in A.simple_regression(rows, "x", "y", ["g"]).collect()}
 
 
-@pytest.mark.parametrize("name", ["buckets"])
+@pytest.mark.parametrize("name", ["buckets", "correlation"])
 def test_association_holds_no_group_in_a_window(pairs, name):
     plan = plan_text(E.association_study(pairs[1], "x", "y", by=["g"])[name]).lower()
     assert "percentile(" not in plan and "ntile(" not in plan
+
+
+def test_constant_side_has_no_correlation(spark):
+    df = spark.createDataFrame([(0.1, float(i), 3) for i in range(7)], "x double, y double, n long")
+    r = A.weighted_corr(df, "x", "y", "n").first()
+    assert r.n == 21 and r.corr is None
