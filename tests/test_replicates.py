@@ -119,6 +119,24 @@ def test_placebo_equals_a_join_for_each_replicate(spark, rows, block):
     assert all(got[k][1] == want[k][1] and abs(got[k][0] - want[k][0]) < 1e-12 for k in want)
 
 
+def test_placebo_packs_cross_sections_and_gives_the_panel_as_it_stands(spark, rows, monkeypatch):
+    df = panel(spark, rows)
+    features = df.select("d_idx", "entity", "grp", "x")
+    labels = df.select("d_idx", "date", "entity", "grp", F.lit("c").alias("cell"), "y")
+    make = lambda: K.placebo_null(features, labels, 6, seed="p", min_shift=5, total=40, min_names=3, block=9, observed=5)
+    out = make()
+    got = {(r.rep, str(r.date)): (r.ic, r.n) for r in out.collect()}
+    want = {str(r.date): (r.ic, r.n) for r in H.daily_ic(H.long_cells(df, [("c", "x", "y")])).collect()}
+    assert {d for r, d in got if r < 0} == want.keys()
+    assert all(got[-1, d][1] == n and abs(got[-1, d][0] - c) < 1e-12 for d, (c, n) in want.items())
+    monkeypatch.setattr(K, "HELD", 8 * 11)  # parts of few sections
+    monkeypatch.setattr(K, "BROADCAST", 3)
+    few = {(r.rep, str(r.date)): (r.ic, r.n) for r in make().collect()}
+    assert few.keys() == got.keys() and all(abs(few[k][0] - got[k][0]) < 1e-12 for k in got)
+    one = K.placebo_null(features, labels, 3, seed="p", min_shift=60, total=40, min_names=3)  # a distance beyond the calendar goes round it
+    assert one.select("rep").distinct().count() == 3
+
+
 EVENTS = "cohort int, g int, entity long, cycle int, x double, y double"
 
 
