@@ -162,6 +162,22 @@ def test_bootstrap_equals_copies_of_events(spark, monkeypatch, held):
     assert K.cluster_bootstrap_ic(events.limit(0), "x", "y", cluster=["entity"], cohort="cohort", group="g", n=2, seed="b").filter("mean_ic is null").count() == 2
 
 
+def test_bootstrap_in_blocks_of_draws_shuffles_events_without_them(spark, monkeypatch):
+    rng = random.Random(2)
+    rows = [(c, rng.randint(0, 1), rng.randint(0, 9), c, rng.gauss(0, 1), rng.gauss(0, 1)) for c in range(5) for _ in range(30)]
+    events = spark.createDataFrame(rows, EVENTS).repartition(3)
+    make = lambda: K.cluster_bootstrap_ic(events, "x", "y", cluster=["entity"], cohort="cohort", group="g", n=9, seed="b", min_group=4, min_cohort=10)
+    out = make()
+    whole = {r.rep: r for r in out.collect()}
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    after_draws = plan[plan.index("FlatMapGroupsInArrow") : plan.index("BroadcastHashJoin")]
+    assert "Exchange" not in after_draws
+    monkeypatch.setattr(K, "SENT", 2 * 30 * 2)  # four replicates at a time
+    few = {r.rep: r for r in make().collect()}
+    assert few.keys() == whole.keys() == set(range(9))
+    assert all(abs(few[k].mean_ic - whole[k].mean_ic) < 1e-12 and few[k].events == whole[k].events for k in few)
+
+
 def test_verdict_needs_every_clustering(spark):
     v = [("a", x) for x in (0.1, 0.2, 0.3, 0.4)] + [("b", x) for x in (-0.1, 0.2, 0.3, None)]
     out = {r.c: r for r in K.bootstrap_verdict(spark.createDataFrame(v, "c string, mean_ic double"), by="c").collect()}
