@@ -83,6 +83,17 @@ def test_permutations_equal_one_sort_for_each_replicate(spark, rows, monkeypatch
     assert np.allclose(few.ics, got["c", str(few.date)][1][:3])
 
 
+def test_one_sort_serves_all_cells():
+    draws = np.array([[5, 2**32 - 1, 5, 0, 2**32 - 1], [1, 1, 1, 1, 1]])
+    assert K.draw_orders(draws).tolist() == [[3, 0, 2, 1, 4], [0, 1, 2, 3, 4]]
+    rng = np.random.default_rng(1)
+    draws = rng.integers(0, 9, (6, 40))
+    there = rng.random(40) < 0.7
+    order = K.draw_orders(draws)
+    part = order[there[order]].reshape(6, -1)
+    assert (np.flatnonzero(there)[np.argsort(draws[:, there], 1, kind="stable")] == part).all()
+
+
 def test_hac_of_arrays_equals_hac_of_rows(spark):
     rng = random.Random(3)
     series = [(c, i, [rng.gauss(0.1, 1) if c != "flat" else 1.0 for _ in range(9)]) for c in ("a", "b", "flat") for i in range(1, 60) if rng.random() < 0.8] + [("one", 5, [0.5] * 9)]
